@@ -9,8 +9,8 @@ own aggregate or anti join.
 
 from __future__ import annotations
 
-import datetime as _dt
-from dataclasses import dataclass, field
+import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -226,6 +226,16 @@ def orphan_fks(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
 # Declared checks and the fused suite report (Q11, Q12)
 # ---------------------------------------------------------------------------
 
+_OPS = [(">=", " ge "), ("<=", " le "), ("<>", " ne "), ("!=", " ne "), (">", " gt "),
+        ("<", " lt "), ("=", " eq ")]
+
+
+def _slug(expression: str) -> str:
+    for op, word in _OPS:
+        expression = expression.replace(op, word)
+    return "_".join(re.findall(r"[A-Za-z0-9.]+", expression)).replace(".", "p")
+
+
 @dataclass(frozen=True)
 class Check:
     table: str
@@ -236,7 +246,11 @@ class Check:
 
     @property
     def name(self) -> str:
-        return f"{self.kind}__{self.table}__{self.column}"
+        base = f"{self.kind}__{self.table}__{self.column}"
+        if self.kind == "expression_is_true":
+            # several expressions may test one column: keep names unique
+            return f"{base}__{_slug(str(self.arg))}"
+        return base
 
     @property
     def detail(self) -> str:

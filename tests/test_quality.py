@@ -1,0 +1,158 @@
+"""Data-quality checks on clean and corrupted tables (FIXTURES §4)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from ordermart.operators import quality
+from ordermart.operators.quality import Check
+from tests.conftest import rows
+
+d = dt.date
+FACT = ("order_line_sk string, order_key long, line_number int, order_date date, order_status string, "
+        "net_revenue double, gross_revenue double, quantity double, extended_price double, "
+        "discount_amount double, tax_amount double, customer_sk string, product_sk string, "
+        "order_date_sk int")
+
+
+def fact_row(sk, **kw):
+    base = dict(order_key=1, line_number=1, order_date=d(2000, 1, 1), order_status="O", net_revenue=1.0,
+                gross_revenue=1.0, quantity=1.0, extended_price=1.0, discount_amount=0.0, tax_amount=0.0,
+                customer_sk="c1", product_sk="p1", order_date_sk=20000101)
+    base.update(kw)
+    return (sk, base["order_key"], base["line_number"], base["order_date"], base["order_status"],
+            base["net_revenue"], base["gross_revenue"], base["quantity"], base["extended_price"],
+            base["discount_amount"], base["tax_amount"], base["customer_sk"], base["product_sk"],
+            base["order_date_sk"])
+
+
+def test_positive_amounts_each_rule_and_order(spark):
+    f = spark.createDataFrame([
+        fact_row("ok"),
+        fact_row("net", net_revenue=-1.0), fact_row("gross", gross_revenue=-1.0),
+        fact_row("qty", quantity=0.0), fact_row("price", extended_price=0.0),
+        fact_row("disc", discount_amount=-0.01), fact_row("tax", tax_amount=-0.01),
+        fact_row("two", quantity=-1.0, tax_amount=-1.0),          # first reason in list order wins
+        fact_row("nulls", net_revenue=None, quantity=None),        # NULL passes
+    ], FACT)
+    got = rows(quality.positive_amounts(f), "order_line_sk", "failure_reason")
+    assert got == [("disc", "discount_amount < 0"), ("gross", "gross_revenue < 0"),
+                   ("net", "net_revenue < 0"), ("price", "extended_price <= 0"),
+                   ("qty", "quantity <= 0"), ("tax", "tax_amount < 0"), ("two", "quantity <= 0")]
+
+
+def test_invalid_status_null_fails(spark):
+    f = spark.createDataFrame([fact_row("x", order_status="X"), fact_row("n", order_status=None),
+                               fact_row("o", order_status="O")], FACT)
+    got = rows(quality.valid_order_status(f), "order_line_sk", "failure_reason")
+    assert got == [("n", "Invalid order_status: NULL"), ("x", "Invalid order_status: X")]
+
+
+def test_orphan_fks_allow_unknown_members(spark):
+    f = spark.createDataFrame([
+        fact_row("good"), fact_row("unknowns", customer_sk="-1", product_sk="-1", order_date_sk=-1),
+        fact_row("orph_c", customer_sk="zz"), fact_row("orph_p", product_sk="qq"),
+        fact_row("orph_d", order_date_sk=18000101),
+    ], FACT)
+    dc = spark.createDataFrame([("c1",)], "customer_sk string")
+    dp = spark.createDataFrame([("p1",)], "product_sk string")
+    dd = spark.createDataFrame([(20000101,)], "date_sk int")
+    got = rows(quality.orphan_fks(f, dc, dp, dd), "order_line_sk", "fk_value", "failed_dimension", "reason")
+    assert got == [
+        ("orph_c", "zz", "dim_customer", "customer_sk zz not found in dim_customer"),
+        ("orph_d", "18000101", "dim_date", "order_date_sk 18000101 not found in dim_date"),
+        ("orph_p", "qq", "dim_product", "product_sk qq not found in dim_product"),
+    ]
+
+
+def generic_table(spark, corrupt: bool):
+    data = [(1, "O", 5.0, 3.0), (2, "F", 6.0, 6.0), (3, "P", None, None)]
+    if corrupt:
+        data += [(None, "O", 1.0, 1.0), (2, "Z", -1.0, 0.0), (4, None, 2.0, 3.0)]
+    return spark.createDataFrame(data, "k long, status string, gross double, net double")
+
+
+CHECKS = [
+    Check("t", "k", "not_null"), Check("t", "k", "unique"),
+    Check("t", "status", "accepted_values", ["O", "F", "P"]),
+    Check("t", "gross", "expression_is_true", ">= 0"),
+    Check("t", "gross", "expression_is_true", ">= net"),
+    Check("t", "k", "relationships", ("parent", "pk")),
+]
+
+
+def test_generic_checks_clean_and_corrupted(spark):
+    parent = spark.createDataFrame([(1,), (2,), (3,)], "pk long")
+    clean = {"t": generic_table(spark, False), "parent": parent}
+    bad = {"t": generic_table(spark, True), "parent": parent}
+    rep_clean = {r.check_name: (r.failures, r.status) for r in quality.run_checks(clean, CHECKS).collect()}
+    assert all(v == (0, "pass") for v in rep_clean.values()) and len(rep_clean) == len(CHECKS)
+    rep = {r.check_name: r.failures for r in quality.run_checks(bad, CHECKS).collect()}
+    assert rep == {
+        "not_null__t__k": 1,                        # the NULL key
+        "unique__t__k": 1,                          # value 2 repeated (one failing value)
+        "accepted_values__t__status": 1,            # 'Z' (NULL passes)
+        "expression_is_true__t__gross__ge_0": 1,    # -1
+        "expression_is_true__t__gross__ge_net": 2,  # -1 < 0 and 2 < 3; NULL passes
+        "relationships__t__k": 1,                   # 4 has no parent; NULL passes
+    }
+    # per-check operators agree with the fused report
+    t = bad["t"]
+    assert quality.not_null(t, "k").count() == 1
+    assert rows(quality.unique(t, "k")) == [(2, 2)]
+    assert quality.accepted_values(t, "status", ["O", "F", "P"]).count() == 1
+    assert quality.expression_is_true(t, "gross", ">= 0").count() == 1
+    assert quality.expression_is_true(t, "gross", ">= net").count() == 2
+    assert quality.relationships(t, "k", parent, "pk").count() == 1
+
+
+def test_expression_checks_with_same_column_are_separate(spark):
+    t = generic_table(spark, True)
+    rep = quality.run_checks({"t": t}, [Check("t", "gross", "expression_is_true", ">= 0"),
+                                        Check("t", "gross", "expression_is_true", ">= net")])
+    got = sorted((r.detail, r.failures) for r in rep.collect())
+    assert got == [(">= 0", 1), (">= net", 2)]
+
+
+def test_severity_gate(spark):
+    t = generic_table(spark, True)
+    rep = quality.run_checks({"t": t}, [Check("t", "k", "unique", severity="error"),
+                                        Check("t", "k", "not_null")])
+    assert {r.check_name: r.status for r in rep.collect()} == {"unique__t__k": "error",
+                                                                "not_null__t__k": "warn"}
+    assert quality.gate(rep) == ["unique__t__k"]
+
+
+@pytest.mark.parametrize("age,status", [(0, "pass"), (1, "pass"), (2, "warn"), (3, "warn"), (4, "error")])
+def test_freshness_ages(spark, age, status):
+    as_of = d(2001, 8, 1)
+    df = spark.createDataFrame([(as_of - dt.timedelta(days=age + 5),), (as_of - dt.timedelta(days=age),)],
+                               "o_orderdate date")
+    r = quality.freshness(df, "o_orderdate", as_of).first()
+    assert (r.age_days, r.status) == (age, status)
+
+
+def test_row_count_bounds(spark):
+    df = spark.range(5)
+    assert quality.row_count_between(df, 1).count() == 0
+    low = quality.row_count_between(df, 10).first()
+    assert low.failure_reason == "FAIL: row count 5 below minimum 10"
+    high = quality.row_count_between(df, 1, 3).first()
+    assert high.failure_reason == "FAIL: row count 5 above maximum 3"
+
+
+def test_column_values(spark):
+    df = spark.createDataFrame([(v,) for v in ["b", None, "a", "b", "c"]], "x string")
+    assert [r.x for r in quality.column_values(df, "x", 2).collect()] == ["a", "b"]
+
+
+def test_declared_check_contract():
+    by_kind = {}
+    for c in quality.DECLARED_CHECKS:
+        by_kind[c.kind] = by_kind.get(c.kind, 0) + 1
+    assert by_kind == {"not_null": 79, "expression_is_true": 20, "unique": 17,
+                       "accepted_values": 14, "relationships": 1}
+    errors = [c.name for c in quality.DECLARED_CHECKS if c.severity == "error"]
+    assert errors == ["unique__fact_orders__order_line_sk"]
