@@ -139,12 +139,16 @@ def revenue_to_date(fact: DataFrame, period: str = "month") -> DataFrame:
 
 
 def revenue_share(fact: DataFrame, by: str) -> DataFrame:
-    """Revenue per group and its share of the total (the total is a
-    window over the small grouped result)."""
+    """Revenue per group and its share of the total.
+
+    The total is a one-row aggregate broadcast to the grouped rows (its size
+    is exactly one row), so the share needs no single-partition window even
+    when ``by`` has many values."""
     g = fact.groupBy(by).agg(money_sum("net_revenue").alias("rev"))
-    total = F.sum("rev").over(Window.partitionBy())
-    return g.select(by, F.col("rev").cast("double").alias("revenue"),
-                    ratio(F.col("rev"), total).alias("revenue_share"))
+    total = g.agg(F.sum("rev").alias("total")).withColumn("_one", F.lit(1))
+    j = g.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
+    return j.select(by, F.col("rev").cast("double").alias("revenue"),
+                    ratio(F.col("rev"), F.col("total")).alias("revenue_share"))
 
 
 def shipping_kpis(fact: DataFrame, **slicers) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_root
 
 _LOW_BITS = (1 << 33) - 1
+BROADCAST_MAX_ROWS = 1_000_000   # rows of a small side that may be broadcast
 
 
 def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float]) -> DataFrame:
@@ -46,7 +47,16 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float]) -
                                               F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("_base", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    rows = ranked.join(runs.select("_part", group, "_first", "_base"), ["_part", group])
+    # Size bounds, known before the joins: the sorted data is cut into
+    # contiguous ranges, so (partition, group) runs number at most
+    # partitions + groups - 1, and the ranks needed are 2 per probability
+    # and group. Broadcast them when that bound is small; otherwise leave
+    # the choice to the planner.
+    n_groups = counts.count()
+    bound = ranked.rdd.getNumPartitions() + n_groups * (1 + 2 * len(probs))
+    small = bound <= BROADCAST_MAX_ROWS
+    runs_side = runs.select("_part", group, "_first", "_base")
+    rows = ranked.join(F.broadcast(runs_side) if small else runs_side, ["_part", group])
     rows = rows.select(group, "v", (F.col("_base") + F.col("_local") - F.col("_first")).alias("rank0"))
 
     # Ranks needed per group: floor and ceil of p * (n - 1).
@@ -59,7 +69,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float]) -
     wanted = counts.select(group, "n", F.explode(F.array(*pos_cols)).alias("q")).select(
         group, "n", "q.qi", "q.pos", "q.lo", "q.hi")
     needed = wanted.select(group, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("rank0")).distinct()
-    picked = rows.join(needed, [group, "rank0"], "left_semi")
+    picked = rows.join(F.broadcast(needed) if small else needed, [group, "rank0"], "left_semi")
     lo = picked.select(group, F.col("rank0").alias("lo"), F.col("v").alias("v_lo"))
     hi = picked.select(group, F.col("rank0").alias("hi"), F.col("v").alias("v_hi"))
     interp = (wanted.join(lo, [group, "lo"]).join(hi, [group, "hi"])
