@@ -15,11 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions import core as fn
 
-# Internal decimal line columns; cast to double only in the final projection.
-_LINE_MONEY = ("quantity", "extended_price")
-_LINE_RATES = ("discount_rate", "tax_rate")
-
-
 def line_items(lineitem: DataFrame) -> DataFrame:
     """Typed projection of the line-item source (16 columns).
 

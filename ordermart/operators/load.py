@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from ..session import scratch_path
+from ..session import path_exists, scratch_path
 
 PARTITION_COL = "order_month"
 CLUSTER_COLS = ("order_date", "market_segment")
@@ -61,6 +61,8 @@ def write_fact(df: DataFrame, path: str) -> None:
 def read_target(spark: SparkSession, path: str) -> DataFrame | None:
     """The current target, or None if it does not exist yet. Files written
     before a schema change are read with merged schemas (B5)."""
+    if not path_exists(spark, path):
+        return None
     try:
         return spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException:
@@ -127,6 +129,13 @@ def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
     """
     if partition_col not in updates.columns:
         updates = with_order_month(updates)
+    # Compute the batch once: it usually comes from the whole order-line
+    # pipeline, and it is read three times below (key check, touched
+    # partitions, merge). The staged copy also fixes its content if a task
+    # has to be recomputed.
+    batch_path = scratch_path(spark, "upsert-batch")
+    updates.write.mode("overwrite").parquet(batch_path)
+    updates = spark.read.parquet(batch_path)
     assert_unique_keys(updates, key)
     target = read_target(spark, target_path)
     if target is None or target.isEmpty():

@@ -15,8 +15,9 @@ Here the values are ranked by a distributed sort instead:
    linearly at position p * (n - 1), as ``percentile`` / ``quantile_cont``
    do.
 
-The sorted run is checkpointed to the shared checkpoint folder, so the ids
-are fixed even if a task is recomputed after an executor loss.
+The input values are checkpointed to the shared checkpoint folder first, so
+sampling, ranking and a task recomputed after an executor loss all read the
+same fixed data.
 """
 
 from __future__ import annotations
@@ -35,13 +36,18 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float]) -
     ``probs``. NULL values are ignored, as in ``percentile``."""
     checkpoint_root(df.sparkSession)
     vals = df.select(group, F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    # Materialize the input once: the range partitioner samples it and the
+    # ranks are read twice below; all of that then reads these files instead
+    # of recomputing the input plan.
+    vals = vals.checkpoint(eager=True)
     counts = vals.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
 
+    # Rows equal in (group, v) may swap ids on a recomputation; they hold the
+    # same value, so every rank still maps to the same value.
     ranked = (vals.repartitionByRange(group, "v").sortWithinPartitions(group, "v")
               .withColumn("_id", F.monotonically_increasing_id()))
     ranked = ranked.select(group, "v", F.shiftright("_id", 33).alias("_part"),
                            F.col("_id").bitwiseAND(F.lit(_LOW_BITS)).alias("_local"))
-    ranked = ranked.checkpoint(eager=True)
 
     runs = ranked.groupBy("_part", group).agg(F.min("_local").alias("_first"),
                                               F.count(F.lit(1)).alias("_cnt"))
@@ -53,7 +59,10 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float]) -
     # and group. Broadcast them when that bound is small; otherwise leave
     # the choice to the planner.
     n_groups = counts.count()
-    bound = ranked.rdd.getNumPartitions() + n_groups * (1 + 2 * len(probs))
+    conf = vals.sparkSession.conf
+    n_parts = max(int(conf.get("spark.sql.shuffle.partitions")),
+                  int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or 0))
+    bound = n_parts + n_groups * (1 + 2 * len(probs))
     small = bound <= BROADCAST_MAX_ROWS
     runs_side = runs.select("_part", group, "_first", "_base")
     rows = ranked.join(F.broadcast(runs_side) if small else runs_side, ["_part", group])

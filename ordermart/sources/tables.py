@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from ..functions.core import MONEY
+from ..session import path_exists
 
 TPCH_TABLES = ["region", "nation", "customer", "supplier", "part", "partsupp",
                "orders", "lineitem"]
@@ -45,6 +46,9 @@ def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def try_read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame | None:
+    """The table if the source has it, else None."""
+    if not path_exists(spark, source_path(sf_dir, name)):
+        return None
     try:
         return read_source(spark, sf_dir, name)
     except AnalysisException:
