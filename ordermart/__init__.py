@@ -1,0 +1 @@
+"""ordermart: order analytics on Spark (star schema, checks and measures)."""

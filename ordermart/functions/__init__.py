@@ -1,0 +1 @@
+"""Column -> Column helpers."""

@@ -1,0 +1 @@
+"""Source tables and the source adapter."""

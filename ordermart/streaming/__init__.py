@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no stream source, watermark, event-time window or stateful
+operator; late data is handled only by the look-back window of the batch
+fact load (``operators.load.lookback_filter`` + ``operators.load.upsert``).
+So this package holds no operator.
+"""
