@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from ..session import path_exists, scratch_path
+from ..session import delete_path, path_exists, scratch_path
 
 PARTITION_COL = "order_month"
 CLUSTER_COLS = ("order_date", "market_segment")
@@ -140,6 +140,7 @@ def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
     target = read_target(spark, target_path)
     if target is None or target.isEmpty():
         write_fact(updates, target_path)
+        delete_path(spark, batch_path)
         return {"first_load": True, "touched": None, "removed": []}
     keys = updates.select(key)
     moved_from = target.join(keys, key, "left_semi").select(partition_col)
@@ -157,6 +158,9 @@ def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
      .partitionBy(partition_col).parquet(target_path))
     removed = [v for v in touched if v not in present]
     _delete_partitions(spark, target_path, partition_col, removed)
+    # The staged copies are read by nothing after the final write.
+    delete_path(spark, staged)
+    delete_path(spark, batch_path)
     return {"first_load": False, "touched": touched, "removed": removed}
 
 

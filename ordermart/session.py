@@ -6,7 +6,6 @@ one in. ``get_session`` is for scripts, tests and the benchmark.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -91,10 +90,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
-def local_path(path: str) -> str | None:
-    """File-system path for ``file:`` or plain paths, else None (remote store)."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path if os.path.isabs(path) else os.path.abspath(path)
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder the library itself staged (never a source or target)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int) -> dict[str, str]:
+    """Suggested settings for a large cluster run, from the input size.
+
+    - shuffle partitions: about 256 MB of shuffle data per partition for the
+      widest shuffle (the order lines, roughly the line-item input), and at
+      least two waves of tasks over all cores; AQE then coalesces small ones
+      and splits skewed ones.
+    - file splits of 512 MB keep scan tasks long enough to amortize start-up.
+    - the broadcast threshold stays modest: only the fixed-size nation and
+      region tables, and run-time small sides chosen by AQE, are broadcast.
+    """
+    cores = max(1, executors * cores_per_executor)
+    partitions = max(2 * cores, input_bytes // (256 << 20))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.parquet.filterPushdown": "true",
+    }

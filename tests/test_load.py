@@ -116,3 +116,9 @@ def test_lookback_predicate_reaches_orders_scan(spark):
     scan = [ln for ln in plan.splitlines() if "orders.parquet" in ln]
     # the date literal reaches the scan's data filters as a plain column comparison
     assert scan and all("(o_orderdate#" in ln and ">= 2001-07-29" in ln for ln in scan), plan
+
+
+def test_sample_failures_is_display_only(spark):
+    failing = spark.range(2000)
+    assert load.sample_failures(failing).count() == 500
+    assert failing.count() == 2000

@@ -170,3 +170,22 @@ def test_date_spine_cover_widens(spark):
     s = dimensions.date_spine(spark, "1992-01-01", "1992-01-10", cover=cover)
     got = [r.date_day for r in s.collect()]
     assert got[0] == dt.date(1990, 1, 1) and got[-1] == dt.date(1992, 1, 10)
+
+
+def test_as_of_lookup_matches_brute_force(spark):
+    """Point-in-time customer keys on sf0.001 against a pandas brute force."""
+    from ordermart.plans.models import Models
+    from tests.conftest import SF_SMALL
+    m = Models(spark, SF_SMALL)
+    keys = facts.customer_keys(m.dim_customer, "as_of")
+    got = facts.lookup_customer(m.stg_orders.select("order_key", "customer_key", "order_date"), keys)
+    got = {r.order_key: r.customer_sk for r in got.collect()}
+    orders = m.stg_orders.select("order_key", "customer_key", "order_date").toPandas()
+    dim = m.dim_customer.select("customer_key", "customer_sk", "effective_from", "effective_to").toPandas()
+    by_key = {k: g for k, g in dim.groupby("customer_key")}
+    for o in orders.itertuples():
+        g = by_key.get(o.customer_key)
+        hit = None if g is None else g[(g.effective_from <= o.order_date) & (o.order_date <= g.effective_to)]
+        want = None if hit is None or hit.empty else hit.customer_sk.iloc[0]
+        assert got[o.order_key] == want
+    assert len(got) == len(orders)
