@@ -247,8 +247,9 @@ def segment_box_plot(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
                   F.col("q0").cast(dec).alias("q1"), F.col("q1").cast(dec).alias("median"),
                   F.col("q2").cast(dec).alias("q3"))
     q = q.withColumn("iqr", (F.col("q3") - F.col("q1")).cast(dec))
-    q = q.withColumns({"lower_fence": (F.col("q1") - F.col("iqr") * F.lit(1.5)).cast(dec),
-                       "upper_fence": (F.col("q3") + F.col("iqr") * F.lit(1.5)).cast(dec)})
+    k = F.lit(1.5).cast("decimal(2,1)")      # exact: the fences stay decimal arithmetic
+    q = q.withColumns({"lower_fence": (F.col("q1") - F.col("iqr") * k).cast(dec),
+                       "upper_fence": (F.col("q3") + F.col("iqr") * k).cast(dec)})
     out = per_cust.join(q.select("market_segment", "lower_fence", "upper_fence"), "market_segment")
     outside = (F.col("customer_revenue").cast(dec) < F.col("lower_fence")) | \
               (F.col("customer_revenue").cast(dec) > F.col("upper_fence"))
