@@ -22,6 +22,8 @@ BASE_CONF = {
     # Parquet output of the fact may be re-read with new columns (schema drift).
     "spark.sql.parquet.mergeSchema": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Checkpoint files of DataFrames that are no longer referenced are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -47,8 +49,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     for k, v in conf.items():
-        # Static settings (ui) cannot change on a running session; runtime ones can.
-        if not k.startswith("spark.ui"):
+        # Static settings cannot change on a running session; runtime ones can.
+        if not k.startswith(("spark.ui", "spark.cleaner")):
             try:
                 spark.conf.set(k, v)
             except Exception:  # noqa: BLE001 - static conf on an existing session
