@@ -104,14 +104,10 @@ def assert_unique_keys(df: DataFrame, key: str) -> None:
 
 def _delete_partitions(spark: SparkSession, path: str, col: str, values) -> None:
     """Remove partition folders through the Hadoop file system of ``path``."""
-    if not values:
-        return
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
     for v in values:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{col}={v}"), True)
+        if not delete_path(spark, f"{path.rstrip('/')}/{col}={v}"):
+            # Leaving the folder would keep rows that moved elsewhere.
+            raise RuntimeError(f"cannot remove emptied partition {col}={v} of {path}")
 
 
 def upsert(spark: SparkSession, updates: DataFrame, target_path: str,

@@ -58,6 +58,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session, or None (remote session)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions have no context
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -65,7 +73,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when it is unset, as in local tests, a folder under /tmp is created
     and registered, so later calls in the same session reuse it.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return root
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -84,19 +97,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop FileSystem, Path) for ``path``, or None on a remote session."""
+    sc = _context(spark)
+    if sc is None:
+        return None
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, asked of the Hadoop file system that serves it
     (local disk, HDFS or an object store alike)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a folder the library itself staged (never a source or target)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs = _file_system(spark, path)
+    if fs is not None:
+        return bool(fs[0].exists(fs[1]))
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.parquet(path).schema  # noqa: B018 - resolves the path
+        return True
+    except AnalysisException:
+        return False
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder the library itself wrote. Returns False when the
+    session gives no file-system access (a remote session)."""
+    fs = _file_system(spark, path)
+    if fs is None:
+        return False
+    fs[0].delete(fs[1], True)
+    return True
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int) -> dict[str, str]:
