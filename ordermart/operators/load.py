@@ -110,8 +110,19 @@ def _delete_partitions(spark: SparkSession, path: str, col: str, values) -> None
             raise RuntimeError(f"cannot remove emptied partition {col}={v} of {path}")
 
 
+def _month_index(yyyymm: int) -> int:
+    return (yyyymm // 100) * 12 + (yyyymm % 100) - 1
+
+
+def _months_around(lo: int, hi: int, n: int) -> list[int]:
+    """yyyymm values from n months before ``lo`` to n months after ``hi``."""
+    a, b = _month_index(lo) - n, _month_index(hi) + n
+    return [(i // 12) * 100 + i % 12 + 1 for i in range(a, b + 1)]
+
+
 def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
-           key: str = "order_line_sk", partition_col: str = PARTITION_COL) -> dict:
+           key: str = "order_line_sk", partition_col: str = PARTITION_COL,
+           move_search_months: int | None = None) -> dict:
     """B3 + B5: keyed upsert of ``updates`` into the parquet table at
     ``target_path``; matches are replaced, new keys inserted, nothing deleted.
 
@@ -122,6 +133,12 @@ def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
     that receive no rows untouched. New columns are added (NULL in old
     rows); columns missing from the updates are kept (NULL in new rows).
     Returns a small summary (partitions touched/removed).
+
+    Finding moved rows reads the key column of the whole target (the keys
+    are hashes, so no file can be skipped). ``move_search_months=n`` limits
+    that search to partitions within n months of the batch's months, a
+    partition-pruned scan; use it only when order dates are known never to
+    be corrected by more than n months. The default (None) is exact.
     """
     if partition_col not in updates.columns:
         updates = with_order_month(updates)
@@ -139,7 +156,13 @@ def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
         delete_path(spark, batch_path)
         return {"first_load": True, "touched": None, "removed": []}
     keys = updates.select(key)
-    moved_from = target.join(keys, key, "left_semi").select(partition_col)
+    search = target
+    if move_search_months is not None:
+        bounds = updates.agg(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi")).first()
+        if bounds["lo"] is not None:
+            near = _months_around(bounds["lo"], bounds["hi"], move_search_months)
+            search = target.where(F.col(partition_col).isin(near))
+    moved_from = search.join(keys, key, "left_semi").select(partition_col)
     # One value per partition: bounded by the number of months, not rows.
     touched = sorted(r[0] for r in updates.select(partition_col)
                      .union(moved_from).distinct().collect())

@@ -122,3 +122,13 @@ def test_sample_failures_is_display_only(spark):
     failing = spark.range(2000)
     assert load.sample_failures(failing).count() == 500
     assert failing.count() == 2000
+
+
+def test_move_search_window(spark, tmp_dir):
+    assert load._months_around(200001, 200002, 1) == [199912, 200001, 200002, 200003]
+    path = f"{tmp_dir}/fact"
+    load.upsert(spark, fact(spark, [("a", d(2000, 1, 5), "B", 1.0), ("b", d(2000, 6, 5), "B", 2.0)]), path)
+    # a move within the window is found and its old partition removed
+    info = load.upsert(spark, fact(spark, [("a", d(2000, 2, 9), "B", 1.5)]), path, move_search_months=1)
+    assert info["removed"] == [200001]
+    assert months_on_disk(path) == ["order_month=200002", "order_month=200006"]
