@@ -235,7 +235,7 @@ def segment_box_plot(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     Quartiles are exact (linear interpolation) and computed by
     ``exact_quantiles``, which ranks values with a distributed sort, so a
     segment holding most customers is spread over many tasks. Values are
-    output as decimal(18,4).
+    rounded to 4 decimals (decimal(18,4)) and output as double.
     """
     from .quantiles import exact_quantiles
     per_cust = customer_revenue(fact).join(
@@ -254,9 +254,10 @@ def segment_box_plot(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     outside = (F.col("customer_revenue").cast(dec) < F.col("lower_fence")) | \
               (F.col("customer_revenue").cast(dec) > F.col("upper_fence"))
     n_out = out.groupBy("market_segment").agg(F.count_if(outside).alias("n_outliers"))
+    stats = ["q1", "median", "q3", "iqr", "lower_fence", "upper_fence"]
     return q.join(n_out, "market_segment").select(
-        "market_segment", F.col("n").alias("n_customers"), "q1", "median", "q3", "iqr",
-        "lower_fence", "upper_fence", "n_outliers")
+        "market_segment", F.col("n").alias("n_customers"),
+        *[F.col(c).cast("double").alias(c) for c in stats], "n_outliers")
 
 
 def top_customers(fact: DataFrame, dim_customer: DataFrame, n: int = 20) -> DataFrame:
@@ -287,7 +288,7 @@ def tier_migration(dim_customer: DataFrame) -> DataFrame:
 def weighted_rates(fact: DataFrame, by: str = "market_segment") -> DataFrame:
     """Weighted averages of the non-additive rates: discount rate
     weighted by extended price (exact), margin weighted by net revenue (lines
-    with a margin; output decimal(18,6))."""
+    with a margin; rounded to 6 decimals)."""
     w_disc = fn.rate("discount_rate") * fn.money("extended_price")
     has_m = F.col("estimated_margin_pct").isNotNull()
     g = fact.groupBy(by).agg(
@@ -295,4 +296,5 @@ def weighted_rates(fact: DataFrame, by: str = "market_segment") -> DataFrame:
         F.sum(F.when(has_m, F.col("estimated_margin_pct") * F.col("net_revenue"))).alias("wm"),
         F.sum(F.when(has_m, fn.money("net_revenue"))).alias("net_m"))
     return g.select(by, ratio(F.col("wd"), F.col("ext")).alias("weighted_discount_rate"),
-                    ratio(F.col("wm"), F.col("net_m")).cast("decimal(18,6)").alias("weighted_margin_pct"))
+                    ratio(F.col("wm"), F.col("net_m")).cast("decimal(18,6)").cast("double")
+                    .alias("weighted_margin_pct"))

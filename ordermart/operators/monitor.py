@@ -25,7 +25,8 @@ def volume_anomaly(df: DataFrame, date_col: str, window_days: int = 7,
     The window runs over the daily counts (one row per day). Mean and
     variance come from exact integer sums (sum, sum of squares), so the
     result does not depend on summation order. z is NULL until the window
-    holds two days or when the spread is 0.
+    holds two days or when the spread is 0. Statistics are rounded to 6
+    decimals.
     """
     daily = df.groupBy(F.to_date(date_col).alias("day")).agg(F.count(F.lit(1)).alias("rows"))
     w = Window.orderBy("day").rowsBetween(-window_days, -1)
@@ -40,7 +41,7 @@ def volume_anomaly(df: DataFrame, date_col: str, window_days: int = 7,
     dec = "decimal(18,6)"
     return daily.select(
         "day", "rows", F.col("n").alias("window_days"),
-        F.when(F.col("n") > 0, mean).cast(dec).alias("trailing_mean"),
-        F.when(F.col("n") >= 2, sd).cast(dec).alias("trailing_stddev"),
-        z.cast(dec).alias("z_score"),
+        F.when(F.col("n") > 0, mean).cast(dec).cast("double").alias("trailing_mean"),
+        F.when(F.col("n") >= 2, sd).cast(dec).cast("double").alias("trailing_stddev"),
+        z.cast(dec).cast("double").alias("z_score"),
         F.coalesce(F.abs(z) > z_threshold, F.lit(False)).alias("is_anomaly"))

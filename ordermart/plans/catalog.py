@@ -66,7 +66,8 @@ def q_stg_products(spark, d):
 
 @query("best_supplier")
 def q_best_supplier(spark, d):
-    return staging.best_supplier(_m(spark, d).partsupp_src)
+    return staging.best_supplier(_m(spark, d).partsupp_src).withColumn(
+        "supply_cost", fn.out("supply_cost"))
 
 
 # --- order lines ---------------------------------------------------------
@@ -145,7 +146,8 @@ def q_scd2_capture(spark, d):
     m = _m(spark, d)
     out = scd2.scd2_capture(m.history_snapshot, capture_incoming(m))
     return out.withColumns({"updated_at": F.col("updated_at").cast("timestamp_ntz"),
-                            "valid_to": F.col("valid_to").cast("timestamp_ntz")})
+                            "valid_to": F.col("valid_to").cast("timestamp_ntz"),
+                            "c_acctbal": fn.out("c_acctbal")})
 
 
 # --- fact ----------------------------------------------------------------

@@ -348,7 +348,8 @@ def oq(name: str, deps: list[str], body: str) -> None:
 oq("stg_orders", ["stg_orders"], "SELECT * FROM stg_orders")
 oq("stg_customers", ["stg_customers"], "SELECT * FROM stg_customers")
 oq("stg_products", ["stg_products"], "SELECT * FROM stg_products")
-oq("best_supplier", ["best_supplier"], "SELECT * FROM best_supplier")
+oq("best_supplier", ["best_supplier"],
+   "SELECT part_key, supplier_key, available_qty, CAST(supply_cost AS DOUBLE) AS supply_cost FROM best_supplier")
 oq("order_lines_enriched", ["int_orders_enriched"], "SELECT * FROM int_orders_enriched")
 oq("line_revenue", ["line_amounts"], f"""
   SELECT {_sk('order_key', 'line_number')} AS order_line_sk,
@@ -384,16 +385,18 @@ oq("scd2_capture", ["customer_history"], f"""
     SELECT i.*, o.updated_at AS open_upd FROM inc_h i
     LEFT JOIN (SELECT * FROM customer_history WHERE valid_to IS NULL) o ON i.c_custkey = o.c_custkey
     WHERE o.updated_at IS NULL OR (i.updated_at > o.updated_at AND i.scd_id <> o.scd_id))
-  SELECT c_custkey, c_name, c_address, c_phone, c_mktsegment, c_comment, n_name, r_name, c_acctbal,
-         scd_id, updated_at, valid_to FROM customer_history WHERE valid_to IS NOT NULL
+  SELECT c_custkey, c_name, c_address, c_phone, c_mktsegment, c_comment, n_name, r_name,
+         CAST(c_acctbal AS DOUBLE) AS c_acctbal, scd_id, updated_at, valid_to
+  FROM customer_history WHERE valid_to IS NOT NULL
   UNION ALL
   SELECT h.c_custkey, h.c_name, h.c_address, h.c_phone, h.c_mktsegment, h.c_comment, h.n_name, h.r_name,
-         h.c_acctbal, h.scd_id, h.updated_at,
+         CAST(h.c_acctbal AS DOUBLE) AS c_acctbal, h.scd_id, h.updated_at,
          (SELECT ch.updated_at FROM changed ch WHERE ch.c_custkey = h.c_custkey AND ch.open_upd IS NOT NULL) AS valid_to
   FROM customer_history h WHERE h.valid_to IS NULL
   UNION ALL
-  SELECT c_custkey, c_name, c_address, c_phone, c_mktsegment, c_comment, n_name, r_name, c_acctbal,
-         scd_id, updated_at, CAST(NULL AS TIMESTAMP) AS valid_to FROM changed""")
+  SELECT c_custkey, c_name, c_address, c_phone, c_mktsegment, c_comment, n_name, r_name,
+         CAST(c_acctbal AS DOUBLE) AS c_acctbal, scd_id, updated_at, CAST(NULL AS TIMESTAMP) AS valid_to
+  FROM changed""")
 
 _FACT_COLS = ", ".join(c for c in catalog.facts.FACT_COLUMNS if c != "_loaded_at")
 oq("fact_orders", ["fact_orders"], "SELECT * FROM fact_orders")
@@ -694,7 +697,9 @@ oq("segment_box_plot", ["fact_orders", "dim_customer"], """
       CAST(q1 - CAST(q3 - q1 AS DECIMAL(18,4)) * 1.5 AS DECIMAL(18,4)) AS lower_fence,
       CAST(q3 + CAST(q3 - q1 AS DECIMAL(18,4)) * 1.5 AS DECIMAL(18,4)) AS upper_fence
     FROM q)
-  SELECT f.market_segment, f.n AS n_customers, f.q1, f.median, f.q3, f.iqr, f.lower_fence, f.upper_fence,
+  SELECT f.market_segment, f.n AS n_customers, CAST(f.q1 AS DOUBLE) AS q1, CAST(f.median AS DOUBLE) AS median,
+    CAST(f.q3 AS DOUBLE) AS q3, CAST(f.iqr AS DOUBLE) AS iqr, CAST(f.lower_fence AS DOUBLE) AS lower_fence,
+    CAST(f.upper_fence AS DOUBLE) AS upper_fence,
     (SELECT count(*) FROM per_cust p WHERE p.market_segment = f.market_segment
        AND (CAST(p.customer_revenue AS DECIMAL(18,4)) < f.lower_fence
             OR CAST(p.customer_revenue AS DECIMAL(18,4)) > f.upper_fence)) AS n_outliers
@@ -718,7 +723,7 @@ oq("tier_migration", ["dim_customer"], """
   GROUP BY 1, 2""")
 oq("weighted_rates", ["fact_orders"], f"""
   SELECT market_segment, {_ratio('wd', 'ext')} AS weighted_discount_rate,
-    CAST({_ratio('wm', 'net_m')} AS DECIMAL(18,6)) AS weighted_margin_pct
+    CAST(CAST({_ratio('wm', 'net_m')} AS DECIMAL(18,6)) AS DOUBLE) AS weighted_margin_pct
   FROM (SELECT market_segment,
           sum(CAST(discount_rate AS DECIMAL(4,2)) * CAST(extended_price AS DECIMAL(12,2))) AS wd,
           sum(CAST(extended_price AS DECIMAL(12,2))) AS ext,
@@ -740,9 +745,10 @@ oq("volume_anomaly", ["fact_orders"], """
           n * s2 - s1 * s1 AS var_num,
           CAST(n * s2 - s1 * s1 AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE) AS var FROM w)
   SELECT day, rows, n AS window_days,
-    CAST(CASE WHEN n > 0 THEN mean END AS DECIMAL(18,6)) AS trailing_mean,
-    CAST(CASE WHEN n >= 2 THEN sqrt(var) END AS DECIMAL(18,6)) AS trailing_stddev,
-    CAST(CASE WHEN n >= 2 AND var_num > 0 THEN (CAST(rows AS DOUBLE) - mean) / sqrt(var) END AS DECIMAL(18,6)) AS z_score,
+    CAST(CAST(CASE WHEN n > 0 THEN mean END AS DECIMAL(18,6)) AS DOUBLE) AS trailing_mean,
+    CAST(CAST(CASE WHEN n >= 2 THEN sqrt(var) END AS DECIMAL(18,6)) AS DOUBLE) AS trailing_stddev,
+    CAST(CAST(CASE WHEN n >= 2 AND var_num > 0 THEN (CAST(rows AS DOUBLE) - mean) / sqrt(var) END
+              AS DECIMAL(18,6)) AS DOUBLE) AS z_score,
     coalesce(abs(CASE WHEN n >= 2 AND var_num > 0 THEN (CAST(rows AS DOUBLE) - mean) / sqrt(var) END) > 3.0, FALSE)
       AS is_anomaly
   FROM z""")
