@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from ..session import delete_path, path_exists, scratch_path
+from ..session import delete_path, path_exists, rename_path, scratch_path
 
 PARTITION_COL = "order_month"
 CLUSTER_COLS = ("order_date", "market_segment")
@@ -32,8 +32,27 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    """B2: full rebuild of a table."""
-    df.write.mode("overwrite").parquet(path)
+    """B2: full rebuild of a table.
+
+    The new version is written next to the table and swapped in by two
+    folder renames, so a failed job leaves the previous version in place
+    (a plain overwrite deletes it before writing), and the new data may be
+    built from the table it replaces.
+    """
+    spark = df.sparkSession
+    base = path.rstrip("/")
+    new, old = f"{base}.__new__", f"{base}.__old__"
+    df.write.mode("overwrite").parquet(new)
+    if not path_exists(spark, base):
+        if not rename_path(spark, new, base):
+            spark.read.parquet(new).write.mode("overwrite").parquet(base)
+        return
+    delete_path(spark, old)
+    if rename_path(spark, base, old) and rename_path(spark, new, base):
+        delete_path(spark, old)
+        return
+    # No file-system access (remote session): copy over the old version.
+    spark.read.parquet(new).write.mode("overwrite").parquet(base)
 
 
 def with_order_month(df: DataFrame, date_col: str = "order_date") -> DataFrame:

@@ -130,6 +130,16 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
+    """Rename a folder on its Hadoop file system (atomic on HDFS-like
+    stores). Returns False when the session gives no file-system access."""
+    fs = _file_system(spark, src)
+    if fs is None:
+        return False
+    target = fs[1].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(target.rename(fs[1], spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)))
+
+
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int) -> dict[str, str]:
     """Suggested settings for a large cluster run, from the input size.
 

@@ -132,3 +132,13 @@ def test_move_search_window(spark, tmp_dir):
     info = load.upsert(spark, fact(spark, [("a", d(2000, 2, 9), "B", 1.5)]), path, move_search_months=1)
     assert info["removed"] == [200001]
     assert months_on_disk(path) == ["order_month=200002", "order_month=200006"]
+
+
+def test_write_table_swaps_versions(spark, tmp_dir):
+    path = f"{tmp_dir}/dim"
+    load.write_table(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 3
+    # the new version may be computed from the table it replaces
+    load.write_table(spark.read.parquet(path).union(spark.range(10, 12)), path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 10, 11]
+    assert not os.path.exists(f"{path}.__new__") and not os.path.exists(f"{path}.__old__")
