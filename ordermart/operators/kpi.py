@@ -26,7 +26,8 @@ def ratio(num: Column, den: Column) -> Column:
 
 def slice_fact(fact: DataFrame, fiscal_year=None, fiscal_quarter=None, region=None,
                segment=None) -> DataFrame:
-    """The dashboard slicers as optional filters (pushed to the scan)."""
+    """The dashboard slicers as optional filters (pushed to the scan).
+    Every fact-based measure below takes them as keyword arguments."""
     conds = []
     if fiscal_year is not None:
         conds.append(F.col("fiscal_year") == fiscal_year)
@@ -82,10 +83,11 @@ def _month_start(c: str = "order_date") -> Column:
     return F.trunc(F.col(c), "month")
 
 
-def revenue_by_month(fact: DataFrame) -> DataFrame:
+def revenue_by_month(fact: DataFrame, **slicers) -> DataFrame:
     """K5: revenue per month on a dense month grid (months without orders
     show 0) and month-over-month change. The grid and the lag run on the
     monthly aggregate: one row per month."""
+    fact = slice_fact(fact, **slicers)
     monthly = fact.groupBy(_month_start().alias("month_start")).agg(money_sum("net_revenue").alias("rev"))
     grid = monthly.agg(F.min("month_start").alias("lo"), F.max("month_start").alias("hi")).select(
         F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("month_start"))
@@ -99,7 +101,7 @@ def revenue_by_month(fact: DataFrame) -> DataFrame:
         ratio(F.col("rev") - prev, prev).alias("mom_pct"))
 
 
-def revenue_yoy(fact: DataFrame, grain: str = "month") -> DataFrame:
+def revenue_yoy(fact: DataFrame, grain: str = "month", **slicers) -> DataFrame:
     """K6: revenue per period, the same period one year earlier and the
     year-over-year change (NULL without a base). A self-join on the shifted
     period, not lag, because periods can be missing. For days, 29 Feb maps
@@ -112,7 +114,7 @@ def revenue_yoy(fact: DataFrame, grain: str = "month") -> DataFrame:
         period = F.trunc(F.col("order_date"), "year")
     else:
         raise ValueError("grain must be day, month or year")
-    per = fact.groupBy(period.alias("period_start")).agg(money_sum("net_revenue").alias("rev"))
+    per = slice_fact(fact, **slicers).groupBy(period.alias("period_start")).agg(money_sum("net_revenue").alias("rev"))
     ly = per.select(F.add_months("period_start", 12).alias("period_start"),
                     F.col("rev").alias("ly_rev"))
     if grain == "day":
@@ -124,12 +126,12 @@ def revenue_yoy(fact: DataFrame, grain: str = "month") -> DataFrame:
                     ratio(F.col("rev") - F.col("ly_rev"), F.col("ly_rev")).alias("yoy_pct"))
 
 
-def revenue_to_date(fact: DataFrame, period: str = "month") -> DataFrame:
+def revenue_to_date(fact: DataFrame, period: str = "month", **slicers) -> DataFrame:
     """K7/K8: daily revenue and the running total within the calendar month
     or quarter. The window runs on daily sums (at most 92 rows per group)."""
     if period not in ("month", "quarter"):
         raise ValueError("period must be month or quarter")
-    daily = fact.groupBy("order_date").agg(money_sum("net_revenue").alias("rev"))
+    daily = slice_fact(fact, **slicers).groupBy("order_date").agg(money_sum("net_revenue").alias("rev"))
     start = F.trunc("order_date", "month" if period == "month" else "quarter")
     w = (Window.partitionBy(start).orderBy("order_date")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -138,13 +140,13 @@ def revenue_to_date(fact: DataFrame, period: str = "month") -> DataFrame:
                         F.sum("rev").over(w).cast("double").alias(f"{period[0]}td_revenue"))
 
 
-def revenue_share(fact: DataFrame, by: str) -> DataFrame:
+def revenue_share(fact: DataFrame, by: str, **slicers) -> DataFrame:
     """Revenue per group and its share of the total.
 
     The total is a one-row aggregate broadcast to the grouped rows (its size
     is exactly one row), so the share needs no single-partition window even
     when ``by`` has many values."""
-    g = fact.groupBy(by).agg(money_sum("net_revenue").alias("rev"))
+    g = slice_fact(fact, **slicers).groupBy(by).agg(money_sum("net_revenue").alias("rev"))
     total = g.agg(F.sum("rev").alias("total")).withColumn("_one", F.lit(1))
     j = g.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
     return j.select(by, F.col("rev").cast("double").alias("revenue"),
@@ -174,29 +176,29 @@ def shipping_kpis(fact: DataFrame, **slicers) -> DataFrame:
         "lines")
 
 
-def on_time_by(fact: DataFrame, by: str = "ship_mode") -> DataFrame:
+def on_time_by(fact: DataFrame, by: str = "ship_mode", **slicers) -> DataFrame:
     """On-time and late lines per group."""
-    g = fact.groupBy(by).agg(F.count(F.lit(1)).alias("lines"),
+    g = slice_fact(fact, **slicers).groupBy(by).agg(F.count(F.lit(1)).alias("lines"),
                              F.count_if(~F.col("is_late_delivery")).alias("on_time_lines"),
                              F.count_if(F.col("is_late_delivery")).alias("late_lines"))
     return g.withColumn("on_time_rate", ratio(F.col("on_time_lines"), F.col("lines")))
 
 
-def fulfillment_histogram(fact: DataFrame, cap: int = 14) -> DataFrame:
+def fulfillment_histogram(fact: DataFrame, cap: int = 14, **slicers) -> DataFrame:
     """Lines per fulfillment-day bucket: '<1', '1' ... 'cap-1', 'cap+'."""
     d = F.col("total_fulfillment_days")
     bucket_no = (F.when(d.isNull(), None).when(d < 1, 0).when(d >= cap, cap).otherwise(d)).cast("int")
     label = (F.when(bucket_no == 0, "<1").when(bucket_no == cap, f"{cap}+")
              .otherwise(bucket_no.cast("string")))
-    return (fact.groupBy(bucket_no.alias("bucket"), label.alias("bucket_label"))
+    return (slice_fact(fact, **slicers).groupBy(bucket_no.alias("bucket"), label.alias("bucket_label"))
             .agg(F.count(F.lit(1)).alias("lines")))
 
 
-def late_by(fact: DataFrame, by: str = "product_material") -> DataFrame:
+def late_by(fact: DataFrame, by: str = "product_material", **slicers) -> DataFrame:
     """Total lines, late lines, late share and average days late (late
     lines with days_late > 0) per group."""
     late_days = F.when(F.col("days_late") > 0, F.col("days_late"))
-    g = fact.groupBy(by).agg(F.count(F.lit(1)).alias("total_lines"),
+    g = slice_fact(fact, **slicers).groupBy(by).agg(F.count(F.lit(1)).alias("total_lines"),
                              F.count_if(F.col("is_late_delivery")).alias("late_lines"),
                              F.sum(late_days.cast("long")).alias("s"), F.count(late_days).alias("n"))
     return g.select(by, "total_lines", "late_lines",
@@ -204,7 +206,7 @@ def late_by(fact: DataFrame, by: str = "product_material") -> DataFrame:
                     ratio(F.col("s"), F.col("n")).alias("avg_days_late"))
 
 
-def tier_revenue_by_quarter(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def tier_revenue_by_quarter(fact: DataFrame, dim_customer: DataFrame, **slicers) -> DataFrame:
     """Revenue per calendar quarter and account tier.
 
     The fact carries no tier, so it is joined to the customer dimension on
@@ -212,7 +214,7 @@ def tier_revenue_by_quarter(fact: DataFrame, dim_customer: DataFrame) -> DataFra
     the join sees one row per customer and quarter instead of every line.
     """
     q = F.trunc("order_date", "quarter")
-    pre = fact.groupBy("customer_sk", q.alias("quarter_start")).agg(money_sum("net_revenue").alias("rev"))
+    pre = slice_fact(fact, **slicers).groupBy("customer_sk", q.alias("quarter_start")).agg(money_sum("net_revenue").alias("rev"))
     dc = dim_customer.select("customer_sk", "account_tier")
     j = pre.join(dc, "customer_sk", "left").withColumn(
         "account_tier", F.coalesce(F.col("account_tier"), F.lit("Unknown")))
@@ -228,7 +230,7 @@ def customer_revenue(fact: DataFrame) -> DataFrame:
                                            F.countDistinct("order_key").alias("order_count"))
 
 
-def segment_box_plot(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def segment_box_plot(fact: DataFrame, dim_customer: DataFrame, **slicers) -> DataFrame:
     """Per market segment, the quartiles of revenue per customer,
     1.5 x IQR fences and the number of customers outside them.
 
@@ -238,7 +240,7 @@ def segment_box_plot(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     rounded to 4 decimals (decimal(18,4)) and output as double.
     """
     from .quantiles import exact_quantiles
-    per_cust = customer_revenue(fact).join(
+    per_cust = customer_revenue(slice_fact(fact, **slicers)).join(
         dim_customer.select("customer_sk", "market_segment"), "customer_sk", "left").select(
         "market_segment", F.col("rev").cast("double").alias("customer_revenue"))
     qs = exact_quantiles(per_cust, "market_segment", "customer_revenue", [0.25, 0.5, 0.75])
@@ -260,14 +262,14 @@ def segment_box_plot(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
         *[F.col(c).cast("double").alias(c) for c in stats], "n_outliers")
 
 
-def top_customers(fact: DataFrame, dim_customer: DataFrame, n: int = 20) -> DataFrame:
+def top_customers(fact: DataFrame, dim_customer: DataFrame, n: int = 20, **slicers) -> DataFrame:
     """The n customers with the highest net revenue (ties: lower
     customer key first), with name, tier, segment, revenue and orders.
     Revenue is aggregated per customer first; the ordered limit is a
     distributed top-n; the rank is numbered on those n rows only."""
     dc = dim_customer.select("customer_sk", "customer_key", "customer_name", "account_tier",
                              "market_segment")
-    per = customer_revenue(fact).join(dc, "customer_sk", "left")
+    per = customer_revenue(slice_fact(fact, **slicers)).join(dc, "customer_sk", "left")
     top = per.orderBy(F.col("rev").desc(), F.col("customer_key").asc()).limit(n)
     rank = F.row_number().over(Window.orderBy(F.col("rev").desc(), F.col("customer_key").asc()))
     return top.select(rank.alias("rank"), "customer_key", "customer_name", "account_tier",
@@ -285,13 +287,13 @@ def tier_migration(dim_customer: DataFrame) -> DataFrame:
             .groupBy("from_tier", "to_tier").agg(F.countDistinct("customer_key").alias("customers")))
 
 
-def weighted_rates(fact: DataFrame, by: str = "market_segment") -> DataFrame:
+def weighted_rates(fact: DataFrame, by: str = "market_segment", **slicers) -> DataFrame:
     """Weighted averages of the non-additive rates: discount rate
     weighted by extended price (exact), margin weighted by net revenue (lines
     with a margin; rounded to 6 decimals)."""
     w_disc = fn.rate("discount_rate") * fn.money("extended_price")
     has_m = F.col("estimated_margin_pct").isNotNull()
-    g = fact.groupBy(by).agg(
+    g = slice_fact(fact, **slicers).groupBy(by).agg(
         F.sum(w_disc).alias("wd"), money_sum("extended_price").alias("ext"),
         F.sum(F.when(has_m, F.col("estimated_margin_pct") * F.col("net_revenue"))).alias("wm"),
         F.sum(F.when(has_m, fn.money("net_revenue"))).alias("net_m"))

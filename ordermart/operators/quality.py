@@ -90,6 +90,12 @@ def column_values(df: DataFrame, col: str, max_records: int = 50) -> DataFrame:
             .orderBy(col).limit(max_records))
 
 
+def column_value_list(df: DataFrame, col: str, max_records: int = 50) -> list:
+    """E3 as a Python list, for building IN lists; at most ``max_records``
+    values reach the driver."""
+    return [r[0] for r in column_values(df, col, max_records).collect()]
+
+
 def freshness(df: DataFrame, col: str, as_of, warn_after_days: int = 1,
               error_after_days: int = 3, table_name: str = "orders") -> DataFrame:
     """Age of the newest ``col`` value against ``as_of``: warn after

@@ -84,10 +84,14 @@ def single_version(stg_customers: DataFrame, start: str = fn.HISTORY_START,
         F.lit(True).alias("is_current"))
 
 
-def customer_history(stg_customers: DataFrame, snapshot: DataFrame | None = None,
+def customer_history(stg_customers: DataFrame, snapshot: DataFrame | str | None = None,
                      collapse_same_day: bool = False) -> DataFrame:
     """The change history when one exists, else a single version per
-    customer from the current staging rows."""
+    customer from the current staging rows. ``snapshot`` is a DataFrame or
+    the path of a stored history table (used when the path exists)."""
+    if isinstance(snapshot, str):
+        from .load import read_target  # local import: load does not need scd2
+        snapshot = read_target(stg_customers.sparkSession, snapshot)
     if snapshot is None:
         return single_version(stg_customers)
     return read_customer_history(snapshot, collapse_same_day)

@@ -141,3 +141,16 @@ def test_volume_anomaly(spark):
 def test_relation_count_diff(spark):
     r = monitor.relation_count_diff(spark.range(7), spark.range(4), "a", "b").first()
     assert (r.count_a, r.count_b, r.diff) == (7, 4, -3)
+
+
+def test_slicers_apply_to_every_measure(spark):
+    f = fact(spark, [(1, d(2000, 1, 1), 10.0, False, "A", "c1", 0, 1, 1, False, 2),
+                     (2, d(2000, 1, 2), 30.0, True, "B", "c2", 2, 1, 1, False, 2)])
+    f = f.withColumns({"market_segment": F.col("market_segment"), "region_name": F.lit("EUROPE"),
+                       "fiscal_year": F.lit(2000), "fiscal_quarter": F.lit(2),
+                       "ship_mode": F.lit("AIR"), "product_material": F.lit("TIN")})
+    assert [r.revenue for r in kpi.revenue_share(f, "market_segment", segment="B").collect()] == [30.0]
+    assert kpi.revenue_by_month(f, segment="A").first().revenue == 10.0
+    assert kpi.on_time_by(f, segment="B").first().late_lines == 1
+    assert kpi.late_by(f, segment="A").first().late_lines == 0
+    assert kpi.fulfillment_histogram(f, region="ASIA").count() == 0

@@ -156,3 +156,8 @@ def test_declared_check_contract():
                        "accepted_values": 14, "relationships": 1}
     errors = [c.name for c in quality.DECLARED_CHECKS if c.severity == "error"]
     assert errors == ["unique__fact_orders__order_line_sk"]
+
+
+def test_column_value_list(spark):
+    df = spark.createDataFrame([(v,) for v in ["b", None, "a", "b", "c"]], "x string")
+    assert quality.column_value_list(df, "x") == ["a", "b", "c"]

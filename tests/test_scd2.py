@@ -114,3 +114,15 @@ def test_capture(spark):
     # applying the same batch again changes nothing
     again = scd2.scd2_capture(out, inc)
     assert rows(again, "c_custkey", "c_acctbal", "updated_at", "valid_to") == got
+
+
+def test_history_switch_by_path(spark, tmp_dir):
+    stg = spark.createDataFrame([(1, "C1", None, None, "BUILDING", None, "NATION_1", "AMERICA", 10.0)],
+                                "customer_key long, customer_name string, customer_address string, "
+                                "customer_phone string, market_segment string, customer_comment string, "
+                                "nation_name string, region_name string, account_balance double")
+    missing = scd2.customer_history(stg, f"{tmp_dir}/no_such_history")
+    assert rows(missing, "customer_key", "effective_from") == [(1, dt.date(1992, 1, 1))]
+    history(spark).write.parquet(f"{tmp_dir}/hist")
+    stored = scd2.customer_history(stg, f"{tmp_dir}/hist")
+    assert stored.count() == 9
