@@ -31,15 +31,19 @@ _LOW_BITS = (1 << 33) - 1
 BROADCAST_MAX_ROWS = 1_000_000   # rows of a small side that may be broadcast
 
 
-def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float],
+                    materialize: bool = True) -> DataFrame:
     """One row per group: ``group``, ``n`` and ``q0..q{k-1}`` (double) for
-    ``probs``. NULL values are ignored, as in ``percentile``."""
-    checkpoint_root(df.sparkSession)
+    ``probs``. NULL values are ignored, as in ``percentile``.
+    ``materialize=False`` when ``df`` is already checkpointed or read from
+    files."""
     vals = df.select(group, F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
-    # Materialize the input once: the range partitioner samples it and the
-    # ranks are read twice below; all of that then reads these files instead
-    # of recomputing the input plan.
-    vals = vals.checkpoint(eager=True)
+    if materialize:
+        # Materialize the input once: the range partitioner samples it and
+        # the ranks are read twice below; all of that then reads these files
+        # instead of recomputing the input plan.
+        checkpoint_root(df.sparkSession)
+        vals = vals.checkpoint(eager=True)
     counts = vals.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
 
     # Rows equal in (group, v) may swap ids on a recomputation; they hold the
