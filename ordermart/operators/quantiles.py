@@ -46,9 +46,15 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float],
         vals = vals.checkpoint(eager=True)
     counts = vals.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
 
-    # Rows equal in (group, v) may swap ids on a recomputation; they hold the
-    # same value, so every rank still maps to the same value.
-    ranked = (vals.repartitionByRange(group, "v").sortWithinPartitions(group, "v")
+    # An explicit partition count: AQE never coalesces such a shuffle, so the
+    # two reads of the ranked rows below (run counts, and the rows joined to
+    # them) see the same partitions and the same ids. Rows equal in
+    # (group, v) may swap ids between reads; they hold the same value, so
+    # every rank still maps to the same value.
+    conf = vals.sparkSession.conf
+    n_parts = max(int(conf.get("spark.sql.shuffle.partitions")),
+                  int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or 0))
+    ranked = (vals.repartitionByRange(n_parts, group, "v").sortWithinPartitions(group, "v")
               .withColumn("_id", F.monotonically_increasing_id()))
     ranked = ranked.select(group, "v", F.shiftright("_id", 33).alias("_part"),
                            F.col("_id").bitwiseAND(F.lit(_LOW_BITS)).alias("_local"))
@@ -63,9 +69,6 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float],
     # and group. Broadcast them when that bound is small; otherwise leave
     # the choice to the planner.
     n_groups = counts.count()
-    conf = vals.sparkSession.conf
-    n_parts = max(int(conf.get("spark.sql.shuffle.partitions")),
-                  int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or 0))
     bound = n_parts + n_groups * (1 + 2 * len(probs))
     small = bound <= BROADCAST_MAX_ROWS
     runs_side = runs.select("_part", group, "_first", "_base")
