@@ -61,14 +61,17 @@ def with_order_month(df: DataFrame, date_col: str = "order_date") -> DataFrame:
 
 
 def _clustered(df: DataFrame) -> DataFrame:
-    """Range-partition on (month, date, segment) and sort within tasks.
-
-    Range partitioning samples the keys, so a month holding a large share of
-    rows is split over several tasks instead of landing in one; each task
-    writes a few sorted files (min/max statistics then skip row groups).
+    """Rebalance on the month and sort within tasks by (month, date, segment).
+
+    ``rebalance`` is a shuffle by month that AQE adjusts at run time: a month
+    holding a large share of rows is split into several tasks of the
+    advisory size, and small months are packed together. No sampling pass is
+    needed (range partitioning would compute the input twice). Each task
+    writes sorted files, so row-group min/max statistics skip data for date
+    and segment filters.
     """
     keys = [PARTITION_COL, *CLUSTER_COLS]
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return df.hint("rebalance", PARTITION_COL).sortWithinPartitions(*keys)
 
 
 def write_fact(df: DataFrame, path: str) -> None:
