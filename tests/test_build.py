@@ -32,3 +32,12 @@ def test_build_twice(spark, tmp_dir):
     assert 0 < reloaded < n                          # only the look-back window was rewritten
     report = spark.read.parquet(f"{out}/check_report")
     assert report.count() == 131 + 4
+
+
+def test_build_rejects_ambiguous_merge_without_renumbering(spark, tmp_dir):
+    """Driver line numbers repeat within an order; without renumbering the
+    order-line key is not unique and the keyed load refuses the batch."""
+    import pytest
+    with pytest.raises(ValueError, match="repeated order_line_sk"):
+        build.run(spark, SF_SMALL, f"{tmp_dir}/marts", renumber_lines=False,
+                  history_seed=src.customer_history(spark, SF_SMALL))
