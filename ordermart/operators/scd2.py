@@ -1,8 +1,10 @@
 """Versioned (SCD2) customer dimension: A5, A6, D5-D7, C21.
 
 Windows here are partitioned by the natural key. A key's versions are one
-customer's change history (a handful of rows, one per change), so each
-window group is small no matter how large the table grows.
+customer's change history: ``scd2_capture`` adds at most one version per
+customer per capture run, so a group holds at most as many rows as there
+have been runs (a daily build: about 365 a year), however large the table
+grows.
 """
 
 from __future__ import annotations
