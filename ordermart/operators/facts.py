@@ -48,9 +48,10 @@ def customer_keys(dim_customer: DataFrame, how: str = "current", *extra: str) ->
     raise ValueError("how must be 'current' or 'as_of'")
 
 
-def lookup_customer(df: DataFrame, customer_keys: DataFrame,
+def lookup_customer(df: DataFrame, keys: DataFrame,
                     date_col: str = "order_date") -> DataFrame:
-    """Add ``customer_sk`` (and any extra columns of ``customer_keys``).
+    """Add ``customer_sk`` (and any extra columns of ``keys``, the
+    output of ``customer_keys``).
 
     Without effective dates this is an equi left join on customer_key (the
     current-row lookup). With ``effective_from``/``effective_to`` it is the
@@ -58,7 +59,7 @@ def lookup_customer(df: DataFrame, customer_keys: DataFrame,
     skew-split by AQE), with the date range as a residual condition. A miss
     leaves NULL; the fact turns it into the unknown member.
     """
-    ck = customer_keys.withColumnRenamed("customer_key", "_ck_key")
+    ck = keys.withColumnRenamed("customer_key", "_ck_key")
     cond = F.col("customer_key") == F.col("_ck_key")
     if "effective_from" in ck.columns:
         cond = cond & F.col(date_col).between(F.col("effective_from"), F.col("effective_to"))
