@@ -109,3 +109,19 @@ def test_date_key_in_range(spark):
                          dt.date(2031, 1, 1), None], "date")
     got = [r.k for r in df.select(fn.date_key_in_range("x", "1992-01-01", "2030-12-31").alias("k")).collect()]
     assert got == [-1, 19920101, 20301231, -1, -1]
+
+
+def test_cluster_conf_scales_with_input():
+    from ordermart.session import cluster_conf
+    small = cluster_conf(10 << 30, executors=10, cores_per_executor=4)
+    big = cluster_conf(100 << 40, executors=1000, cores_per_executor=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80           # two waves of 40 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_scratch_paths_are_unique_and_under_checkpoint_root(spark):
+    from ordermart.session import checkpoint_root, scratch_path
+    root = checkpoint_root(spark)
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root.rstrip("/")) and b.startswith(root.rstrip("/"))
