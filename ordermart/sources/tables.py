@@ -118,20 +118,28 @@ def part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df
 
 
-def lineitem(spark: SparkSession, sf_dir: str, renumber_lines: bool = True) -> DataFrame:
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+
+
+def lineitem(spark: SparkSession, sf_dir: str, renumber_lines: bool | str = True) -> DataFrame:
     """Line items with the adapter columns.
 
     ``renumber_lines``: the driver data repeats (l_orderkey, l_linenumber),
     which the order-line surrogate key needs unique. Lines are renumbered
     1..n per order in a total order. Real TPC-H has unique line numbers
-    (1..7 per order), so pass False there and the window is skipped. The
-    window is partitioned by order key; an order's lines are a bounded group
-    in any order-management source.
+    (1..7 per order), so pass False there and no renumbering runs.
+    True uses a window per order key (one shuffle, which the join to the
+    orders then reuses). ``"skew_safe"`` gives the same numbers by a
+    distributed sort (``operators.ranking``), for sources where one order
+    may hold a large share of all lines.
     """
     df = read_source(spark, sf_dir, "lineitem")
-    if renumber_lines:
-        w = Window.partitionBy("l_orderkey").orderBy(
-            "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
+    if renumber_lines == "skew_safe":
+        from ..operators.ranking import row_number_by_sort
+        df = (row_number_by_sort(df, "l_orderkey", LINE_ORDER, out="_line")
+              .withColumn("l_linenumber", F.col("_line")).drop("_line"))
+    elif renumber_lines:
+        w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
         df = df.withColumn("l_linenumber", F.row_number().over(w).cast("int"))
     line = F.col("l_linenumber").cast("long")
     okey = F.col("l_orderkey")
