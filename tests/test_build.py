@@ -41,3 +41,9 @@ def test_build_rejects_ambiguous_merge_without_renumbering(spark, tmp_dir):
     with pytest.raises(ValueError, match="repeated order_line_sk"):
         build.run(spark, SF_SMALL, f"{tmp_dir}/marts", renumber_lines=False,
                   history_seed=src.customer_history(spark, SF_SMALL))
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    summary = build.main([SF_SMALL, f"{tmp_dir}/cli", "--lookback-days", "5"])
+    assert summary["fact_load"]["first_load"]
+    assert '"first_load": true' in capsys.readouterr().out
