@@ -304,25 +304,45 @@ REPORT_SCHEMA = ("check_name string, table_name string, column_name string, kind
                  "detail string, severity string, failures long")
 
 
-def _report_rows(spark: SparkSession, checks: list[Check], counts: DataFrame) -> DataFrame:
+def _report_rows(spark: SparkSession, checks: list[Check], counts: DataFrame,
+                 singular: dict[str, DataFrame], singular_severity: str) -> DataFrame:
     meta = spark.createDataFrame(
-        [(c.name, c.table, c.column, c.kind, c.detail, c.severity) for c in checks],
+        [(c.name, c.table, c.column, c.kind, c.detail, c.severity) for c in checks]
+        + [(name, "marts", "", "singular", "", singular_severity) for name in singular],
         "check_name string, table_name string, column_name string, kind string, "
         "detail string, severity string")
     return meta.join(counts, "check_name", "inner")
 
 
-def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+def mart_checks(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
+                dim_date: DataFrame) -> dict[str, DataFrame]:
+    """The hand-written checks on the marts (Q7-Q10), as failing-row sets."""
+    return {
+        "positive_order_amounts": positive_amounts(fact),
+        "valid_order_status": valid_order_status(fact),
+        "scd2_no_gaps": scd2_gaps(dim_customer, "inclusive"),
+        "fact_dimension_keys": orphan_fks(fact, dim_customer, dim_product, dim_date),
+    }
+
+
+def run_checks(tables: dict[str, DataFrame], checks: list[Check],
+               singular: dict[str, DataFrame] | None = None,
+               singular_severity: str = "warn") -> DataFrame:
     """Q12: one row per check: failures (failing rows; for unique, repeated
     values) and status pass / warn / error.
 
     Row-local checks of a table are fused into one ``count_if`` aggregate, so
     each table is scanned once for all of them; the per-check counts are
     then unpivoted to rows. Unique and relationship checks run as their own
-    aggregate / anti join. All parts are unioned into one small DataFrame.
+    aggregate / anti join. ``singular`` adds hand-written checks given as
+    failing-row DataFrames (kind 'singular', table 'marts'). All parts are
+    unioned into one small DataFrame.
     """
     spark = next(iter(tables.values())).sparkSession
-    counts: list[DataFrame] = []
+    singular = singular or {}
+    counts: list[DataFrame] = [
+        failing.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check_name"), "failures")
+        for name, failing in singular.items()]
     by_table: dict[str, list[Check]] = {}
     for c in checks:
         if c.kind in ROW_LOCAL:
@@ -337,7 +357,7 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
             len(group), ", ".join(f"'{c.name}', c{i}" for i, c in enumerate(group))))
         counts.append(wide.select(stack))
     all_counts = union_failures(*counts)
-    rows = _report_rows(spark, checks, all_counts)
+    rows = _report_rows(spark, checks, all_counts, singular, singular_severity)
     status = F.when(F.col("failures") == 0, "pass").otherwise(F.col("severity"))
     return rows.select("check_name", "table_name", "column_name", "kind", "detail",
                        "severity", F.col("failures").cast("long").alias("failures"),

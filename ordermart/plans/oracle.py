@@ -503,7 +503,8 @@ for _kind, _name in [("not_null", "dq_not_null"), ("unique", "dq_unique"),
                      ("relationships", "dq_relationships"),
                      ("expression_is_true", "dq_expression")]:
     oq(_name, _suite_deps(checks_of(_kind)), _suite_sql(checks_of(_kind)))
-oq("dq_report", _suite_deps(DECLARED_CHECKS), _suite_sql(DECLARED_CHECKS))
+# dq_report: the declared checks plus the four hand-written mart checks,
+# whose failing-row SQL is defined further down (see _singular_report).
 
 
 def _row_count_sql(model: str, lo: int, hi) -> str:
@@ -752,3 +753,27 @@ oq("volume_anomaly", ["fact_orders"], """
     coalesce(abs(CASE WHEN n >= 2 AND var_num > 0 THEN (CAST(rows AS DOUBLE) - mean) / sqrt(var) END) > 3.0, FALSE)
       AS is_anomaly
   FROM z""")
+
+
+def _singular_report() -> str:
+    """dq_report = declared-check rows UNION ALL one row per mart check."""
+    names = {"positive_order_amounts": "dq_positive_amounts", "valid_order_status": "dq_invalid_status",
+             "scd2_no_gaps": "dq_scd2_gaps", "fact_dimension_keys": "dq_orphan_fks"}
+    rows = []
+    for check, query in names.items():
+        body = SQL[query]
+        if query == "dq_scd2_gaps":
+            body = f"SELECT * FROM ({body}) g WHERE boundary = 'inclusive'"
+        if query == "dq_orphan_fks":
+            body = f"SELECT * FROM ({body}) o WHERE reason NOT LIKE 'ship_date_sk%'"
+        rows.append(f"SELECT '{check}' AS check_name, 'marts' AS table_name, '' AS column_name, "
+                    f"'singular' AS kind, '' AS detail, 'warn' AS severity, "
+                    f"CAST((SELECT count(*) FROM ({body}) s) AS BIGINT) AS failures")
+    singular = "\n  UNION ALL\n  ".join(rows)
+    declared = _suite_sql(DECLARED_CHECKS)
+    report = (f"SELECT * FROM ({declared}) d\n  UNION ALL\n  "
+              f"SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status FROM (\n  {singular}) x")
+    return sql_with(_suite_deps(DECLARED_CHECKS), report)
+
+
+SQL["dq_report"] = _singular_report()
