@@ -246,12 +246,17 @@ def _slug(expression: str) -> str:
 class Check:
     table: str
     column: str
-    kind: str                     # not_null | unique | accepted_values | relationships | expression_is_true
-    arg: object = None            # values / expression / (parent_table, parent_column)
+    kind: str                     # not_null | unique | accepted_values | relationships |
+                                  # expression_is_true | row_condition
+    arg: object = None            # values / expression / (parent_table, parent_column) /
+                                  # failing-row condition (SQL) for row_condition
     severity: str = "warn"        # Q11: warn by default, error to gate the build
+    label: str | None = None      # a name of its own (hand-written checks)
 
     @property
     def name(self) -> str:
+        if self.label:
+            return self.label
         base = f"{self.kind}__{self.table}__{self.column}"
         if self.kind == "expression_is_true":
             # several expressions may test one column: keep names unique
@@ -269,7 +274,7 @@ class Check:
         return str(self.arg)
 
 
-ROW_LOCAL = ("not_null", "accepted_values", "expression_is_true")
+ROW_LOCAL = ("not_null", "accepted_values", "expression_is_true", "row_condition")
 
 
 def _row_failure(check: Check) -> Column:
@@ -280,6 +285,8 @@ def _row_failure(check: Check) -> Column:
         return ~_accepted(c, check.arg)
     if check.kind == "expression_is_true":
         return ~_expression(check.column, check.arg)
+    if check.kind == "row_condition":
+        return F.expr(check.arg)
     raise ValueError(check.kind)
 
 
@@ -297,6 +304,8 @@ def check_failures(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
     if check.kind == "relationships":
         parent, pcol = check.arg
         return relationships(df, check.column, tables[parent], pcol)
+    if check.kind == "row_condition":
+        return df.where(F.expr(check.arg))
     raise ValueError(check.kind)
 
 
@@ -314,15 +323,33 @@ def _report_rows(spark: SparkSession, checks: list[Check], counts: DataFrame,
     return meta.join(counts, "check_name", "inner")
 
 
+# Failing-row conditions of Q7 and Q8, for fusing into the fact's aggregate.
+POSITIVE_AMOUNTS_FAIL = " OR ".join(f"{c} {op} {v}" for c, op, v in _AMOUNT_RULES)
+INVALID_STATUS_FAIL = ("order_status IS NULL OR order_status NOT IN ("
+                       + ", ".join(f"'{v}'" for v in fn.VALID_ORDER_STATUSES) + ")")
+
+
 def mart_checks(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-                dim_date: DataFrame) -> dict[str, DataFrame]:
-    """The hand-written checks on the marts (Q7-Q10), as failing-row sets."""
-    return {
-        "positive_order_amounts": positive_amounts(fact),
-        "valid_order_status": valid_order_status(fact),
+                dim_date: DataFrame) -> tuple[list[Check], dict[str, DataFrame], dict[str, DataFrame]]:
+    """The hand-written checks on the marts (Q7-Q10) for the suite report.
+
+    Returns (row checks, singular, failing rows): Q7 and Q8 are row
+    conditions on the fact, so ``run_checks`` counts them in the same
+    aggregate as the fact's other row-local checks; Q9 and Q10 are
+    failing-row sets counted on their own. ``failing rows`` maps every check
+    to the operator's own output (with its reason column) for storing.
+    """
+    row_checks = [
+        Check("fact_orders", "", "row_condition", POSITIVE_AMOUNTS_FAIL, label="positive_order_amounts"),
+        Check("fact_orders", "", "row_condition", INVALID_STATUS_FAIL, label="valid_order_status"),
+    ]
+    singular = {
         "scd2_no_gaps": scd2_gaps(dim_customer, "inclusive"),
         "fact_dimension_keys": orphan_fks(fact, dim_customer, dim_product, dim_date),
     }
+    failing = {"positive_order_amounts": positive_amounts(fact),
+               "valid_order_status": valid_order_status(fact), **singular}
+    return row_checks, singular, failing
 
 
 def run_checks(tables: dict[str, DataFrame], checks: list[Check],

@@ -161,3 +161,23 @@ def test_declared_check_contract():
 def test_column_value_list(spark):
     df = spark.createDataFrame([(v,) for v in ["b", None, "a", "b", "c"]], "x string")
     assert quality.column_value_list(df, "x") == ["a", "b", "c"]
+
+
+def test_mart_checks_fused_counts_match_operators(spark):
+    f = spark.createDataFrame([
+        fact_row("ok"), fact_row("net", net_revenue=-1.0), fact_row("two", quantity=-1.0, tax_amount=-1.0),
+        fact_row("bad_status", order_status="X"), fact_row("null_status", order_status=None),
+        fact_row("nulls", net_revenue=None, quantity=None),
+    ], FACT)
+    dc = spark.createDataFrame([("c1", 1, "s", 1, None)],
+                               "customer_sk string, customer_key long, x string, y int, z string")
+    dc = dc.selectExpr("customer_sk", "customer_key", "customer_sk as cs2",
+                       "date'2000-01-01' as effective_from", "date'9999-12-31' as effective_to")
+    dp = spark.createDataFrame([("p1",)], "product_sk string")
+    dd = spark.createDataFrame([(20000101,)], "date_sk int")
+    row_checks, singular, failing = quality.mart_checks(f, dc, dp, dd)
+    rep = {r.check_name: r.failures for r in
+           quality.run_checks({"fact_orders": f}, row_checks, singular=singular).collect()}
+    assert rep["positive_order_amounts"] == failing["positive_order_amounts"].count() == 2
+    assert rep["valid_order_status"] == failing["valid_order_status"].count() == 2
+    assert rep["fact_dimension_keys"] == 0 and rep["scd2_no_gaps"] == 0
