@@ -216,16 +216,36 @@ def orphan_fks(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
                dim_date: DataFrame, check_ship_date: bool = False) -> DataFrame:
     """Q10: orphan customer, product and order-date keys (unknown member
     allowed). Keys are compared as text (the string keys' unknown member is
-    '-1', the date key's -1)."""
-    parts = [
-        orphans(fact, dim_customer, "customer_sk", "customer_sk", "dim_customer"),
-        orphans(fact, dim_product, "product_sk", "product_sk", "dim_product"),
-        orphans(fact, dim_date, "order_date_sk", "date_sk", "dim_date", unknown=fn.UNKNOWN_DATE_KEY),
-    ]
+    '-1', the date key's -1).
+
+    All key columns are checked in one pass: the fact's keys are stacked
+    into (key column, value) pairs, made distinct (a partial aggregate), and
+    anti-joined with the dimensions' keys tagged the same way. Only orphan
+    pairs are joined back to the fact rows; when there are none, AQE drops
+    that join.
+    """
+    specs = [("customer_sk", dim_customer, "customer_sk", "dim_customer"),
+             ("product_sk", dim_product, "product_sk", "dim_product"),
+             ("order_date_sk", dim_date, "date_sk", "dim_date")]
     if check_ship_date:
-        parts.append(orphans(fact, dim_date, "ship_date_sk", "date_sk", "dim_date",
-                             unknown=fn.UNKNOWN_DATE_KEY))
-    return union_failures(*parts)
+        specs.append(("ship_date_sk", dim_date, "date_sk", "dim_date"))
+    stack = F.expr("stack({}, {}) as (fk, fk_value)".format(
+        len(specs), ", ".join(f"'{fk}', cast({fk} as string)" for fk, *_ in specs)))
+    pairs = fact.select("order_line_sk", stack)
+    # '-1' is the unknown member of every key (string keys '-1', date keys -1).
+    known = F.col("fk_value") != F.lit(fn.UNKNOWN_MEMBER_KEY)
+    keys = pairs.where(known).select("fk", "fk_value").distinct()
+    dim_keys = union_failures(*[
+        dim.select(F.lit(fk).alias("fk"), F.col(key).cast("string").alias("fk_value"))
+        for fk, dim, key, _ in specs])
+    orphan_keys = keys.join(dim_keys, ["fk", "fk_value"], "left_anti")
+    names = F.create_map(*[x for fk, _, _, name in specs for x in (F.lit(fk), F.lit(name))])
+    rows = pairs.join(orphan_keys, ["fk", "fk_value"], "left_semi")
+    dim_name = names[F.col("fk")]
+    return rows.select(
+        "order_line_sk", "fk_value", dim_name.alias("failed_dimension"),
+        F.concat(F.col("fk"), F.lit(" "), F.col("fk_value"), F.lit(" not found in "), dim_name)
+        .alias("reason"))
 
 
 # ---------------------------------------------------------------------------
