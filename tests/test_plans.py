@@ -38,3 +38,24 @@ def test_fact_has_no_date_dimension_join(spark):
     """Date keys come from a range test, not a join against the 14,245-day spine."""
     text = plan_text(entry.queries()["fact_orders"](spark, SF_SMALL))
     assert "sequence" not in text
+
+
+def test_fact_shuffles_line_data_twice(spark):
+    """With no broadcasts and no AQE (the shape a very large input gets), the
+    line-level rows are shuffled once by order key (the renumbering window,
+    whose partitioning the join to the orders reuses) and once by product
+    key; the customer key is resolved on the orders side, so no line-level
+    exchange on customer keys exists."""
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                            "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan_text(entry.queries()["fact_orders"](spark, SF_SMALL))
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert text.count("Exchange hashpartitioning(l_orderkey") == 1
+    assert text.count("Exchange hashpartitioning(product_key") == 1
+    assert "Exchange hashpartitioning(customer_sk" not in text
+    assert text.count("Exchange hashpartitioning(order_key#") == 1   # the orders side only
