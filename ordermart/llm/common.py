@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 from ordermart.session import scratch_path
@@ -28,7 +29,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ascii_or_utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
+def open_folder(folder: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system for a folder given by URI or local path, and the
+    folder's path in it."""
+    if folder.startswith("file:/"):
+        folder = "file:///" + folder[len("file:"):].lstrip("/")
+    elif "://" not in folder:
+        folder = "file://" + folder
+    return pafs.FileSystem.from_uri(folder)
+
+
+def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     return [v or b"" for v in column.cast(pa.large_binary()).to_pylist()]
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ordermart.llm.common import ascii_or_utf8, forest, group_starts, stored, whole_groups
+from ordermart.llm.common import utf8, forest, group_starts, stored, whole_groups
 from ordermart.llm.components import connected_components
 
 BITS = 64
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(shingle_hashes(t, shingle))
-                   for t in ascii_or_utf8(batch.column("text"))]
+                   for t in utf8(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("text_key"), pa.array(fps, pa.int64())],
                 names=["id", "text_key", "fp"])
@@ -219,7 +219,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fingerprint in hexadecimal and the smallest id reachable over links of at
     most ``distance`` differing bits."""
     rows = stored(grouped(docs, id_col, text_col, shingle, distance).select("id", "fp", "grp"), "groups")
-    least = rows.groupBy("grp").agg(F.min("id").alias("component_id"))
+    least = stored(rows.groupBy("grp").agg(F.min("id").alias("component_id")), "least-ids")
     return (rows.join(least, "grp")
             .select(F.col("id").alias(id_col),
                     F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
@@ -233,8 +233,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of a group, the text of the smaller hash stays."""
     rows = grouped(docs, id_col, text_col, shingle, distance)
     order = F.struct(F.col("id").isNull().alias("nameless"), "id", "text_key")
-    kept = (rows.groupBy("grp").agg(F.min(order).alias("best"))
-            .select(F.col("best.id").alias("__kept_id"), F.col("best.text_key").alias("__kept_key")))
+    kept = stored(rows.groupBy("grp").agg(F.min(order).alias("best"))
+                  .select(F.col("best.id").alias("__kept_id"), F.col("best.text_key").alias("__kept_key")), "kept")
     marked = docs.withColumn("__text_key", F.xxhash64(F.col(text_col)))
     same = (marked[id_col].cast("long").eqNullSafe(kept["__kept_id"])
             & (marked["__text_key"] == kept["__kept_key"]))

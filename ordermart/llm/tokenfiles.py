@@ -28,13 +28,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ordermart.llm.common import stored
+from ordermart.llm.common import open_folder, stored
 from ordermart.session import scratch_path
 
 # Magic numbers of the zstandard formats.
@@ -193,13 +192,6 @@ class Reader:
         return np.frombuffer(b"".join(self.pieces(row)), dtype="<u4")
 
 
-def _open(folder: str):
-    if "://" not in folder and not folder.startswith("file:"):
-        folder = "file://" + folder
-    return pafs.FileSystem.from_uri(folder.replace("file:/", "file:///", 1)
-                                    if folder.startswith("file:/") and not folder.startswith("file:///") else folder)
-
-
 # -- Spark ---------------------------------------------------------------------
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1,
@@ -218,7 +210,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         part, attempt = task.partitionId(), task.taskAttemptId()
-        fs, base = _open(folder)
+        fs, base = open_folder(folder)
         name = f"part-{part:06d}-{attempt}.tok"
         hidden = f"{base}/_writing-{name}"
         writer = sink = None
@@ -253,7 +245,7 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, before in zip(batch.column("file").to_pylist(), batch.column("before").to_pylist()):
-                fs, base = _open(folder)
+                fs, base = open_folder(folder)
                 with fs.open_input_file(f"{base}/{name}") as source:
                     reader = Reader(source, source.size())
                     crcs = []
@@ -287,7 +279,7 @@ def read_documents(spark: SparkSession, folder: str, manifest: DataFrame, wanted
                 if file != name:
                     if source is not None:
                         source.close()
-                    fs, base = _open(folder)
+                    fs, base = open_folder(folder)
                     source = fs.open_input_file(f"{base}/{file}")
                     name, reader = file, Reader(source, source.size())
                 docs.append(reader.doc_ids[row])
@@ -307,7 +299,7 @@ def read_index(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name in batch.column("file").to_pylist():
-                fs, base = _open(folder)
+                fs, base = open_folder(folder)
                 with fs.open_input_file(f"{base}/{name}") as source:
                     reader = Reader(source, source.size())
                 n = len(reader.doc_ids)
