@@ -25,6 +25,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
 FRAME_BYTES = 1 << 18     # ids of one frame, before compression
-KEPT_CHUNKS = 400_000     # bound of a worker's table of encoded chunks
+KEPT_CHUNKS = 1_500_000     # bound of a worker's table of encoded chunks
 LONG_CHUNK = 200          # longer chunks are encoded but not kept
 MANIFEST = "file string, part int, n_docs long, n_ids long, n_frames long, bytes long"
 
@@ -64,6 +65,10 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends_word[i] = bool(suffix) and token.endswith(suffix)
         self.kept: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -72,13 +77,30 @@ class ChunkEncoder:
         if len(self.kept) > KEPT_CHUNKS:
             self.kept.clear()
         kept = self.kept
-        fresh = list({c for cs in chunks for c in cs if c not in kept})
+        fresh = set(chain.from_iterable(chunks)).difference(kept)
         long = {}
-        for c, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
-            (kept if len(c) <= LONG_CHUNK else long)[c] = np.array(e.ids, dtype="<u4").tobytes()
+        for c, ids in self._encode_chunks(fresh):
+            (kept if len(c) <= LONG_CHUNK else long)[c] = ids
         if long:
             return [b"".join([long[c] if c in long else kept[c] for c in cs]) for cs in chunks]
-        return [b"".join([kept[c] for c in cs]) for cs in chunks]
+        return [b"".join(map(kept.__getitem__, cs)) for cs in chunks]
+
+    def _encode_chunks(self, chunks: set[str]) -> Iterator[tuple[str, bytes]]:
+        """Plain words go to the library many at a time, joined by blanks: each
+        is one word to it, and the marks of word ends tell them apart again."""
+        words = [c for c in chunks if c.isascii() and c.isalpha()]
+        rest = [c for c in chunks if not (c.isascii() and c.isalpha())]
+        for i in range(0, len(words), 500):
+            some = words[i:i + 500]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(some):
+                packed = ids.tobytes()
+                yield from zip(some, (packed[4 * a:4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())))
+            else:
+                rest += some
+        for c, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
+            yield c, np.array(e.ids, dtype="<u4").tobytes()
 
 
 @lru_cache(maxsize=4)
@@ -215,8 +237,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         hidden = f"{base}/_writing-{name}"
         writer = sink = None
         for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                some = batch.slice(i, 500)
+            for i in range(0, batch.num_rows, 1000):
+                some = batch.slice(i, 1000)
                 if writer is None:
                     fs.create_dir(base, recursive=True)
                     sink = fs.open_output_stream(hidden, compression=None)
