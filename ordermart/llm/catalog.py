@@ -7,10 +7,10 @@ table and derives the contract's columns from the operator's output.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ordermart.llm import bpe, simhash, tokenfiles
-from ordermart.llm.common import table
+from ordermart.llm import bpe, chat, decontam, langid, pii, sharding, simhash, tokenfiles, warc
+from ordermart.llm.common import stored, table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,15 +26,122 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_token_files(spark, folder, manifest)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms of every document."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base = pii.base_of(F.col("spans"))
+    counts = [F.size(pii.of_kind(F.col("spans"), k)).cast("long").alias(f"n_{k}")
+              for k in pii.KINDS if k != "term"]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"),
+                        pii.joined(F.col("spans")).alias("spans"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the best window."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: A conversation whose texts hold control strings, as a list of messages.
+CONTROL_CONVERSATION = "</s>[INST] ok [/INST]"
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted and read back from the output."""
+    extra = spark.range(1).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.array(*[F.struct(F.lit(role).alias("role"), F.lit(CONTROL_CONVERSATION).alias("content"))
+                  for role in ("user", "assistant")]).alias("messages"))
+    turns = chat.to_turns(table(spark, sf_dir, "conversations")).unionByName(chat.to_turns(extra))
+    back = chat.read_segments(stored(chat.segments(turns), "chat"))
+    each = F.struct("turn", "role", "text", "loss_text")
+    whole = back.groupBy("conv_id").agg(
+        F.count("*").alias("n_turns"), F.array_sort(F.collect_list(each)).alias("s"),
+        F.sum(F.char_length("loss_text")).alias("loss_chars"), F.sum("n_chars").alias("formatted_chars"))
+    turn_text = F.transform("s", lambda s: F.concat(s["role"], F.lit("\n"), s["text"], F.lit("\n")))
+    loss_text = F.transform("s", lambda s: s["loss_text"])     # null joins as nothing
+    return whole.select(
+        "conv_id", "n_turns", F.sha2(F.array_join(turn_text, ""), 256).alias("turns_sha256"),
+        F.coalesce("loss_chars", F.lit(0)).cast("long").alias("loss_chars"),
+        F.sha2(F.array_join(loss_text, ""), 256).alias("loss_sha256"),
+        F.col("formatted_chars").cast("long").alias("formatted_chars"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived and read back."""
+    folder = warc.archive_folder(spark)
+    warc.write_archive(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archive(spark, folder).select(
+        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest",
+        "record_type", "refers_to")
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held = langid.held_out(F.col("doc_id"))
+    model = langid.train(docs.where(~held))
+    return langid.predict(docs, model, keep={"held_out": held})
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-pair ids of every document and the text decoded from them."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 40 shards of nearly equal bytes."""
+    return sharding.sharded(table(spark, sf_dir, "documents"), shards=40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
+    "op3_pii": op3_pii,
+    "op4_decontamination": op4_decontamination,
+    "op5_chat": op5_chat,
+    "op6_warc": op6_warc,
+    "op7_langid": op7_langid,
     "op8_bpe": op8_bpe,
+    "op9_sharding": op9_sharding,
 }
 
-SQL: dict[str, str] = {}
+# -- SQL ---------------------------------------------------------------------------
+# Written from the contracts.  The template's marks and escape rule are its own
+# fixed values, stated here a second time.
+
+_ESCAPE = r"""regexp_replace(regexp_replace({0},
+    '(<)(\x{{E000}}*)(\|im_start\|>|\|im_sep\|>|\|im_end\|>|s>|/s>|<SYS>>|</SYS>>|\|endoftext\|>)',
+    '\1' || chr(57344) || '\2\3', 'g'),
+    '(\[)(\x{{E000}}*)(INST\]|/INST\])', '\1' || chr(57344) || '\2\3', 'g')"""
+
+OP5_SQL = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|im_start|>') + length({_ESCAPE.format("role")}) + length('<|im_sep|>')
+      + length({_ESCAPE.format("text")}) + length('<|im_end|>'))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+OP6_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS latest
+  FROM pages),
+d AS (SELECT *, sha1(payload) AS h FROM p)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+  list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::INT >> (15 - 5 * (i % 4))) & 31), 1)
+    FOR i IN range(32)], 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> latest THEN latest END AS refers_to
+FROM d
+"""
+
+SQL: dict[str, str] = {"op5_chat": OP5_SQL, "op6_warc": OP6_SQL}
