@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ordermart.llm import bpe, chat, decontam, langid, pii, sharding, simhash, tokenfiles, warc
+from ordermart.llm import bpe, chat, decontam, langid, nndescent, pii, sharding, simhash, tokenfiles, warc
 from ordermart.llm.common import stored, table
 
 
@@ -95,6 +95,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate links and components of all embeddings."""
+    return nndescent.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
@@ -105,6 +110,7 @@ QUERIES = {
     "op7_langid": op7_langid,
     "op8_bpe": op8_bpe,
     "op9_sharding": op9_sharding,
+    "op10_nn_descent": op10_nn_descent,
 }
 
 # -- SQL ---------------------------------------------------------------------------
