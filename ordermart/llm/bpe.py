@@ -236,23 +236,25 @@ def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id",
     return rows.mapInArrow(run, f"`{id_col}` long, text string")
 
 
-def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+               keep_ids: bool = False) -> DataFrame:
     """(id_col, n_tokens, ids_sha256, decoded_sha256) for every row: digests
-    of the encoded ids and of the text decoded from them, in one pass."""
+    of the encoded ids and of the text decoded from them, in one pass; the
+    packed ids, too, if asked for."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for batch in batches:
-            n, ids_sha, text_sha = [], [], []
-            for t in batch.column("text").to_pylist():
-                ids = bpe.encode(t or "")
-                n.append(len(ids) // 4)
-                ids_sha.append(sha256(ids).hexdigest())
-                text_sha.append(sha256(bpe.decode(np.frombuffer(ids, dtype="<u4")).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
-                 pa.array(text_sha, pa.string())],
-                names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return rows.mapInArrow(run, f"`{id_col}` long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            all_ids = [bpe.encode(t or "") for t in batch.column("text").to_pylist()]
+            decoded = [sha256(bpe.decode(np.frombuffer(x, dtype="<u4")).encode()).hexdigest() for x in all_ids]
+            columns = {id_col: batch.column("id"),
+                       "n_tokens": pa.array([len(x) // 4 for x in all_ids], pa.int64()),
+                       "ids_sha256": pa.array([sha256(x).hexdigest() for x in all_ids], pa.string()),
+                       "decoded_sha256": pa.array(decoded, pa.string())}
+            if keep_ids:
+                columns["ids"] = pa.array(all_ids, pa.binary())
+            yield pa.record_batch(columns)
+
+    kept = ", ids binary" if keep_ids else ""
+    return rows.mapInArrow(run, f"`{id_col}` long, n_tokens long, ids_sha256 string, decoded_sha256 string{kept}")

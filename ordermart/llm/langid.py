@@ -305,6 +305,26 @@ def _predict(texts: list[str], model: Model, penalty: float) -> tuple[list[str],
     return lang, share.tolist()
 
 
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.3,
+             penalty: float = SWITCH_PENALTY) -> DataFrame:
+    """``docs`` (all columns) without the rows of no known language: those
+    that are ``und`` and those whose main language holds less than
+    ``min_score`` of the letters."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        for batch in batches:
+            texts = [t or "" for t in batch.column(text_col).to_pylist()]
+            good: list[bool] = []
+            for begin, end in _slices(texts):
+                lang, share = _predict(texts[begin:end], model, penalty)
+                good += [x != UNKNOWN and s >= min_score for x, s in zip(lang, share)]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
           penalty: float = SWITCH_PENALTY) -> DataFrame:
     """(id_col, spans) for every row: spans is the list of (start, end, lang)
