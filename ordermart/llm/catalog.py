@@ -71,8 +71,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.archive_folder(spark)
     warc.write_archive(table(spark, sf_dir, "pages"), folder)
     return warc.read_archive(spark, folder).select(
-        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest",
-        "record_type", "refers_to")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

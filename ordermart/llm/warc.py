@@ -12,7 +12,7 @@ Digests are verified: when writing, equal SHA-256 must mean equal length and
 equal SHA-1, else the job fails; when reading, SHA-256, SHA-1 and the lengths in
 the headers are computed anew from the stored bytes.  Of a digest shared by a
 third of all records only (digest, largest record) is aggregated, map-side
-first; payload bytes move once, with the record that keeps them.
+first; of equal payloads each task sends at most one.
 
 ``export`` writes the records as standard .warc.gz files, one gzip member a
 record.
@@ -88,12 +88,10 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
     checked.write.parquet(f"{folder}/digests")
     digests = spark.read.schema(checked.schema).parquet(f"{folder}/digests")
 
-    # The bytes travel with the one record that keeps them.
-    keeps = digests.select("sha256", F.col("first.page_id").alias("k_id"), F.col("first.url").alias("k_url"))
-    mine = (source["sha256"] == keeps["sha256"]) & source["page_id"].eqNullSafe(keeps["k_id"]) \
-        & source["url"].eqNullSafe(keeps["k_url"])
-    (source.join(keeps, mine, "left_semi").dropDuplicates(["sha256"])
-     .select("sha256", "payload").write.parquet(f"{folder}/payloads"))
+    # Equal digests are equal bytes, so any record's copy will do; copies meet
+    # map-side first.
+    (source.select("sha256", "payload").dropDuplicates(["sha256"])
+     .write.parquet(f"{folder}/payloads"))
 
     first_id, first_url = F.col("first.page_id"), F.col("first.url")
     is_first = F.col("page_id").eqNullSafe(first_id) & F.col("url").eqNullSafe(first_url)
@@ -126,9 +124,11 @@ def _value(name: str) -> Column:
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """(page_id, record_type, refers_to, payload_digest, header, payload) of
-    every record, reconstructed by joining headers and payloads.  Fails if
-    stored bytes and digests or lengths differ."""
+    """(page_id, record_type, refers_to, payload_digest, header, payload_bytes,
+    payload) of every record, reconstructed by joining headers and payloads.
+    Stored bytes are measured and digested where they are read; the job fails if
+    that differs from the record's header.  Who does not ask for ``payload``
+    spares its way through the join."""
     payloads = spark.read.schema("sha256 string, payload binary").parquet(f"{folder}/payloads").select(
         "sha256", "payload", F.octet_length("payload").cast("long").alias("size"),
         base32(F.sha1("payload")).alias("digest"), (F.sha2("payload", 256) == F.col("sha256")).alias("intact"))
@@ -144,10 +144,11 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     whole = (F.col("intact") & (F.col("digest") == F.col("payload_digest"))
              & (F.col("length") == F.col("header_size") - F.col("fields") - 4 + body))
     joined = parsed.join(payloads, "sha256", "left")
-    checked = F.when(F.coalesce(whole, F.lit(False)), F.col("payload")).otherwise(
-        F.raise_error(F.concat(F.lit("damaged record or payload "), "sha256")).cast("binary"))
+    good = F.coalesce(whole, F.lit(False))
+    damage = F.raise_error(F.concat(F.lit("damaged record or payload "), "sha256"))
     return joined.select("page_id", "record_type", "refers_to", "payload_digest", "header",
-                         checked.alias("payload"))
+                         F.when(good, F.col("size")).otherwise(damage.cast("long")).alias("payload_bytes"),
+                         F.when(good, F.col("payload")).otherwise(damage.cast("binary")).alias("payload"))
 
 
 def record_bytes() -> Column:

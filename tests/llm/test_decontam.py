@@ -9,13 +9,14 @@ from tests.llm import edge
 def brute(text, items, similarity=0.8):
     """Best similarity of every item to any of its windows in the text."""
     words, out = dc.words_of(text or ""), {}
+    held = {size: set(zip(*(words[i:] for i in range(size)))) for size in range(1, 6)}
     for k, item in enumerate(items):
         own = dc.words_of(item or "")
         if not own:
             continue
         size = min(5, len(own))
         best = 0.0
-        if len(words) >= size:
+        if not held[size].isdisjoint(zip(*(own[i:] for i in range(size)))):    # else nothing is shared
             for start in range(max(1, len(words) - len(own) + 1)):
                 window = words[start:start + len(own)]
                 a, b = list(zip(*(window[i:] for i in range(size)))), list(zip(*(own[i:] for i in range(size))))
