@@ -233,10 +233,16 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of a group, the text of the smaller hash stays."""
     rows = grouped(docs, id_col, text_col, shingle, distance)
     order = F.struct(F.col("id").isNull().alias("nameless"), "id", "text_key")
-    kept = stored(rows.groupBy("grp").agg(F.min(order).alias("best"))
-                  .select(F.col("best.id").alias("__kept_id"), F.col("best.text_key").alias("__kept_key")), "kept")
+    rows = rows.groupBy("grp", "id", "text_key").agg(F.count("*").alias("n"))
+    kept = stored(rows.groupBy("grp").agg(F.min(order).alias("best"), F.min_by("n", order).alias("n"))
+                  .select(F.col("best.id").alias("__kept_id"), F.col("best.text_key").alias("__kept_key"), "n"), "kept")
     marked = docs.withColumn("__text_key", F.xxhash64(F.col(text_col)))
-    same = (marked[id_col].cast("long").eqNullSafe(kept["__kept_id"])
-            & (marked["__text_key"] == kept["__kept_key"]))
-    return (marked.join(kept, same, "left_semi")
-            .dropDuplicates([id_col, "__text_key"]).drop("__text_key"))
+    same = (marked[id_col].cast("long").eqNullSafe(F.col("__kept_id"))
+            & (marked["__text_key"] == F.col("__kept_key")))
+    # Texts cross the shuffle once; only rows that repeat id and text meet again.
+    once = marked.join(kept.where("n = 1").hint("shuffle_hash"), same, "left_semi")
+    again = kept.where("n > 1")
+    if not again.isEmpty():
+        once = once.unionByName(marked.join(again.hint("shuffle_hash"), same, "left_semi")
+                                .dropDuplicates([id_col, "__text_key"]))
+    return once.drop("__text_key")
