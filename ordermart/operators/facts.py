@@ -38,20 +38,10 @@ def as_of_customer_keys(dim_customer: DataFrame, *extra: str) -> DataFrame:
                                "effective_to", *extra)
 
 
-def customer_keys(dim_customer: DataFrame, how: str = "current", *extra: str) -> DataFrame:
-    """The lookup side for ``how='current'`` (current version, the
-    reference's fact) or ``how='as_of'`` (the version valid on the date)."""
-    if how == "current":
-        return current_customer_keys(dim_customer)
-    if how == "as_of":
-        return as_of_customer_keys(dim_customer, *extra)
-    raise ValueError("how must be 'current' or 'as_of'")
-
-
 def lookup_customer(df: DataFrame, keys: DataFrame,
                     date_col: str = "order_date") -> DataFrame:
     """Add ``customer_sk`` (and any extra columns of ``keys``, the
-    output of ``customer_keys``).
+    output of ``current_customer_keys`` or ``as_of_customer_keys``).
 
     Without effective dates this is an equi left join on customer_key (the
     current-row lookup). With ``effective_from``/``effective_to`` it is the

@@ -243,7 +243,8 @@ def segment_box_plot(fact: DataFrame, dim_customer: DataFrame, **slicers) -> Dat
     from .quantiles import exact_quantiles
     per_cust = customer_revenue(slice_fact(fact, **slicers)).join(
         dim_customer.select("customer_sk", "market_segment"), "customer_sk", "left").select(
-        "market_segment", F.col("rev").cast("double").alias("customer_revenue"))
+        F.coalesce("market_segment", F.lit("Unknown")).alias("market_segment"),
+        F.col("rev").cast("double").alias("customer_revenue"))
     # Used twice (quartiles, outlier count): materialize the per-customer
     # revenues once instead of aggregating the fact twice.
     checkpoint_root(fact.sparkSession)
@@ -258,8 +259,7 @@ def segment_box_plot(fact: DataFrame, dim_customer: DataFrame, **slicers) -> Dat
     k = F.lit(1.5).cast("decimal(2,1)")      # exact: the fences stay decimal arithmetic
     q = q.withColumns({"lower_fence": (F.col("q1") - F.col("iqr") * k).cast(dec),
                        "upper_fence": (F.col("q3") + F.col("iqr") * k).cast(dec)})
-    # One row per segment (a fixed domain of five values): broadcast.
-    fences = F.broadcast(q.select("market_segment", "lower_fence", "upper_fence"))
+    fences = q.select("market_segment", "lower_fence", "upper_fence")
     out = per_cust.join(fences, "market_segment")
     outside = (F.col("customer_revenue").cast(dec) < F.col("lower_fence")) | \
               (F.col("customer_revenue").cast(dec) > F.col("upper_fence"))
@@ -295,6 +295,9 @@ def tier_migration(dim_customer: DataFrame) -> DataFrame:
             .groupBy("from_tier", "to_tier").agg(F.countDistinct("customer_key").alias("customers")))
 
 
+_MARGIN = "decimal(18,12)"   # decimal sums do not depend on task layout
+
+
 def weighted_rates(fact: DataFrame, by: str = "market_segment", **slicers) -> DataFrame:
     """Weighted averages of the non-additive rates: discount rate
     weighted by extended price (exact), margin weighted by net revenue (lines
@@ -303,7 +306,7 @@ def weighted_rates(fact: DataFrame, by: str = "market_segment", **slicers) -> Da
     has_m = F.col("estimated_margin_pct").isNotNull()
     g = slice_fact(fact, **slicers).groupBy(by).agg(
         F.sum(w_disc).alias("wd"), money_sum("extended_price").alias("ext"),
-        F.sum(F.when(has_m, F.col("estimated_margin_pct") * F.col("net_revenue"))).alias("wm"),
+        F.sum(F.when(has_m, F.col("estimated_margin_pct").cast(_MARGIN) * fn.money("net_revenue"))).alias("wm"),
         F.sum(F.when(has_m, fn.money("net_revenue"))).alias("net_m"))
     return g.select(by, ratio(F.col("wd"), F.col("ext")).alias("weighted_discount_rate"),
                     ratio(F.col("wm"), F.col("net_m")).cast("decimal(18,6)").cast("double")

@@ -13,9 +13,11 @@ use that instead; several partitions here are not swapped atomically.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
 from ..session import delete_path, path_exists, rename_path, scratch_path
@@ -31,28 +33,76 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def _beside(path: str) -> tuple[str, str, str]:
+    base = path.rstrip("/")
+    return base, f"{base}.__new__", f"{base}.__old__"
+
+
+def _rename(spark: SparkSession, src: str, dst: str) -> None:
+    if not rename_path(spark, src, dst):
+        raise RuntimeError(f"cannot rename {src} to {dst}")
+
+
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Finish or undo a table swap that a crash cut short.
+
+    A swap writes ``.__new__``, renames the table to ``.__old__`` and the new
+    version to the table, then removes the old one. Whatever step it stopped
+    at, one complete version exists; it becomes (or stays) the table. A new
+    version counts as complete when its ``_SUCCESS`` file is there.
+    """
+    base, new, old = _beside(path)
+    there, has_new, has_old = (path_exists(spark, p) for p in (base, new, old))
+    if not there and has_new and path_exists(spark, f"{new}/_SUCCESS"):
+        _rename(spark, new, base)
+        there, has_new = True, False
+    elif not there and has_old:
+        _rename(spark, old, base)
+        there, has_old = True, False
+    if has_new:
+        delete_path(spark, new)
+    if there and has_old:
+        delete_path(spark, old)
+
+
+def _swap_in(spark: SparkSession, path: str) -> None:
+    """Put the complete ``.__new__`` version in the table's place."""
+    base, new, old = _beside(path)
+    if path_exists(spark, base):
+        _rename(spark, base, old)
+    _rename(spark, new, base)
+    delete_path(spark, old)
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """B2: full rebuild of a table.
 
-    The new version is written next to the table and swapped in by two
-    folder renames, so a failed job leaves the previous version in place
-    (a plain overwrite deletes it before writing), and the new data may be
-    built from the table it replaces.
+    The new version is written next to the table and swapped in by folder
+    renames, so a failed job leaves the previous version in place (a plain
+    overwrite deletes it before writing), and the new data may be built from
+    the table it replaces. A crash between the renames is mended by
+    ``recover_table``, which every later write and ``read_target`` run first.
     """
     spark = df.sparkSession
-    base = path.rstrip("/")
-    new, old = f"{base}.__new__", f"{base}.__old__"
-    df.write.mode("overwrite").parquet(new)
-    if not path_exists(spark, base):
-        if not rename_path(spark, new, base):
-            spark.read.parquet(new).write.mode("overwrite").parquet(base)
-        return
-    delete_path(spark, old)
-    if rename_path(spark, base, old) and rename_path(spark, new, base):
-        delete_path(spark, old)
-        return
-    # No file-system access (remote session): copy over the old version.
-    spark.read.parquet(new).write.mode("overwrite").parquet(base)
+    recover_table(spark, path)
+    df.write.mode("overwrite").parquet(_beside(path)[1])
+    _store_schema(spark, path, df.schema)
+    _swap_in(spark, path)
+
+
+def _store_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Keep the table's schema in one small file beside it, so that a read
+    needs no file footers to be merged."""
+    (spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
+     .write.mode("overwrite").text(f"{_beside(path)[0]}.schema"))
+
+
+def _stored_schema(spark: SparkSession, path: str) -> StructType | None:
+    side = f"{_beside(path)[0]}.schema"
+    if not path_exists(spark, side):
+        return None
+    kept = spark.read.text(side, wholetext=True).first()
+    return StructType.fromJson(json.loads(kept[0])) if kept else None
 
 
 def with_order_month(df: DataFrame, date_col: str = "order_date") -> DataFrame:
@@ -74,17 +124,45 @@ def _clustered(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", PARTITION_COL).sortWithinPartitions(*keys)
 
 
-def write_fact(df: DataFrame, path: str) -> None:
-    """Full write of the fact, partitioned by month, clustered."""
-    (_clustered(with_order_month(df) if PARTITION_COL not in df.columns else df)
-     .write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path))
+def _write_fact_files(df: DataFrame, path: str) -> StructType:
+    """Every month of ``df``, and nothing else, at ``path``: the overwrite is
+    static whatever the session's setting."""
+    fact = with_order_month(df) if PARTITION_COL not in df.columns else df
+    (_clustered(fact).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(PARTITION_COL).parquet(path))
+    return fact.schema
+
+
+def write_fact(df: DataFrame, path: str, key: str | None = None) -> None:
+    """Full write of the fact, partitioned by month, clustered. The new
+    version replaces the whole table (months it lacks are gone) by the same
+    crash-safe swap as ``write_table``. With ``key`` the written version is
+    checked for NULL or repeated keys before it is swapped in."""
+    spark = df.sparkSession
+    recover_table(spark, path)
+    new = _beside(path)[1]
+    schema = _write_fact_files(df, new)
+    if key is not None:
+        try:
+            assert_unique_keys(spark.read.schema(schema).parquet(new), key)
+        except ValueError:
+            delete_path(spark, new)
+            raise
+    _store_schema(spark, path, schema)
+    _swap_in(spark, path)
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame | None:
     """The current target, or None if it does not exist yet. Files written
-    before a schema change are read with merged schemas (B5)."""
+    before a column was added read as NULL there (B5): the schema stored with
+    the table says which columns there are. A table without a stored schema
+    is read with merged file schemas."""
+    recover_table(spark, path)
     if not path_exists(spark, path):
         return None
+    schema = _stored_schema(spark, path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     try:
         return spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException:
@@ -106,14 +184,16 @@ def lookback_filter(src: DataFrame, target: DataFrame | None, days: int = 3,
     reference would load nothing from an existing empty target, which is a
     deliberate difference.
     """
-    if target is None:
-        return src
-    mx = max_value(target, date_col)
-    if mx is None:
-        return src
+    start = lookback_start(target, days, date_col)
+    return src if start is None else src.where(F.col(date_col) >= F.lit(start))
+
+
+def lookback_start(target: DataFrame | None, days: int = 3, date_col: str = "order_date") -> _dt.date | None:
+    """First date of the look-back window, None for a first load."""
+    mx = None if target is None else max_value(target, date_col)
     if isinstance(mx, _dt.datetime):
         mx = mx.date()
-    return src.where(F.col(date_col) >= F.lit(mx - _dt.timedelta(days=days)))
+    return None if mx is None else mx - _dt.timedelta(days=days)
 
 
 def assert_unique_keys(df: DataFrame, key: str) -> None:
@@ -132,19 +212,19 @@ def _delete_partitions(spark: SparkSession, path: str, col: str, values) -> None
             raise RuntimeError(f"cannot remove emptied partition {col}={v} of {path}")
 
 
-def _month_index(yyyymm: int) -> int:
-    return (yyyymm // 100) * 12 + (yyyymm % 100) - 1
-
-
-def _months_around(lo: int, hi: int, n: int) -> list[int]:
-    """yyyymm values from n months before ``lo`` to n months after ``hi``."""
-    a, b = _month_index(lo) - n, _month_index(hi) + n
-    return [(i // 12) * 100 + i % 12 + 1 for i in range(a, b + 1)]
+def _months_of_orders(target: DataFrame, updates: DataFrame, locator: str, partition_col: str) -> DataFrame:
+    """Partitions of the target that hold rows of the updates' ``locator``
+    values: the narrow locator column only, and only row groups within the
+    values' range."""
+    ends = updates.agg(F.min(locator).alias("lo"), F.max(locator).alias("hi")).first()
+    near = target.where(F.col(locator).between(F.lit(ends["lo"]), F.lit(ends["hi"])))
+    return (near.select(locator, partition_col)
+            .join(updates.select(locator).distinct(), locator, "left_semi").select(partition_col))
 
 
 def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
            key: str = "order_line_sk", partition_col: str = PARTITION_COL,
-           move_search_months: int | None = None) -> dict:
+           locator: str = "order_key") -> dict:
     """B3 + B5: keyed upsert of ``updates`` into the parquet table at
     ``target_path``; matches are replaced, new keys inserted, nothing deleted.
 
@@ -156,44 +236,42 @@ def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
     rows); columns missing from the updates are kept (NULL in new rows).
     Returns a small summary (partitions touched/removed).
 
-    Finding moved rows reads the key column of the whole target (the keys
-    are hashes, so no file can be skipped). ``move_search_months=n`` limits
-    that search to partitions within n months of the batch's months, a
-    partition-pruned scan; use it only when order dates are known never to
-    be corrected by more than n months. The default (None) is exact.
+    ``locator`` is a column the key is made from (equal keys have equal
+    locators). Moved rows are found by it: 8 bytes a row, skipped by row-group
+    ranges, instead of the key hashes of the whole target. It loses nothing: it
+    can only touch partitions too many. Without such a column on both sides the
+    key itself is used.
     """
     if partition_col not in updates.columns:
         updates = with_order_month(updates)
-    # Compute the batch once: it usually comes from the whole order-line
-    # pipeline, and it is read three times below (key check, touched
-    # partitions, merge). The staged copy also fixes its content if a task
-    # has to be recomputed.
-    batch_path = scratch_path(spark, "upsert-batch")
-    updates.write.mode("overwrite").parquet(batch_path)
-    updates = spark.read.parquet(batch_path)
-    assert_unique_keys(updates, key)
     target = read_target(spark, target_path)
     if target is None or target.isEmpty():
-        write_fact(updates, target_path)
-        delete_path(spark, batch_path)
+        write_fact(updates, target_path, key=key)
         return {"first_load": True, "touched": None, "removed": []}
-    keys = updates.select(key)
-    search = target
-    if move_search_months is not None:
-        bounds = updates.agg(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi")).first()
-        if bounds["lo"] is not None:
-            near = _months_around(bounds["lo"], bounds["hi"], move_search_months)
-            search = target.where(F.col(partition_col).isin(near))
-    moved_from = search.join(keys, key, "left_semi").select(partition_col)
+    # Compute the batch once: it usually comes from the order-line pipeline,
+    # and it is read several times below (key check, touched partitions,
+    # merge). The staged copy also fixes its content if a task has to be
+    # recomputed.
+    batch_path = scratch_path(spark, "upsert-batch")
+    schema = updates.schema
+    updates.write.mode("overwrite").parquet(batch_path)
+    updates = spark.read.schema(schema).parquet(batch_path)
+    assert_unique_keys(updates, key)
+    if locator not in updates.columns or locator not in target.columns:
+        locator = key
     # One value per partition: bounded by the number of months, not rows.
     touched = sorted(r[0] for r in updates.select(partition_col)
-                     .union(moved_from).distinct().collect())
-    kept = target.where(F.col(partition_col).isin(touched)).join(keys, key, "left_anti")
+                     .union(_months_of_orders(target, updates, locator, partition_col))
+                     .distinct().collect())
+    kept = (target.where(F.col(partition_col).isin(touched))
+            .join(updates.select(key), key, "left_anti"))
     merged = kept.unionByName(updates, allowMissingColumns=True)
     staged = scratch_path(spark, "upsert-stage")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(staged)
-    staged_df = spark.read.parquet(staged)
+    staged_df = spark.read.schema(merged.schema).parquet(staged)
     present = {r[0] for r in staged_df.select(partition_col).distinct().collect()}
+    # The wider schema first: it also reads the files of before.
+    _store_schema(spark, target_path, merged.schema)
     (_clustered(staged_df).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(target_path))

@@ -15,9 +15,10 @@ Here the values are ranked by a distributed sort instead:
    linearly at position p * (n - 1), as ``percentile`` / ``quantile_cont``
    do.
 
-The input values are checkpointed to the shared checkpoint folder first, so
-sampling, ranking and a task recomputed after an executor loss all read the
-same fixed data.
+The input values and the ranked rows are checkpointed to the shared checkpoint
+folder before they are read again, so sampling, ranking and a task recomputed
+after an executor loss all read the same fixed data. Groups are joined
+null-safe: rows without a group are a group.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_root
 
 _LOW_BITS = (1 << 33) - 1
-BROADCAST_MAX_ROWS = 1_000_000   # rows of a small side that may be broadcast
 
 
 def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float],
@@ -46,33 +46,24 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float],
         vals = vals.checkpoint(eager=True)
     counts = vals.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
 
-    # An explicit partition count: AQE never coalesces such a shuffle, so the
-    # two reads of the ranked rows below (run counts, and the rows joined to
-    # them) see the same partitions and the same ids. Rows equal in
-    # (group, v) may swap ids between reads; they hold the same value, so
-    # every rank still maps to the same value.
-    conf = vals.sparkSession.conf
-    n_parts = max(int(conf.get("spark.sql.shuffle.partitions")),
-                  int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or 0))
+    # A range partitioner samples, so two executions cut different ranges: the
+    # ranked rows are fixed by a checkpoint before the two reads below.
+    n_parts = int(vals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint_root(df.sparkSession)
     ranked = (vals.repartitionByRange(n_parts, group, "v").sortWithinPartitions(group, "v")
               .withColumn("_id", F.monotonically_increasing_id()))
     ranked = ranked.select(group, "v", F.shiftright("_id", 33).alias("_part"),
-                           F.col("_id").bitwiseAND(F.lit(_LOW_BITS)).alias("_local"))
+                           F.col("_id").bitwiseAND(F.lit(_LOW_BITS)).alias("_local")).checkpoint(eager=True)
 
     runs = ranked.groupBy("_part", group).agg(F.min("_local").alias("_first"),
                                               F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("_base", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    # Size bounds, known before the joins: the sorted data is cut into
-    # contiguous ranges, so (partition, group) runs number at most
-    # partitions + groups - 1, and the ranks needed are 2 per probability
-    # and group. Broadcast them when that bound is small; otherwise leave
-    # the choice to the planner.
-    n_groups = counts.count()
-    bound = n_parts + n_groups * (1 + 2 * len(probs))
-    small = bound <= BROADCAST_MAX_ROWS
-    runs_side = runs.select("_part", group, "_first", "_base")
-    rows = ranked.join(F.broadcast(runs_side) if small else runs_side, ["_part", group])
+    # Runs are contiguous ranges (at most partitions + groups of them) and the
+    # needed ranks two per probability and group: AQE broadcasts both.
+    g = F.col(group)
+    runs_side = runs.select(F.col("_part").alias("_p"), g.alias("_g"), "_first", "_base")
+    rows = ranked.join(runs_side, (F.col("_part") == F.col("_p")) & g.eqNullSafe(F.col("_g")))
     rows = rows.select(group, "v", (F.col("_base") + F.col("_local") - F.col("_first")).alias("rank0"))
 
     # Ranks needed per group: floor and ceil of p * (n - 1).
@@ -85,10 +76,13 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float],
     wanted = counts.select(group, "n", F.explode(F.array(*pos_cols)).alias("q")).select(
         group, "n", "q.qi", "q.pos", "q.lo", "q.hi")
     needed = wanted.select(group, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("rank0")).distinct()
-    picked = rows.join(F.broadcast(needed) if small else needed, [group, "rank0"], "left_semi")
-    lo = picked.select(group, F.col("rank0").alias("lo"), F.col("v").alias("v_lo"))
-    hi = picked.select(group, F.col("rank0").alias("hi"), F.col("v").alias("v_hi"))
-    interp = (wanted.join(lo, [group, "lo"]).join(hi, [group, "hi"])
+    needed = needed.select(g.alias("_g"), F.col("rank0").alias("_r"))
+    picked = (rows.join(needed, (F.col("rank0") == F.col("_r")) & g.eqNullSafe(F.col("_g")), "left_semi")
+              .groupBy(group, "rank0").agg(F.first("v").alias("v")))
+    lo = picked.select(g.alias("_gl"), F.col("rank0").alias("_lo"), F.col("v").alias("v_lo"))
+    hi = picked.select(g.alias("_gh"), F.col("rank0").alias("_hi"), F.col("v").alias("v_hi"))
+    interp = (wanted.join(lo, (F.col("lo") == F.col("_lo")) & g.eqNullSafe(F.col("_gl")))
+              .join(hi, (F.col("hi") == F.col("_hi")) & g.eqNullSafe(F.col("_gh")))
               .select(group, "n", "qi",
                       (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("lo")))
                       .alias("qv")))

@@ -122,22 +122,24 @@ def scd2_capture(snapshot: DataFrame, incoming: DataFrame, key: str = "c_custkey
     """Apply current source rows to a timestamp-strategy change history.
 
     For each incoming key: no open version -> a new open version; an open
-    version with an older ``updated_at`` (and, with ``require_change``, a
-    different row hash) -> that version is closed at the incoming timestamp
-    and a new open version is added. Keys absent from ``incoming`` are left
-    as they are (source deletes do not close versions). All steps are joins
-    on the key, so every key's work is a handful of rows.
+    version with an older ``updated_at`` -> that version is closed at the
+    incoming timestamp and a new open version is added. With
+    ``require_change`` (the default, for sources that stamp every row with the
+    capture time) at least one stored attribute must differ too, NULLs
+    included. Keys absent from ``incoming`` are left as they are (source
+    deletes do not close versions). All steps are joins on the key, so every
+    key's work is a handful of rows.
     """
     attrs = [c for c in SNAPSHOT_ATTRS if c in snapshot.columns]
     inc = incoming.select(key, *attrs, updated_at).withColumn(
         "scd_id", fn.row_hash(key, "c_name", "c_mktsegment", "n_name", "c_acctbal"))
     open_ = snapshot.where(F.col("valid_to").isNull())
     closed = snapshot.where(F.col("valid_to").isNotNull())
-    cur = open_.select(key, F.col(updated_at).alias("_open_upd"), F.col("scd_id").alias("_open_id"))
+    cur = open_.select(key, F.col(updated_at).alias("_open_upd"), F.struct(*attrs).alias("_open"))
     j = inc.join(cur, key, "left")
     newer = F.col(updated_at) > F.col("_open_upd")
     if require_change:
-        newer = newer & (F.col("scd_id") != F.col("_open_id"))
+        newer = newer & ~F.struct(*attrs).eqNullSafe(F.col("_open"))
     changed = j.where(F.col("_open_upd").isNull() | newer)
     new_versions = changed.select(key, *attrs, "scd_id", updated_at,
                                   F.lit(None).cast("timestamp").alias("valid_to"))

@@ -18,6 +18,7 @@ from ..functions import core as fn
 from ..operators import (dimensions, enrich, facts, kpi, load, monitor, quality, scd2,
                          staging)
 from ..session import scratch_path
+from . import build
 from .models import Models
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -26,8 +27,9 @@ QUERIES: dict[str, QueryFn] = {}
 # Fixed parameters of the registered queries.
 SLICE = {"fiscal_year": 1999, "region": "EUROPE", "segment": "BUILDING"}
 CAPTURE_AT = "2001-08-01 00:00:00"     # timestamp of the incoming customer rows
-CAPTURE_CHANGE_EVERY = 7               # incoming rows change balance for keys divisible by this
 CAPTURE_BALANCE_CHANGE = 1000
+DEFECT_STEPS = (97, 89, 101, 103, 107, 109, 113)   # order keys divisible by these get planted defects
+REFRESH_DAYS_BEFORE_END = 400           # the full refresh keeps orders up to this many days before the newest
 UPSERT_FIRST_LOAD_DAYS_BEFORE_END = 30  # the first load stops this many days before the newest order
 LOOKBACK_DAYS = 3
 
@@ -40,7 +42,9 @@ def query(name: str):
 
 
 def _m(spark: SparkSession, sf_dir: str) -> Models:
-    return Models(spark, sf_dir)
+    """Models over the driver data, whose line numbers repeat within an order:
+    they are numbered anew, in the form that no large order can slow."""
+    return Models(spark, sf_dir, renumber_lines="skew_safe")
 
 
 def _drop_audit(df: DataFrame) -> DataFrame:
@@ -129,14 +133,22 @@ def q_dim_customer_current(spark, d):
 
 def capture_incoming(m: Models) -> DataFrame:
     """Current customer rows as a source would send them on the capture
-    date: balances change for keys divisible by 7."""
-    h = m.history_snapshot
-    cur = h.where(F.col("valid_to").isNull())
-    changed = F.col("c_custkey") % CAPTURE_CHANGE_EVERY == 0
+    date. Of every 11 keys five change, one attribute each: balance, address,
+    phone, comment, region; a sixth loses its segment."""
+    cur = m.history_snapshot.where(F.col("valid_to").isNull())
+    kind = F.col("c_custkey") % 11
+
+    def changed(k: int, col: str, new):
+        return F.when(kind == k, new).otherwise(F.col(col)).alias(col)
+
     return cur.select(
-        "c_custkey", "c_name", "c_address", "c_phone", "c_mktsegment", "c_comment", "n_name",
-        "r_name",
-        F.when(changed, F.col("c_acctbal") + CAPTURE_BALANCE_CHANGE).otherwise(F.col("c_acctbal"))
+        "c_custkey", "c_name",
+        changed(1, "c_address", F.concat(F.lit("Moved to "), F.col("c_custkey").cast("string"))),
+        changed(2, "c_phone", F.concat(F.lit("+1-"), F.col("c_custkey").cast("string"))),
+        changed(5, "c_mktsegment", F.lit(None).cast("string")),
+        changed(3, "c_comment", F.lit("changed")), "n_name",
+        changed(4, "r_name", F.lit("ELSEWHERE")),
+        F.when(kind == 0, F.col("c_acctbal") + CAPTURE_BALANCE_CHANGE).otherwise(F.col("c_acctbal"))
         .cast(fn.MONEY).alias("c_acctbal"),
         F.lit(CAPTURE_AT).cast("timestamp").alias("updated_at"))
 
@@ -173,8 +185,7 @@ def q_fact_customer_as_of(spark, d):
 def q_fact_lookback(spark, d):
     """The rows a daily incremental run re-processes against a full target."""
     m = _m(spark, d)
-    window = load.lookback_filter(m.enriched_with_sk, m.fact, days=LOOKBACK_DAYS)
-    return _drop_audit(facts.fact_orders(window, m.loaded_at))
+    return _drop_audit(m.fact_since(load.lookback_start(m.fact, LOOKBACK_DAYS)))
 
 
 @query("fact_upsert")
@@ -188,10 +199,70 @@ def q_fact_upsert(spark, d):
     target_path = scratch_path(spark, "fact_upsert")
     load.upsert(spark, m.fact.where(F.col("order_date") <= F.lit(cutoff)), target_path)
     target = load.read_target(spark, target_path)
-    window = load.lookback_filter(m.enriched_with_sk, target, days=LOOKBACK_DAYS)
-    load.upsert(spark, facts.fact_orders(window, m.loaded_at), target_path)
-    out = load.read_target(spark, target_path)
-    return out.select(*[c for c in facts.FACT_COLUMNS if c != "_loaded_at"])
+    load.upsert(spark, m.fact_since(load.lookback_start(target, LOOKBACK_DAYS)), target_path)
+    return _read_fact(spark, target_path)
+
+
+def _read_fact(spark, path: str) -> DataFrame:
+    return load.read_target(spark, path).select(*[c for c in facts.FACT_COLUMNS if c != "_loaded_at"])
+
+
+@query("fact_full_refresh")
+def q_fact_full_refresh(spark, d):
+    """The whole fact written (B6), then refreshed in full from fewer orders:
+    months that are gone must be gone from the table."""
+    m = _m(spark, d)
+    m.stored_order_lines()
+    path = scratch_path(spark, "fact_refresh")
+    load.write_fact(m.fact, path, key="order_line_sk")
+    newest = load.max_value(load.read_target(spark, path), "order_date")
+    kept = m.fact.where(F.col("order_date") <= F.lit(newest - _dt.timedelta(days=REFRESH_DAYS_BEFORE_END)))
+    load.write_fact(kept, path, key="order_line_sk")
+    return _read_fact(spark, path)
+
+
+@query("fact_schema_drift")
+def q_fact_schema_drift(spark, d):
+    """A column the first load did not have (B5): NULL in its rows, filled in
+    the rows of the look-back window."""
+    m = _m(spark, d)
+    m.stored_order_lines()
+    path = scratch_path(spark, "fact_drift")
+    load.upsert(spark, m.fact.drop("clerk_name"), path)
+    start = load.lookback_start(load.read_target(spark, path), LOOKBACK_DAYS)
+    load.upsert(spark, m.fact.where(F.col("order_date") >= F.lit(start)), path)
+    return _read_fact(spark, path)
+
+
+@query("daily_build_fact")
+def q_daily_build_fact(spark, d):
+    """The gated build (P1), run twice: a first load, then a daily run with
+    look-back and upsert; returns the fact as read back."""
+    out = scratch_path(spark, "build")
+    history = _m(spark, d).history_snapshot
+    for loaded_at in ("2001-08-01 04:00:00", "2001-08-02 04:00:00"):
+        build.run(spark, d, out, loaded_at=loaded_at, history_seed=history, renumber_lines="skew_safe")
+    return _read_fact(spark, f"{out}/fact_orders")
+
+
+@query("view_and_rebuild")
+def q_view_and_rebuild(spark, d):
+    """A model registered as a view (B1), rebuilt from it as a table twice
+    (B2) and read back."""
+    load.register_view(_m(spark, d).stg_orders, "ordermart_stg_orders")
+    path = scratch_path(spark, "rebuilt")
+    view = spark.table("ordermart_stg_orders")
+    load.write_table(view.where(F.col("order_key") % 2 == 0), path)
+    load.write_table(view, path)
+    return _drop_audit(load.read_target(spark, path))
+
+
+@query("stored_failures")
+def q_stored_failures(spark, d):
+    """Failing rows kept as a table (B7) and read back."""
+    path = load.store_failures(quality.positive_amounts(planted_defects(_m(spark, d).fact)),
+                               scratch_path(spark, "failures"), "positive_order_amounts")
+    return spark.read.parquet(path)
 
 
 # --- scalar functions over table data ------------------------------------
@@ -232,6 +303,11 @@ def q_fiscal_calendar(spark, d):
 def _suite(spark, d, kind: str | None) -> DataFrame:
     m = _m(spark, d)
     checks = quality.DECLARED_CHECKS if kind is None else quality.checks_of(kind)
+    if kind is None:                # every model is checked in several ways: compute each once
+        for name in ("stg_customers", "stg_products", "dim_customer"):
+            m.store(name)
+    if len({c.table for c in checks} & {"int_orders_enriched", "fact_orders"}) > 0:
+        m.stored_order_lines()      # checked as lines and as fact
     return quality.run_checks(m.check_tables(), checks)
 
 
@@ -277,7 +353,9 @@ ROW_COUNT_BOUNDS = [
 
 @query("dq_row_count")
 def q_dq_row_count(spark, d):
-    t = _m(spark, d).check_tables()
+    m = _m(spark, d)
+    m.stored_order_lines()
+    t = m.check_tables()
     parts = [quality.row_count_validation(t[name], lo, hi).select(F.lit(name).alias("model"), "*")
              for name, lo, hi in ROW_COUNT_BOUNDS]
     return quality.union_failures(*parts)
@@ -293,6 +371,46 @@ def q_dq_invalid_status(spark, d):
     return quality.valid_order_status(_m(spark, d).fact, spark)
 
 
+def planted_defects(fact: DataFrame) -> DataFrame:
+    """The fact with defects in orders whose key is divisible by one of
+    DEFECT_STEPS: negative revenue, no quantity, a wrong and a missing status,
+    keys without a dimension row."""
+    key = F.col("order_key")
+    revenue, quantity, status, no_status, customer, product, day = DEFECT_STEPS
+    return fact.withColumns({
+        "net_revenue": F.when(key % revenue == 0, -F.col("net_revenue")).otherwise(F.col("net_revenue")),
+        "quantity": F.when(key % quantity == 0, F.lit(0.0)).otherwise(F.col("quantity")),
+        "order_status": F.when(key % status == 0, "X").when(key % no_status == 0, F.lit(None))
+        .otherwise(F.col("order_status")),
+        "customer_sk": F.when(key % customer == 0, "nobody").otherwise(F.col("customer_sk")),
+        "product_sk": F.when(key % product == 0, "nothing").otherwise(F.col("product_sk")),
+        "order_date_sk": F.when(key % day == 0, F.lit(18000101)).otherwise(F.col("order_date_sk")),
+    })
+
+
+@query("dq_positive_amounts_planted")
+def q_dq_positive_amounts_planted(spark, d):
+    return quality.positive_amounts(planted_defects(_m(spark, d).fact))
+
+
+@query("dq_invalid_status_planted")
+def q_dq_invalid_status_planted(spark, d):
+    return quality.valid_order_status(planted_defects(_m(spark, d).fact), spark)
+
+
+@query("dq_orphan_fks_planted")
+def q_dq_orphan_fks_planted(spark, d):
+    m = _m(spark, d)
+    return quality.orphan_fks(planted_defects(m.fact), m.dim_customer, m.dim_product, m.dim_date,
+                              check_ship_date=True)
+
+
+@query("dq_money_scale")
+def q_dq_money_scale(spark, d):
+    """Source money and rates with more than two decimals (none expected)."""
+    return quality.run_checks(_m(spark, d).check_tables(), quality.SOURCE_GUARDS)
+
+
 @query("dq_scd2_gaps")
 def q_dq_scd2_gaps(spark, d):
     dim = _m(spark, d).dim_customer

@@ -11,8 +11,10 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import dimensions, enrich, facts, scd2, staging
+from ..session import scratch_path
 from ..sources import tables as src
 
 # Run date used wherever the reference uses the current date (driver data
@@ -23,7 +25,7 @@ DEFAULT_LOADED_AT = "2001-08-01 04:00:00"
 
 class Models:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF,
-                 loaded_at: str | None = DEFAULT_LOADED_AT, renumber_lines: bool = True,
+                 loaded_at: str | None = DEFAULT_LOADED_AT, renumber_lines: bool | str = False,
                  use_history: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
@@ -31,6 +33,7 @@ class Models:
         self.loaded_at = loaded_at
         self.renumber_lines = renumber_lines
         self.use_history = use_history
+        self._window: tuple | None = None
 
     # sources -----------------------------------------------------------
     @cached_property
@@ -67,7 +70,10 @@ class Models:
 
     @cached_property
     def history_snapshot(self) -> DataFrame:
-        return src.customer_history(self.spark, self.sf_dir)
+        """The source's stored change history if it has one (A6), else one
+        derived from the customer table."""
+        stored = src.try_read_source(self.spark, self.sf_dir, "customer_history")
+        return stored if stored is not None else src.customer_history(self.spark, self.sf_dir)
 
     # staging -----------------------------------------------------------
     @cached_property
@@ -127,6 +133,48 @@ class Models:
     def fact(self) -> DataFrame:
         return facts.fact_orders(self.enriched_with_sk, self.loaded_at)
 
+    def fact_since(self, start, customer_keys: DataFrame | None = None,
+                   products: DataFrame | None = None) -> DataFrame:
+        """The fact rows of orders from ``start`` on (None: all), at the cost
+        of that window: its orders are stored first, so the planner knows how
+        few they are, and the line items are cut to them by a semi join before
+        any shuffle or computation. ``customer_keys`` and ``products`` may come
+        from written dimensions."""
+        keys = customer_keys if customer_keys is not None else facts.current_customer_keys(self.dim_customer)
+        products = products if products is not None else self.stg_products
+        orders, lines = self.stg_orders, self.lines
+        if start is not None:
+            path = scratch_path(self.spark, "window-orders")
+            window = self.stg_orders.where(F.col("order_date") >= F.lit(start))
+            window.write.parquet(path)
+            orders = self.spark.read.schema(window.schema).parquet(path)
+            lines = enrich.line_items(src.lineitem(
+                self.spark, self.sf_dir, renumber_lines=self.renumber_lines,
+                orders=orders.select(F.col("order_key").alias("l_orderkey"))))
+        rows = enrich.orders_enriched(orders, self.stg_customers, products, lines, keys)
+        self._window = (start, rows.drop("customer_sk"))
+        return facts.fact_orders(rows, self.loaded_at)
+
+    def window_enriched(self, start) -> DataFrame:
+        """The order lines of the window that ``fact_since`` was asked for."""
+        if self._window is None or self._window[0] != start:
+            self.fact_since(start)
+        return self._window[1]
+
+    def store(self, name: str) -> None:
+        """Compute one model once, in the shared scratch folder; models built on
+        it from now on read it there."""
+        path = scratch_path(self.spark, name)
+        rows = getattr(self, name)
+        rows.write.parquet(path)
+        setattr(self, name, self.spark.read.schema(rows.schema).parquet(path))
+
+    def stored_order_lines(self) -> None:
+        """Compute the order lines once; the fact and the checks of this object
+        then read them."""
+        self.store("enriched_with_sk")
+        self.enriched = self.enriched_with_sk.drop("customer_sk")
+
     def check_tables(self) -> dict[str, DataFrame]:
         """Every table the declared checks name."""
         return {

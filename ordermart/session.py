@@ -21,7 +21,6 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Parquet output of the fact may be re-read with new columns (schema drift).
     "spark.sql.parquet.mergeSchema": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Checkpoint files of DataFrames that are no longer referenced are removed.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",

@@ -4,7 +4,8 @@
 happen in Catalyst, so callers select only what they use.
 
 The adapter functions add a column **only when the real column is absent**,
-so genuine TPC-H input passes through unchanged. All derived values are
+so genuine TPC-H input passes through unchanged (line numbers too, unless a
+caller asks for new ones). All derived values are
 integer arithmetic on existing keys: deterministic, no randomness, and
 identical when recomputed after an executor loss.
 """
@@ -31,7 +32,6 @@ PART_FINISHES = ["ANODIZED", "BRUSHED", "BURNISHED", "PLATED", "POLISHED"]
 PART_MATERIALS = ["BRASS", "COPPER", "NICKEL", "STEEL", "TIN"]
 CONTAINER_SIZES = ["JUMBO", "LG", "MED", "SM", "WRAP"]
 CONTAINER_TYPES = ["BAG", "BOX", "CAN", "CASE", "DRUM", "JAR", "PACK", "PKG"]
-PARTSUPP_EXCLUDED_EVERY = 50     # parts with key divisible by this get no supplier row
 HISTORY_STARTS = ["1992-01-01", "1996-06-15", "1998-03-01"]
 HISTORY_BALANCE_STEP = 2500
 
@@ -121,19 +121,24 @@ def part(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
 
 
-def lineitem(spark: SparkSession, sf_dir: str, renumber_lines: bool | str = True) -> DataFrame:
+def lineitem(spark: SparkSession, sf_dir: str, renumber_lines: bool | str = False,
+             orders: DataFrame | None = None) -> DataFrame:
     """Line items with the adapter columns.
 
-    ``renumber_lines``: the driver data repeats (l_orderkey, l_linenumber),
-    which the order-line surrogate key needs unique. Lines are renumbered
-    1..n per order in a total order. Real TPC-H has unique line numbers
-    (1..7 per order), so pass False there and no renumbering runs.
-    True uses a window per order key (one shuffle, which the join to the
-    orders then reuses). ``"skew_safe"`` gives the same numbers by a
-    distributed sort (``operators.ranking``), for sources where one order
-    may hold a large share of all lines.
+    Line numbers are the source's own. The driver data repeats
+    (l_orderkey, l_linenumber), which the order-line surrogate key needs
+    unique, so its readers opt in to ``renumber_lines``: lines are numbered
+    1..n per order in a total order. ``"skew_safe"`` does it by a distributed
+    sort (``operators.ranking``), however many lines one order has; True by a
+    window per order key, for sources with a bound on them.
+
+    ``orders`` (l_orderkey) keeps only the lines of these orders, before
+    anything is shuffled or computed.
     """
     df = read_source(spark, sf_dir, "lineitem")
+    if orders is not None:
+        # Whole orders: their lines get the same numbers as in the full table.
+        df = df.join(orders, "l_orderkey", "left_semi")
     if renumber_lines == "skew_safe":
         from ..operators.ranking import row_number_by_sort
         df = (row_number_by_sort(df, "l_orderkey", LINE_ORDER, out="_line")
@@ -160,17 +165,15 @@ def lineitem(spark: SparkSession, sf_dir: str, renumber_lines: bool | str = True
 def partsupp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The partsupp table, or a derived one when the source has none.
 
-    Derived rows: the distinct (part, supplier) pairs that line items use,
-    leaving out parts whose key is a multiple of 50 so the "no supplier"
-    branch is exercised. Distinct is a partial aggregate (map-side combine),
-    so a hot part does not land whole in one task.
+    Derived rows: the distinct (part, supplier) pairs that line items use.
+    Distinct is a partial aggregate (map-side combine), so a hot part does not
+    land whole in one task.
     """
     real = try_read_source(spark, sf_dir, "partsupp")
     if real is not None:
         return real
     pairs = (read_source(spark, sf_dir, "lineitem")
              .select(F.col("l_partkey").alias("ps_partkey"), F.col("l_suppkey").alias("ps_suppkey"))
-             .where(F.col("ps_partkey") % PARTSUPP_EXCLUDED_EVERY != 0)
              .distinct())
     prices = read_source(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("ps_partkey"), F.col("p_retailprice").cast(MONEY).alias("price"))

@@ -11,11 +11,11 @@ from tests.conftest import SF_SMALL, rows
 def test_build_twice(spark, tmp_dir):
     out = f"{tmp_dir}/marts"
     seed = src.customer_history(spark, SF_SMALL)
-    first = build.run(spark, SF_SMALL, out, history_seed=seed)
+    first = build.run(spark, SF_SMALL, out, history_seed=seed, renumber_lines=True)
     assert first["fact_load"]["first_load"]
     fact = spark.read.parquet(f"{out}/fact_orders")
     n = fact.count()
-    expected = Models(spark, SF_SMALL).fact
+    expected = Models(spark, SF_SMALL, renumber_lines=True).fact
     assert n == expected.count()
     assert rows(fact, "order_line_sk", "customer_sk", "net_revenue") == \
         rows(expected, "order_line_sk", "customer_sk", "net_revenue")
@@ -23,7 +23,7 @@ def test_build_twice(spark, tmp_dir):
     assert "expression_is_true__fact_orders__days_to_ship__ge_0" in first["checks"]["failed"]
     assert spark.read.parquet(f"{out}/check_failures/expression_is_true__fact_orders__days_to_ship__ge_0").count() > 0
 
-    second = build.run(spark, SF_SMALL, out, loaded_at="2001-08-02 04:00:00")
+    second = build.run(spark, SF_SMALL, out, loaded_at="2001-08-02 04:00:00", renumber_lines="skew_safe")
     assert not second["fact_load"]["first_load"]
     assert second["fact_load"]["touched"]           # the look-back window was re-processed
     fact2 = spark.read.parquet(f"{out}/fact_orders")
@@ -31,7 +31,7 @@ def test_build_twice(spark, tmp_dir):
     reloaded = fact2.where("_loaded_at > timestamp'2001-08-01 12:00:00'").count()
     assert 0 < reloaded < n                          # only the look-back window was rewritten
     report = spark.read.parquet(f"{out}/check_report")
-    assert report.count() == 131 + 4
+    assert report.count() == 131 + 4 + 8             # declared, hand-written, two-decimal guards
 
 
 def test_build_rejects_ambiguous_merge_without_renumbering(spark, tmp_dir):
@@ -44,6 +44,6 @@ def test_build_rejects_ambiguous_merge_without_renumbering(spark, tmp_dir):
 
 
 def test_command_line(spark, tmp_dir, capsys):
-    summary = build.main([SF_SMALL, f"{tmp_dir}/cli", "--lookback-days", "5"])
+    summary = build.main([SF_SMALL, f"{tmp_dir}/cli", "--lookback-days", "5", "--renumber-lines", "yes"])
     assert summary["fact_load"]["first_load"]
     assert '"first_load": true' in capsys.readouterr().out

@@ -154,3 +154,30 @@ def test_slicers_apply_to_every_measure(spark):
     assert kpi.on_time_by(f, segment="B").first().late_lines == 1
     assert kpi.late_by(f, segment="A").first().late_lines == 0
     assert kpi.fulfillment_histogram(f, region="ASIA").count() == 0
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_exact_quantiles_do_not_rest_on_exchange_reuse(spark, reuse):
+    """A million rows, one group of 90 % and one without a name: the ranks hold
+    whether or not Spark reuses the sorting exchange."""
+    n = 1_000_000
+    key = F.pmod(F.xxhash64("id"), F.lit(1000))
+    df = spark.range(n).select(F.when(key < 900, "a").when(key < 970, "b").alias("g"),
+                               F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10**9)).cast("double").alias("v"))
+    saved = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        got = {r.g: (r.n, r.q0, r.q1, r.q2) for r in exact_quantiles(df, "g", "v", [0.25, 0.5, 0.75]).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", saved)
+    want = {r.g: (r.n, *r.q) for r in df.groupBy("g").agg(
+        F.count("*").alias("n"), F.percentile("v", F.lit([0.25, 0.5, 0.75])).alias("q")).collect()}
+    assert got == want and None in got
+
+
+def test_box_plot_counts_customers_without_a_segment(spark):
+    fact = spark.createDataFrame([(f"c{i % 9}", i, float(i)) for i in range(40)],
+                                 "customer_sk string, order_key long, net_revenue double")
+    dim = spark.createDataFrame([(f"c{i}", "BUILDING") for i in range(6)], "customer_sk string, market_segment string")
+    got = {r.market_segment: r.n_customers for r in kpi.segment_box_plot(fact, dim).collect()}
+    assert got == {"BUILDING": 6, "Unknown": 3}

@@ -108,7 +108,7 @@ def test_lookback_predicate_reaches_orders_scan(spark):
     from tests.conftest import SF_SMALL
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
     try:
-        m = Models(spark, SF_SMALL)
+        m = Models(spark, SF_SMALL, renumber_lines=True)
         src = load.lookback_filter(m.enriched, m.stg_orders.select("order_date"), days=3)
         plan = src._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -124,16 +124,6 @@ def test_sample_failures_is_display_only(spark):
     assert failing.count() == 2000
 
 
-def test_move_search_window(spark, tmp_dir):
-    assert load._months_around(200001, 200002, 1) == [199912, 200001, 200002, 200003]
-    path = f"{tmp_dir}/fact"
-    load.upsert(spark, fact(spark, [("a", d(2000, 1, 5), "B", 1.0), ("b", d(2000, 6, 5), "B", 2.0)]), path)
-    # a move within the window is found and its old partition removed
-    info = load.upsert(spark, fact(spark, [("a", d(2000, 2, 9), "B", 1.5)]), path, move_search_months=1)
-    assert info["removed"] == [200001]
-    assert months_on_disk(path) == ["order_month=200002", "order_month=200006"]
-
-
 def test_write_table_swaps_versions(spark, tmp_dir):
     path = f"{tmp_dir}/dim"
     load.write_table(spark.range(3), path)
@@ -142,3 +132,63 @@ def test_write_table_swaps_versions(spark, tmp_dir):
     load.write_table(spark.read.parquet(path).union(spark.range(10, 12)), path)
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 10, 11]
     assert not os.path.exists(f"{path}.__new__") and not os.path.exists(f"{path}.__old__")
+
+
+def crash_states(spark, path):
+    """The folders as a crash leaves them after each step of a swap."""
+    return {
+        "new is half written": lambda: spark.range(9).write.parquet(f"{path}.__new__"),
+        "old moved away": lambda: (spark.range(2).write.parquet(f"{path}.__new__"), os.rename(path, f"{path}.__old__")),
+        "new moved in": lambda: (os.rename(path, f"{path}.__old__"), spark.range(2).write.parquet(path)),
+    }
+
+
+@pytest.mark.parametrize("state", ["new is half written", "old moved away", "new moved in"])
+def test_crash_during_swap_keeps_a_version(spark, tmp_dir, state):
+    path = f"{tmp_dir}/dim"
+    load.write_table(spark.range(5), path)
+    crash_states(spark, path)[state]()
+    if state == "new is half written":
+        os.remove(f"{path}.__new__/_SUCCESS")
+    n = load.read_target(spark, path).count()
+    assert n == (5 if state == "new is half written" else 2)
+    assert not os.path.exists(f"{path}.__new__") and not os.path.exists(f"{path}.__old__")
+    load.write_table(load.read_target(spark, path).union(spark.range(100, 101)), path)
+    assert load.read_target(spark, path).count() == n + 1
+
+
+def test_crash_before_new_is_complete_restores_the_old(spark, tmp_dir):
+    path = f"{tmp_dir}/dim"
+    load.write_table(spark.range(5), path)
+    os.rename(path, f"{path}.__old__")
+    assert load.read_target(spark, path).count() == 5
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_full_write_leaves_no_stale_month(spark, tmp_dir, mode):
+    path = f"{tmp_dir}/fact"
+    saved = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        both = [("a", d(2000, 1, 5), "B", 1.0), ("b", d(2000, 2, 5), "B", 2.0)]
+        load.write_fact(fact(spark, both), path)
+        load.write_fact(fact(spark, both[:1]), path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", saved)
+    assert load.read_target(spark, path).count() == 1 and months_on_disk(path) == ["order_month=200001"]
+
+
+def test_first_load_with_repeated_keys_leaves_nothing(spark, tmp_dir):
+    path = f"{tmp_dir}/fact"
+    with pytest.raises(ValueError):
+        load.upsert(spark, fact(spark, [("a", d(2000, 1, 5), "B", 1.0), ("a", d(2000, 2, 5), "B", 2.0)]), path)
+    assert load.read_target(spark, path) is None
+
+
+def test_moved_line_is_found_by_order_key(spark, tmp_dir):
+    path = f"{tmp_dir}/fact"
+    schema = "order_key long, " + SCHEMA
+    load.upsert(spark, fact(spark, [(1, "a", d(1995, 1, 5), "B", 1.0), (2, "b", d(2000, 6, 5), "B", 2.0)], schema), path)
+    info = load.upsert(spark, fact(spark, [(1, "a", d(2000, 6, 9), "B", 1.5)], schema), path)
+    assert info["removed"] == [199501]
+    assert rows(load.read_target(spark, path), "order_line_sk", "net_revenue") == [("a", 1.5), ("b", 2.0)]

@@ -177,7 +177,7 @@ def test_as_of_lookup_matches_brute_force(spark):
     from ordermart.plans.models import Models
     from tests.conftest import SF_SMALL
     m = Models(spark, SF_SMALL)
-    keys = facts.customer_keys(m.dim_customer, "as_of")
+    keys = facts.as_of_customer_keys(m.dim_customer)
     got = facts.lookup_customer(m.stg_orders.select("order_key", "customer_key", "order_date"), keys)
     got = {r.order_key: r.customer_sk for r in got.collect()}
     orders = m.stg_orders.select("order_key", "customer_key", "order_date").toPandas()

@@ -122,7 +122,6 @@ def test_severity_gate(spark):
                                         Check("t", "k", "not_null")])
     assert {r.check_name: r.status for r in rep.collect()} == {"unique__t__k": "error",
                                                                 "not_null__t__k": "warn"}
-    assert quality.gate(rep) == ["unique__t__k"]
 
 
 @pytest.mark.parametrize("age,status", [(0, "pass"), (1, "pass"), (2, "warn"), (3, "warn"), (4, "error")])
@@ -181,3 +180,17 @@ def test_mart_checks_fused_counts_match_operators(spark):
     assert rep["positive_order_amounts"] == failing["positive_order_amounts"].count() == 2
     assert rep["valid_order_status"] == failing["valid_order_status"].count() == 2
     assert rep["fact_dimension_keys"] == 0 and rep["scd2_no_gaps"] == 0
+
+
+def test_money_with_three_decimals_is_an_error(spark):
+    t = spark.createDataFrame([(1.0,), (2.55,), (1.005,), (123456.78,), (None,)], "p_retailprice double")
+    guard = [c for c in quality.SOURCE_GUARDS if c.table == "part"]
+    row = quality.run_checks({"part": t}, guard).first()
+    assert (row.failures, row.status, row.severity) == (1, "error", "error")
+
+
+def test_stacked_unique_checks_equal_single_ones(spark):
+    t = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (None, None), (None, "c")], "k long, s string")
+    checks = [Check("t", "k", "unique"), Check("t", "s", "unique"), Check("u", "k", "unique")]
+    rep = {r.check_name: r.failures for r in quality.run_checks({"t": t, "u": t.limit(0)}, checks).collect()}
+    assert rep == {"unique__t__k": 1, "unique__t__s": 1, "unique__u__k": 0}

@@ -37,7 +37,7 @@ def test_skew_safe_line_renumbering_equals_window(spark):
 
 def test_fact_with_skew_safe_renumbering(spark):
     from ordermart.plans.models import Models
-    a = Models(spark, SF_SMALL).fact
+    a = Models(spark, SF_SMALL, renumber_lines=True).fact
     b = Models(spark, SF_SMALL, renumber_lines="skew_safe").fact
     cols = ("order_line_sk", "customer_sk", "product_sk", "net_revenue", "ship_mode")
     assert rows(a, *cols) == rows(b, *cols)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from ordermart.functions import core as fn
 from ordermart.operators import quality, scd2
 from tests.conftest import rows
@@ -126,3 +128,25 @@ def test_history_switch_by_path(spark, tmp_dir):
     history(spark).write.parquet(f"{tmp_dir}/hist")
     stored = scd2.customer_history(stg, f"{tmp_dir}/hist")
     assert stored.count() == 9
+
+
+def test_capture_sees_every_attribute(spark):
+    """Each stored attribute alone makes a new version, NULLs included."""
+    base = (1, "C", "street", "phone", "BUILDING", None, "NATION_1", "AMERICA", Decimal("1.00"))
+    changes = {"c_name": "D", "c_address": "road", "c_phone": None, "c_mktsegment": None, "c_comment": "x",
+               "n_name": "NATION_2", "r_name": None, "c_acctbal": Decimal("2.00")}
+    names = ["c_custkey", "c_name", "c_address", "c_phone", "c_mktsegment", "c_comment", "n_name", "r_name", "c_acctbal"]
+    schema = ("c_custkey long, c_name string, c_address string, c_phone string, c_mktsegment string, "
+              "c_comment string, n_name string, r_name string, c_acctbal decimal(12,2), updated_at timestamp")
+    old, new = [], []
+    for i, (col, value) in enumerate([*changes.items(), ("none", None)]):
+        row = dict(zip(names, base)) | {"c_custkey": i}
+        old.append((*row.values(), T(1992, 1, 1)))
+        new.append((*(row | ({col: value} if col in row else {})).values(), T(2001, 8, 1)))
+    snap = spark.createDataFrame(old, schema).withColumn("scd_id", F.lit("h")).withColumn(
+        "valid_to", F.lit(None).cast("timestamp"))
+    out = scd2.scd2_capture(snap, spark.createDataFrame(new, schema))
+    versions = {r.c_custkey: r["count"] for r in out.groupBy("c_custkey").count().collect()}
+    assert versions == {**{i: 2 for i in range(len(changes))}, len(changes): 1}
+    always = scd2.scd2_capture(snap, spark.createDataFrame(new, schema), require_change=False)
+    assert always.count() == 2 * (len(changes) + 1)
