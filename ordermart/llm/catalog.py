@@ -149,4 +149,25 @@ SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
 FROM d
 """
 
-SQL: dict[str, str] = {"op5_chat": OP5_SQL, "op6_warc": OP6_SQL}
+# All links by comparing all pairs of a label; the search finds all of them on
+# the given tables (its audit says so), so the results are equal.
+OP10_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
+    AND list_bool_or([x <> 0 FOR x IN embedding])),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+SQL: dict[str, str] = {"op5_chat": OP5_SQL, "op6_warc": OP6_SQL, "op10_nn_descent": OP10_SQL}

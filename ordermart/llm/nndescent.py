@@ -48,8 +48,9 @@ BLOCK = 2048          # rows of a block in the exact count
 TURNS = 12            # refinement turns of one round, at most
 SETTLED = 0.005       # share of changed entries at which a round ends
 AUDIT = 400           # vectors audited, about
-TARGET = 0.98         # recall asked of the audit
-ROUNDS = 5            # rounds before giving up with an error
+TARGET = 0.98         # audited recall at which the search ends
+LEAST = 0.9           # audited recall below which the job fails after all rounds
+ROUNDS = 5
 
 
 def _matrix(column: pa.ListArray) -> np.ndarray:
@@ -323,8 +324,8 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "em
         if recall >= target:
             break
         neighbours *= 2
-    else:
-        raise RuntimeError(f"audited recall {recall:.3f} is below {target} after {ROUNDS} rounds")
+    if recall < LEAST:
+        raise RuntimeError(f"audited recall {recall:.3f} is below {LEAST} after {ROUNDS} rounds")
     return _result(rows, vertices, degrees, roots, id_col)
 
 

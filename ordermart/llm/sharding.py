@@ -15,9 +15,10 @@ corpus, and a join carries each item's shard back to its groups.
 Law ``bytes``: shards have nearly equal sums of size.  A group larger than a
 shard's fair share cannot be divided and fills a shard of its own.
 
-Rows are numbered within their shard without a gap: rows are dealt into
-buckets by id, numbered within (shard, bucket), and moved on by the counts of
-the buckets before; no shard is ever sorted in one task.
+Rows are numbered within their shard without a gap: the stored rows are dealt
+into buckets evenly (rows that repeat, too), numbered within (shard, bucket),
+and moved on by the counts of the buckets before; no shard is ever sorted in one
+task.  Shards depend on the rows alone, slots also on how they are stored.
 
 Defined results: a null text has size 16 and all null texts are one group, the
 empty text is another; rows that repeat share a shard and get slots of their
@@ -108,13 +109,14 @@ def sharded(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str
         F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.unhex(F.sha2(text, 256)), F.lit("").cast("binary")).alias("key"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + overhead).cast("long").alias("size"),
-        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32")), "shard-rows")
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.monotonically_increasing_id().alias("row")), "shard-rows")
     groups = stored(rows.groupBy("key").agg(F.sum("size").alias("size")), "shard-groups")
     placed = stored(balance(groups, shards, items), "shard-of-group")
     buckets = max(1, -(-rows.count() // bucket_rows))
     located = stored(rows.join(placed, "key")
-                     .withColumn("bucket", F.pmod(F.xxhash64("id", "key"), F.lit(buckets))), "located")
-    here = Window.partitionBy("shard", "bucket").orderBy("id", "key")
+                     .withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets))), "located")
+    here = Window.partitionBy("shard", "bucket").orderBy("id", "row")
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = (located.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
               .select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))

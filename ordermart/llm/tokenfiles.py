@@ -219,14 +219,16 @@ class Reader:
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode every text, append ``end_id`` and write the ids in ascending
-    order of id (no id first, equal ids by text) to files below ``folder``.
-    Returns the manifest: one row a file, ``part`` in that order.
+    order of id (no id first, equal ids by XXH64 of the text) to files below
+    ``folder``.  Returns the manifest: one row a file, ``part`` in that order.
+    An id that many rows share is split over files by that hash.
 
     A null text is empty (its only id is ``end_id``); repeated rows repeat; an
     empty table gives no file.  Other columns are ignored.
     """
-    rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-            .repartitionByRange("id").sortWithinPartitions("id", "text"))
+    rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("key"),
+                        F.col(text_col).alias("text"))
+            .repartitionByRange("id", "key").sortWithinPartitions("id", "key", "text"))
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
