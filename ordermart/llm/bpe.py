@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame, functions as F
 # The split that the byte-level pre-tokenizer applies before the
 # merges.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-KEPT_PIECES = 400_000     # bound of a worker's table of encoded pieces
-KEPT_PAIRS = 1_000_000    # bound of a worker's pair-compatibility table
+KEPT_PIECES = 300_000     # bound of a worker's table of encoded pieces
+KEPT_PAIRS = 300_000      # bound of a worker's pair-compatibility table
 LONG_PIECE = 200          # longer pieces are encoded but not kept
 
 

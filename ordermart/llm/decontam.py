@@ -41,7 +41,7 @@ SIMILARITY = 0.8
 RADIUS = 23            # 4.5 standard deviations above what similarity 0.8 gives
 BLOCK_BYTES = 32 << 20  # benchmark text sent to the tasks at once
 FILTER_BITS = 1 << 22
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 200_000     # bound of a worker's table of word hashes
 WINDOWS = 1 << 14      # windows fingerprinted at once
 MATCH = "doc_id long, item_id long, similarity double, distance int, start_word int, n_words int"
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 UNKNOWN = "und"
 BUCKETS = 1 << 16          # of each n-gram table
 MAX_LANGUAGES = 400        # bound of the model's size
-SLICE_CHARS = 3_000_000    # characters worked on at once (one text at least)
+SLICE_CHARS = 1_000_000    # characters worked on at once (one text at least)
 SWITCH_PENALTY = 8.0       # nats
 MIN_SHARE = 0.001          # of a language's letters, for a script to count as its own
 
@@ -124,15 +124,19 @@ def ngram_buckets(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return mix(three), mix(two) + BUCKETS
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    begin, chars = 0, 0
-    for i, t in enumerate(texts):
-        if i > begin and chars + len(t) > SLICE_CHARS:
-            yield begin, i
-            begin, chars = i, 0
-        chars += len(t)
-    if begin < len(texts):
-        yield begin, len(texts)
+def _slices(texts: list[str]) -> Iterator[list[int]]:
+    """Numbers of the texts to work on at once: texts of like length together,
+    since Viterbi takes as many steps as the longest one has words."""
+    some: list[int] = []
+    chars = 0
+    for i in sorted(range(len(texts)), key=lambda i: len(texts[i])):
+        if some and chars + len(texts[i]) > SLICE_CHARS:
+            yield some
+            some, chars = [], 0
+        some.append(i)
+        chars += len(texts[i])
+    if some:
+        yield some
 
 
 # -- training ------------------------------------------------------------------
@@ -163,11 +167,10 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
 
         for batch in batches:
             langs, all_texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-            for begin, end in _slices(all_texts):
-                texts = all_texts[begin:end]
+            for numbers in _slices(all_texts):
                 by_lang: dict[str, list[str]] = {}
-                for lang, t in zip(langs[begin:end], texts):
-                    by_lang.setdefault(lang, []).append(t)
+                for i in numbers:
+                    by_lang.setdefault(langs[i], []).append(all_texts[i])
                 for lang, some in by_lang.items():
                     w = split_words(lowered(some))
                     three, two = ngram_buckets(w)
@@ -277,11 +280,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         model = sent.value
         for batch in batches:
             texts = [t or "" for t in batch.column("__text").to_pylist()]
-            langs, shares = [], []
-            for begin, end in _slices(texts):
-                lang, share = _predict(texts[begin:end], model, penalty)
-                langs += lang
-                shares += share
+            langs, shares = _predict_all(texts, model, penalty)
             kept = [batch.column(n) for n in carried]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("__id"), *kept, pa.array(langs, pa.string()), pa.array(shares, pa.float64())],
@@ -292,6 +291,14 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(run, schema)
 
 
+def _predict_all(texts: list[str], model: Model, penalty: float) -> tuple[list[str], list[float]]:
+    langs, shares = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    for numbers in _slices(texts):
+        for i, lang, share in zip(numbers, *_predict([texts[i] for i in numbers], model, penalty)):
+            langs[i], shares[i] = lang, share
+    return langs, shares
+
+
 def _predict(texts: list[str], model: Model, penalty: float) -> tuple[list[str], list[float]]:
     k = len(model.languages)
     if not k:
@@ -316,10 +323,8 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", min_score: f
         model = sent.value
         for batch in batches:
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            good: list[bool] = []
-            for begin, end in _slices(texts):
-                lang, share = _predict(texts[begin:end], model, penalty)
-                good += [x != UNKNOWN and s >= min_score for x, s in zip(lang, share)]
+            langs, shares = _predict_all(texts, model, penalty)
+            good = [x != UNKNOWN and s >= min_score for x, s in zip(langs, shares)]
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
@@ -337,9 +342,9 @@ def spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         model = sent.value
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            found: list[list[dict]] = []
-            for begin, end in _slices(texts):
-                some = texts[begin:end]
+            found: list[list[dict]] = [[] for _ in texts]
+            for numbers in _slices(texts):
+                some = [texts[i] for i in numbers]
                 out: list[list[dict]] = [[] for _ in some]
                 if model.languages:
                     w, label = _label(some, model, penalty)
@@ -352,7 +357,8 @@ def spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                         out[w.doc[h]].append({"start": int(w.start[h] - base),
                                               "end": int(w.start[t] + w.size[t] - base),
                                               "lang": model.languages[label[h]]})
-                found += out
+                for i, one in zip(numbers, out):
+                    found[i] = one
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, kind)], names=[id_col, "spans"])
 

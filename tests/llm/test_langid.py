@@ -76,7 +76,9 @@ def test_slices_do_not_change_results(spark, monkeypatch):
     each = [langid._predict([t], model, 8.0) for t in texts]
     assert whole == ([x[0][0] for x in each], [x[1][0] for x in each])
     monkeypatch.setattr(langid, "SLICE_CHARS", 5000)
-    assert [e - b for b, e in langid._slices(texts)] and sum(e - b for b, e in langid._slices(texts)) == len(texts)
+    slices = list(langid._slices(texts))
+    assert len(slices) > 3 and sorted(i for s in slices for i in s) == list(range(len(texts)))
+    assert langid._predict_all(texts, model, 8.0) == whole
 
 
 def test_without_training_rows_and_with_other_scripts(spark):
