@@ -176,6 +176,17 @@ def _entity_lines(docs: DataFrame, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, "line binary, entities array<string>, terms array<string>")
 
 
+def _listed(bitmap: np.ndarray):
+    """Whether a word's bit is set: true for all listed words, and few others."""
+    bits, size, crc = memoryview(bitmap), 8 * len(bitmap), zlib.crc32
+
+    def listed(word: str) -> bool:
+        h = crc(word.encode()) % size
+        return bits[h >> 3] >> (h & 7) & 1 == 1
+
+    return listed
+
+
 def _occurrences(docs: DataFrame, text_col: str, bitmap: np.ndarray) -> DataFrame:
     """(text_key, line, term, spans) wherever a line holds a word whose bit is
     set: spans are (start, end) in the text, outside base spans."""
@@ -184,14 +195,7 @@ def _occurrences(docs: DataFrame, text_col: str, bitmap: np.ndarray) -> DataFram
     pairs = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = memoryview(sent.value)
-        size = 8 * len(bits)
-        crc = zlib.crc32
-
-        def listed(word: str) -> bool:
-            h = crc(word.encode()) % size
-            return bits[h >> 3] >> (h & 7) & 1 == 1
-
+        listed = _listed(sent.value)
         for batch in batches:
             out: list[tuple] = []
             for key, text in zip(batch.column("text_key").to_pylist(), batch.column("text").to_pylist()):
@@ -282,19 +286,21 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", suppor
     found = disclosing_terms(docs, text_col, support, disclose)
     if found is None:
         return base.withColumnRenamed("id", id_col)
-    terms, seen = found
-    kind = F.lit(KINDS.index("term"))
-    value = F.when(F.col("whole"), "removed").otherwise("generalised")
-    added = (seen.join(terms, "term")
-             .select("text_key", value.alias("value"), F.explode("spans").alias("s"))
-             .groupBy("text_key")
-             .agg(F.collect_set(F.struct(F.col("s.start").alias("start"), F.col("s.end").alias("end"),
-                                         kind.alias("kind"), F.col("value").alias("value"))).alias("added")))
+    added = _term_spans(*found)
     by_start = F.array_sort(F.concat("spans", F.coalesce("added", F.array())), _by_start)
     return (base.join(added, "text_key", "left")
             .select(F.col("id").alias(id_col), "text_key", by_start.alias("spans")))
 
 
+def _term_spans(terms: DataFrame, seen: DataFrame) -> DataFrame:
+    """(text_key, added): the spans of disclosing terms of each text."""
+    value = F.when(F.col("whole"), "removed").otherwise("generalised")
+    span = F.struct(F.col("s.start").alias("start"), F.col("s.end").alias("end"),
+                    F.lit(KINDS.index("term")).alias("kind"), F.col("value").alias("value"))
+    return (seen.join(terms, "term").select("text_key", value.alias("value"), F.explode("spans").alias("s"))
+            .groupBy("text_key").agg(F.collect_set(span).alias("added")))
+
+
 def _by_start(a: Column, b: Column) -> Column:
     key = lambda s: (s["start"], s["kind"], s["end"])
     order = F.lit(0)
@@ -341,23 +347,59 @@ def _shape(term: str) -> str:
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
              disclose: float = DISCLOSE) -> DataFrame:
     """``docs`` (all rows and columns) with the text redacted.  A null text
-    stays null."""
-    found = find(docs, id_col, text_col, support, disclose)
-    # Spans depend on the text alone: rows with the same text share them.
-    spans = (found.where(F.size("spans") > 0).groupBy("text_key")
-             .agg(F.first("spans").alias("__spans")).withColumnRenamed("text_key", "__key"))
+    stays null.
+
+    Base spans are found again where the text is read.  Only texts that hold a
+    word of the disclosing terms' bitmap are joined with the terms' spans; all
+    others cross no shuffle.
+    """
+    found = disclosing_terms(docs, text_col, support, disclose)
+    if found is None:
+        return docs.mapInArrow(_redactor(docs, text_col, None, False), docs.schema)
+    terms, seen = found
+    bitmap = _bitmap(terms)
+    plain = docs.mapInArrow(_redactor(docs, text_col, bitmap, False), docs.schema)
+    held = docs.mapInArrow(_redactor(docs, text_col, bitmap, True), docs.schema)
+    spans = stored(_term_spans(terms, seen).withColumnRenamed("text_key", "__key"), "term-spans")
+    joined_up = (held.withColumn("__key", text_key(F.col(text_col))).join(spans, "__key", "left")
+                 .select(*docs.columns, "added"))
+    kept = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [_clean(t, [(x["start"], x["end"], x["kind"], x["value"]) for x in some or []])
+                     for t, some in zip(batch.column(text_col).to_pylist(), batch.column("added").to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in kept], names=kept)
+
+    return plain.unionByName(joined_up.mapInArrow(run, docs.schema))
+
+
+def _clean(text: str | None, added: list[tuple[int, int, int, str]]) -> str | None:
+    if not text:
+        return text
+    spans = base_spans(text)
+    return redact(text, sorted([*spans, *added], key=lambda s: (s[0], s[2], s[1]))) if spans or added else text
+
+
+def _redactor(docs: DataFrame, text_col: str, bitmap: np.ndarray | None, held: bool):
+    """Without ``held``: the rows without a listed word, base spans redacted.
+    With it: the other rows as they are."""
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
     kept = docs.columns
-    marked = docs.withColumn("__key", text_key(F.col(text_col)))
-    joined_up = (marked.join(stored(spans, "spans-by-text"), "__key", "left")
-                 .select(*kept, "__spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = None if sent.value is None else _listed(sent.value)
         for batch in batches:
             texts = batch.column(text_col).to_pylist()
-            for i, some in enumerate(batch.column("__spans").to_pylist()):
-                if some and texts[i] is not None:
-                    texts[i] = redact(texts[i], [(x["start"], x["end"], x["kind"], x["value"]) for x in some])
+            if listed is not None:
+                wanted = [bool(t) and any(listed(w.lower()) for w in set(WORD.findall(t))) == held
+                          or not t and not held for t in texts]
+                batch = batch.filter(pa.array(wanted, pa.bool_()))
+                texts = batch.column(text_col).to_pylist()
+            if not held:
+                texts = [_clean(t, []) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in kept], names=kept)
 
-    return joined_up.mapInArrow(run, docs.schema)
+    return run
