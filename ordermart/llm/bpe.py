@@ -29,6 +29,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from ordermart.llm.common import lean
+
 # The split that the byte-level pre-tokenizer applies before the
 # merges.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -182,6 +184,11 @@ class Bpe:
         return b"".join(np.array([self.added[p]], dtype="<u4").tobytes() if i % 2 else self._encode_plain(p)
                         for i, p in enumerate(parts))
 
+    def forget(self) -> None:
+        """Empty the tables of pieces and pairs."""
+        self.pieces.clear()
+        self.pair_table.clear()
+
     # -- decoding -------------------------------------------------------------
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
@@ -218,7 +225,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id",
                 [batch.column("id"), pa.array(ids, pa.binary()),
                  pa.array([len(x) // 4 for x in ids], pa.int64())], names=[id_col, "ids", "n_tokens"])
 
-    return rows.mapInArrow(run, f"`{id_col}` long, ids binary, n_tokens long")
+    return rows.mapInArrow(lean(run, lambda: load(path).forget()), f"`{id_col}` long, ids binary, n_tokens long")
 
 
 def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id",
@@ -233,7 +240,7 @@ def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string())],
                                              names=[id_col, "text"])
 
-    return rows.mapInArrow(run, f"`{id_col}` long, text string")
+    return rows.mapInArrow(lean(run, lambda: load(path).forget()), f"`{id_col}` long, text string")
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -257,4 +264,4 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             yield pa.record_batch(columns)
 
     kept = ", ids binary" if keep_ids else ""
-    return rows.mapInArrow(run, f"`{id_col}` long, n_tokens long, ids_sha256 string, decoded_sha256 string{kept}")
+    return rows.mapInArrow(lean(run, lambda: load(path).forget()), f"`{id_col}` long, n_tokens long, ids_sha256 string, decoded_sha256 string{kept}")

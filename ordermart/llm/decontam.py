@@ -35,6 +35,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from ordermart.llm.common import lean
+
 WORD = re.compile(r"\w+")
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -141,6 +143,11 @@ class Items:
             made.anchors[size] = (exact, bits)
         return made
 
+    def forget(self) -> None:
+        """Empty the tables of word hashes and near block values."""
+        self.words.clear()
+        self.near.clear()
+
     def hash_words(self, words: list[str]) -> np.ndarray:
         if len(self.words) > KEPT_WORDS:
             self.words.clear()
@@ -280,7 +287,7 @@ def _finder(docs: DataFrame, items: Items, similarity: float, radius: int):
                  pa.array(c[3], pa.int32()), pa.array(c[4], pa.int32()), pa.array(c[5], pa.int32())],
                 names=["doc_id", "item_id", "similarity", "distance", "start_word", "n_words"])
 
-    return run
+    return lean(run, lambda: sent.value.forget())
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
@@ -300,4 +307,4 @@ def _cleaner(docs: DataFrame, items: Items, text_col: str, similarity: float, ra
             clean = [not matches(t, items, similarity, radius) for t in batch.column(text_col).to_pylist()]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
-    return run
+    return lean(run, lambda: sent.value.forget())

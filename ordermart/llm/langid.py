@@ -29,6 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ordermart.llm.common import lean
+
 UNKNOWN = "und"
 BUCKETS = 1 << 16          # of each n-gram table
 MAX_LANGUAGES = 400        # bound of the model's size
@@ -182,7 +184,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
                     yield from partial()
         yield from partial()
 
-    counts = (rows.mapInArrow(run, "lang string, slot int, n long")
+    counts = (rows.mapInArrow(lean(run), "lang string, slot int, n long")
               .groupBy("lang", "slot").agg(F.sum("n").alias("n")))
     learned = counts.toArrow()
     languages = sorted(set(learned.column("lang").to_pylist()))
@@ -288,7 +290,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     types = dict(rows.dtypes)
     schema = ", ".join([f"`{id_col}` long", *(f"`{n}` {types[n]}" for n in keep), "lang_pred string", "score double"])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def _predict_all(texts: list[str], model: Model, penalty: float) -> tuple[list[str], list[float]]:
@@ -327,7 +329,7 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", min_score: f
             good = [x != UNKNOWN and s >= min_score for x, s in zip(langs, shares)]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
@@ -362,7 +364,7 @@ def spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, kind)], names=[id_col, "spans"])
 
-    return rows.mapInArrow(run, f"`{id_col}` long, spans array<struct<start: long, end: long, lang: string>>")
+    return rows.mapInArrow(lean(run), f"`{id_col}` long, spans array<struct<start: long, end: long, lang: string>>")
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:

@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ordermart.llm.common import stored
+from ordermart.llm.common import lean, stored
 
 # The patterns of the base detectors and the kinds in order.
 EMAIL_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -149,7 +149,7 @@ def detect(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 [batch.column("id"), batch.column("text_key"),
                  pa.array(spans, pa.list_(_SPAN))], names=["id", "text_key", "spans"])
 
-    return rows.mapInArrow(run, f"id long, text_key binary, spans array<{SPAN}>")
+    return rows.mapInArrow(lean(run), f"id long, text_key binary, spans array<{SPAN}>")
 
 
 def _entity_lines(docs: DataFrame, text_col: str) -> DataFrame:
@@ -173,7 +173,7 @@ def _entity_lines(docs: DataFrame, text_col: str) -> DataFrame:
                 [pa.array(keys, pa.binary()), pa.array(entities, words), pa.array(terms, words)],
                 names=["line", "entities", "terms"])
 
-    return rows.mapInArrow(run, "line binary, entities array<string>, terms array<string>")
+    return rows.mapInArrow(lean(run), "line binary, entities array<string>, terms array<string>")
 
 
 def _listed(bitmap: np.ndarray):
@@ -220,7 +220,7 @@ def _occurrences(docs: DataFrame, text_col: str, bitmap: np.ndarray) -> DataFram
                 names=["text_key", "line", "term", "spans"])
 
     return rows.mapInArrow(
-        run, "text_key binary, line binary, term string, spans array<struct<start: int, end: int>>")
+        lean(run), "text_key binary, line binary, term string, spans array<struct<start: int, end: int>>")
 
 
 # -- statistics ------------------------------------------------------------------
@@ -372,7 +372,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", su
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in kept], names=kept)
 
-    return plain.unionByName(joined_up.mapInArrow(run, docs.schema))
+    return plain.unionByName(joined_up.mapInArrow(lean(run), docs.schema))
 
 
 def _clean(text: str | None, added: list[tuple[int, int, int, str]]) -> str | None:
@@ -402,4 +402,4 @@ def _redactor(docs: DataFrame, text_col: str, bitmap: np.ndarray | None, held: b
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in kept], names=kept)
 
-    return run
+    return lean(run)

@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ordermart.llm.common import utf8, forest, group_starts, stored, whole_groups
+from ordermart.llm.common import forest, group_starts, lean, stored, utf8, whole_groups
 from ordermart.llm.components import connected_components
 
 BITS = 64
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [batch.column("id"), batch.column("text_key"), pa.array(fps, pa.int64())],
                 names=["id", "text_key", "fp"])
 
-    return rows.mapInArrow(run, "id long, text_key long, fp long")
+    return rows.mapInArrow(lean(run), "id long, text_key long, fp long")
 
 
 # -- pigeonring candidates ---------------------------------------------------
