@@ -11,8 +11,11 @@ finished exactly, by comparing the members of its component block by block and
 counting.  So no list cuts a link off.
 
 The result is audited: a sample of vectors (of bounded size, spread by hash) is
-compared with all vectors, and while the recall of its links is below the
-target the search goes on with longer lists and other planes.
+compared with all vectors, and while its recall is below the target the search
+goes on with longer lists and other planes.  Recall is the mean of the shares of
+each audited vector's linked vectors that were found, so that a vector with one
+link weighs as much as one with thousands; vectors counted block by block and
+all others are audited apart, and the worse of the two decides.
 
 Equal vectors are one vertex with a count.  A vector in many lists has its
 reverse neighbours dealt into chunks, each compared with its whole own list.
@@ -208,31 +211,34 @@ def _refine(lists: DataFrame, vertices: DataFrame, threshold: float, neighbours:
 # -- links -------------------------------------------------------------------------
 
 def _degrees(lists: DataFrame, vertices: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(rid, links) and (node, root): the links found of every vertex that has
-    one, equal vectors apart; and the components."""
+    """(rid, links, peers, exact) and (node, root): the links found of every
+    vertex that has one, equal vectors apart, the vertices they lead to, and
+    whether they were counted in blocks; and the components."""
     ends = lists.where(F.col("s") >= threshold)
     both = (ends.select("u", "v").unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v")))
             .distinct())
     both = stored(both, "links")
     roots = connected_components(both.select(F.col("u").alias("a"), F.col("v").alias("b")))
     weights = vertices.select(F.col("rid").alias("v"), "n")
-    counted = both.join(weights, "v").groupBy("u").agg(F.sum("n").alias("links"))
+    counted = (both.join(weights, "v").groupBy(F.col("u").alias("rid"))
+               .agg(F.sum("n").alias("links"), F.count("*").alias("peers"), F.lit(False).alias("exact")))
     # Lists that are full of links may have cut some: their components are counted out.
     full = (ends.groupBy("u").agg(F.count("*").alias("k"), F.max("room").alias("room")).where("k >= room")
             .select(F.col("u").alias("node")))
     crowded = stored(roots.join(full, "node").select("root").distinct(), "crowded")
     if crowded.isEmpty():
-        return counted.withColumnRenamed("u", "rid"), roots
+        return counted, roots
     members = stored(roots.join(crowded, "root").join(vertices.withColumnRenamed("rid", "node"), "node")
                      .select("root", "node", "n", "vec"), "crowded-members")
     exact = _count_in_blocks(members, threshold)
-    rest = counted.join(members.select(F.col("node").alias("u")), "u", "left_anti")
-    return rest.withColumnRenamed("u", "rid").unionByName(exact), roots
+    rest = counted.join(members.select(F.col("node").alias("rid")), "rid", "left_anti")
+    return rest.unionByName(exact.withColumn("exact", F.lit(True))), roots
 
 
 def _count_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
-    """(rid, links) of all members of components (root, node, n, vec): every
-    pair of a component's blocks is compared in one task; only counts leave."""
+    """(rid, links, peers) of all members of components (root, node, n, vec):
+    every pair of a component's blocks is compared in one task; only counts
+    leave."""
     sizes = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("node"), "blocks").cast("int")
     pairs = (members.join(sizes, "root").withColumn("mine", mine)
@@ -253,21 +259,25 @@ def _count_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
                 linked = (x[left] @ x[right].T) >= threshold
                 if lo[a] == hi[a]:
                     np.fill_diagonal(linked, False)
-                    ids, sums = node[a:b], linked @ n[a:b]
+                    ids, sums, peers = node[a:b], linked @ n[a:b], linked.sum(axis=1)
                 else:
                     ids = np.concatenate([node[a:b][left], node[a:b][right]])
                     sums = np.concatenate([linked @ n[a:b][right], n[a:b][left] @ linked])
-                yield pa.record_batch({"rid": pa.array(ids), "links": pa.array(sums.astype(np.int64))})
+                    peers = np.concatenate([linked.sum(axis=1), linked.sum(axis=0)])
+                yield pa.record_batch({"rid": pa.array(ids), "links": pa.array(sums.astype(np.int64)),
+                                       "peers": pa.array(peers.astype(np.int64))})
 
     return (pairs.repartition(*group).sortWithinPartitions(*group)
-            .mapInArrow(run, "rid long, links long").groupBy("rid").agg(F.sum("links").alias("links")))
+            .mapInArrow(run, "rid long, links long, peers long")
+            .groupBy("rid").agg(F.sum("links").alias("links"), F.sum("peers").alias("peers")))
 
 
 # -- audit -------------------------------------------------------------------------
 
-def _true_links(vertices: DataFrame, threshold: float, n: int) -> DataFrame:
-    """(rid, links) of the audited vectors, against all vectors.  About AUDIT
-    vectors are read to the driver and sent to the tasks."""
+def _true_peers(vertices: DataFrame, threshold: float, n: int) -> DataFrame:
+    """(rid, true_peers) of the audited vectors: how many of all vertices they
+    link with.  About AUDIT vectors are read to the driver and sent to the
+    tasks."""
     pick = F.pmod(F.xxhash64("rid", F.lit("audit")), F.lit(max(1, n // AUDIT))) == 0
     asked = vertices.where(pick).select("rid", "label", "dim", "vec").toArrow()
     sent = vertices.sparkSession.sparkContext.broadcast(asked)
@@ -288,18 +298,21 @@ def _true_links(vertices: DataFrame, threshold: float, n: int) -> DataFrame:
                     same = a_labels[rows][:, None] == batch.column("label").to_numpy()[None, :]
                     same &= a_rids[rows][:, None] != batch.column("rid").to_numpy()[None, :]
                     linked = same & (q @ _matrix(batch.column("vec")).T >= threshold)
-                    sums[rows] += linked @ batch.column("n").to_numpy()
-        yield pa.record_batch({"rid": pa.array(a_rids), "links": pa.array(sums)})
+                    sums[rows] += linked.sum(axis=1)
+        yield pa.record_batch({"rid": pa.array(a_rids), "peers": pa.array(sums)})
 
-    return (vertices.select("rid", "label", "dim", "vec", "n").mapInArrow(run, "rid long, links long")
-            .groupBy("rid").agg(F.sum("links").alias("true_links")))
+    return (vertices.select("rid", "label", "dim", "vec").mapInArrow(run, "rid long, peers long")
+            .groupBy("rid").agg(F.sum("peers").alias("true_peers")))
 
 
 def _recall(truth: DataFrame, degrees: DataFrame) -> float:
-    got = (truth.join(degrees, "rid", "left")
-           .agg(F.sum("true_links").alias("all"), F.sum(F.least("true_links", F.coalesce("links", F.lit(0)))).alias("found"))
-           .first())
-    return got["found"] / got["all"] if got["all"] else 1.0
+    """Mean share of an audited vector's linked vertices that were found, over
+    the vectors that have one: of those counted in blocks or of the others,
+    whichever is worse."""
+    share = F.least("true_peers", F.coalesce("peers", F.lit(0))) / F.col("true_peers")
+    means = (truth.where("true_peers > 0").join(degrees, "rid", "left")
+             .groupBy(F.coalesce("exact", F.lit(False)).alias("exact")).agg(F.avg(share).alias("recall")))
+    return min((r["recall"] for r in means.collect()), default=1.0)
 
 
 def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
@@ -310,7 +323,7 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "em
                   .withColumn("usable", F.col("label").isNotNull() & _usable("vec")), "vectors")
     vertices = _vertices(rows)
     n = vertices.count()
-    truth = stored(_true_links(vertices, threshold, n), "audit")
+    truth = stored(_true_peers(vertices, threshold, n), "audit")
     lists = None
     for r in range(ROUNDS):
         started = _start(vertices, r, neighbours).withColumn("fresh", F.lit(True))

@@ -80,3 +80,27 @@ def test_audit_asks_for_more(spark, monkeypatch):
     monkeypatch.setattr(nn, "ROUNDS", 1)
     with pytest.raises(RuntimeError, match="recall"):
         found(spark, rows)
+
+
+def test_audit_sees_links_beside_a_large_group(spark, monkeypatch):
+    """Five pairs missed beside 150 near copies: 10 of 22,360 links, but all
+    of five pairs of vectors."""
+    rows = [(i, v, 1) for i, v, _ in clustered(5, [150])]
+    rows += [(1000 + i, v, 2) for i, v, _ in clustered(6, [2] * 5)]
+    start = nn._start
+
+    def one_label(vertices, seed, keep):
+        return start(vertices.where("label = 1"), seed, keep)
+
+    monkeypatch.setattr(nn, "_start", one_label)
+    monkeypatch.setattr(nn, "ROUNDS", 1)
+    with pytest.raises(RuntimeError, match="recall"):
+        found(spark, rows)
+
+
+def test_audit_counts_vectors_not_copies(spark):
+    """A vector that misses one of two linked vectors has half its recall,
+    however many copies the found one stands for."""
+    truth = spark.createDataFrame([(1, 2), (2, 0)], "rid long, true_peers long")
+    degrees = spark.createDataFrame([(1, 5000, 1, False)], "rid long, links long, peers long, exact boolean")
+    assert nn._recall(truth, degrees) == 0.5
