@@ -143,12 +143,14 @@ def _adjacent(rid: np.ndarray, x: np.ndarray, keep: int) -> pa.RecordBatch:
 def _best(candidates: DataFrame, threshold: float, neighbours: int) -> DataFrame:
     """Lists (u, v, s, fresh, room) from candidate entries (u, v, s, fresh):
     distinct neighbours by falling cosine, as many as a list has room for -
-    ``neighbours``, or twice the links of a saturated list up to LONGEST."""
+    ``neighbours``, or twice the links of a saturated list up to LONGEST or, if
+    that is more, ``neighbours``."""
+    longest = max(LONGEST, neighbours)
     entries = candidates.groupBy("u", "v").agg(F.max("s").alias("s"), F.min("fresh").alias("fresh"))
     rank = Window.partitionBy("u").orderBy(F.desc("s"), "v")
-    ranked = entries.withColumn("nth", F.row_number().over(rank)).where(F.col("nth") <= LONGEST)
+    ranked = entries.withColumn("nth", F.row_number().over(rank)).where(F.col("nth") <= longest)
     links = F.sum((F.col("s") >= threshold).cast("int")).over(Window.partitionBy("u"))
-    room = F.least(F.lit(max(LONGEST, neighbours)), F.greatest(F.lit(neighbours), 2 * links))
+    room = F.least(F.lit(longest), F.greatest(F.lit(neighbours), 2 * links))
     return ranked.withColumn("room", room).where("nth <= room").select("u", "v", "s", "fresh", "room")
 
 

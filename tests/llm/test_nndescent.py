@@ -104,3 +104,12 @@ def test_audit_counts_vectors_not_copies(spark):
     truth = spark.createDataFrame([(1, 2), (2, 0)], "rid long, true_peers long")
     degrees = spark.createDataFrame([(1, 5000, 1, False)], "rid long, links long, peers long, exact boolean")
     assert nn._recall(truth, degrees) == 0.5
+
+
+def test_lists_longer_than_the_longest_saturated(spark):
+    """With the list length of a fourth round, a group larger than a list is
+    still counted in full."""
+    rows = clustered(7, [150, 3, 2])
+    want = brute(rows)
+    assert max(w[1] for w in want) > 80
+    assert found(spark, rows, neighbours=80) == want
