@@ -37,7 +37,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def pii_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data and disclosing terms taken out; n_chars
     follows the new text."""
-    clean = pii.sanitise(docs)
+    clean = pii.sanitise(docs, support=1, unit="document")
     n_chars = F.coalesce(F.char_length("text").cast("long"), F.col("n_chars"))
     return clean.select(*[n_chars.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 

@@ -28,7 +28,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and disclosing terms of every document."""
-    found = pii.find(table(spark, sf_dir, "documents"))
+    found = pii.find(table(spark, sf_dir, "documents"), support=1, unit="document")
     base = pii.base_of(F.col("spans"))
     counts = [F.size(pii.of_kind(F.col("spans"), k)).cast("long").alias(f"n_{k}")
               for k in pii.KINDS if k != "term"]

@@ -10,7 +10,10 @@ c, n(t) holding term t and n(c, t) holding both,
     what t discloses about c  PMI(c,t) = log2(n(c, t) * N / (n(c) * n(t)))
 
 A term discloses c if PMI(c, t) >= ``disclose`` * I(c) and both meet in at
-least ``support`` distinct lines.  Such a term is generalised to its shape
+least ``support`` distinct lines.  With ``unit`` "document" the observation is
+a document instead (every row counts, copies too): n(c), n(t) and N count
+documents, and c and t meet where t stands in the line of c or in one next to
+it.  Such a term is generalised to its shape
 ("[NAME]", "[NUMBER]", "[WORD]") wherever it occurs; if it tells everything
 (PMI = I: it is never seen without c) it is removed.  Its occurrences are the
 added spans of kind ``term``; base spans stay.
@@ -152,8 +155,10 @@ def detect(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(lean(run), f"id long, text_key binary, spans array<{SPAN}>")
 
 
-def _entity_lines(docs: DataFrame, text_col: str) -> DataFrame:
-    """(line, entities, terms) of every line that holds an entity."""
+def _entity_lines(docs: DataFrame, text_col: str, unit: str = "line") -> DataFrame:
+    """(line, entities, terms) of every line that holds an entity.  With unit
+    "document", a row per text and entity: the text's key, and the terms of the
+    entity's lines and those next to them."""
     rows = docs.select(F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,6 +167,12 @@ def _entity_lines(docs: DataFrame, text_col: str) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 if not text or not DIGIT.search(text) and "@" not in text:
                     continue
+                if unit == "document":
+                    for entity, near in _contexts(text).items():
+                        keys.append(line_key(text))
+                        entities.append([entity])
+                        terms.append(sorted(near))
+                    continue
                 for _, line in _lines(text):
                     spans = base_spans(line)
                     if spans:
@@ -176,6 +187,20 @@ def _entity_lines(docs: DataFrame, text_col: str) -> DataFrame:
     return rows.mapInArrow(lean(run), "line binary, entities array<string>, terms array<string>")
 
 
+def _contexts(text: str) -> dict[str, set[str]]:
+    """Terms of each entity's lines and of the lines next to them."""
+    lines = [line for _, line in _lines(text)]
+    spans = [base_spans(line) for line in lines]
+    out: dict[str, set[str]] = {}
+    for i, some in enumerate(spans):
+        if some:
+            near = set().union(*(terms_of(lines[j], [s[:2] for s in spans[j]])
+                                 for j in range(max(0, i - 1), min(len(lines), i + 2))))
+            for _, _, k, v in some:
+                out.setdefault(f"{KINDS[k]}:{v}", set()).update(near)
+    return out
+
+
 def _listed(bitmap: np.ndarray):
     """Whether a word's bit is set: true for all listed words, and few others."""
     bits, size, crc = memoryview(bitmap), 8 * len(bitmap), zlib.crc32
@@ -246,21 +271,29 @@ def distinct_lines(docs: DataFrame, text_col: str) -> int:
 
 
 def disclosing_terms(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
-                     disclose: float = DISCLOSE) -> tuple[DataFrame, DataFrame] | None:
+                     disclose: float = DISCLOSE, unit: str = "line") -> tuple[DataFrame, DataFrame] | None:
     """(terms, occurrences): terms (term, whole) that disclose an entity -
     ``whole`` if one completely - and where they occur (text_key, term,
     spans).  None if no line holds an entity often enough."""
-    lines = stored(_entity_lines(docs, text_col).dropDuplicates(["line"]), "entity-lines")
-    named = lines.select("line", F.explode("entities").alias("entity"), "terms")
-    often = stored(named.groupBy("entity").agg(F.count("*").alias("n_c")).where(F.col("n_c") >= support),
+    if unit not in ("line", "document"):
+        raise ValueError(f"unit {unit!r} is neither line nor document")
+    # w: the observations a row stands for - one a line, or all rows of a text.
+    whole_docs = unit == "document"
+    weight = F.count("*") if whole_docs else F.lit(1).cast("long")
+    found = _entity_lines(docs, text_col, unit)
+    lines = stored(found.groupBy("line", "entities").agg(F.first("terms").alias("terms"), weight.alias("w")),
+                   "entity-lines")
+    named = lines.select("line", F.explode("entities").alias("entity"), "terms", "w")
+    often = stored(named.groupBy("entity").agg(F.sum("w").alias("n_c")).where(F.col("n_c") >= support),
                    "entities")
     if often.isEmpty():
         return None
-    together = (named.join(often, "entity").select("entity", "n_c", F.explode("terms").alias("term"))
-                .groupBy("entity", "n_c", "term").agg(F.count("*").alias("n_ct"))
-                .where(F.col("n_ct") >= support))
-    here = lines.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_here"))
-    n = float(distinct_lines(docs, text_col))
+    together = (named.select("entity", "w", F.explode("terms").alias("term"))
+                .groupBy("entity", "term").agg(F.sum("w").alias("n_ct")).where(F.col("n_ct") >= support)
+                .join(often, "entity"))
+    here = (lines.select("line", "w", F.explode("terms").alias("term")).distinct()
+            .groupBy("term").agg(F.sum("w").alias("n_here")))
+    n = float(docs.where(F.length(text_col) > 0).count() if whole_docs else distinct_lines(docs, text_col))
     pairs = stored(together.join(here, "term")
                    .where(_discloses(F.col("n_ct"), F.col("n_c"), F.col("n_here"), n, disclose))
                    .select("entity", "term", "n_c", "n_ct"), "pairs")
@@ -268,8 +301,9 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", support: int = SUP
         return None
     listed = stored(pairs.select("term").distinct(), "listed-terms")
     seen = stored(_occurrences(docs, text_col, _bitmap(listed)).join(listed, "term", "left_semi")
-                  .dropDuplicates(["text_key", "line", "term", "spans"]), "occurrences")
-    counts = (seen.select("term", "line").distinct().groupBy("term").agg(F.count("*").alias("n_t")))
+                  .groupBy("text_key", "line", "term", "spans").agg(weight.alias("w")), "occurrences")
+    counts = (seen.select("term", "text_key" if whole_docs else "line", "w").distinct()
+              .groupBy("term").agg(F.sum("w").alias("n_t")))
     terms = (pairs.join(counts, "term")
              .where(_discloses(F.col("n_ct"), F.col("n_c"), F.col("n_t"), n, disclose))
              .groupBy("term").agg(F.bool_or(F.col("n_ct") == F.col("n_t")).alias("whole")))
@@ -279,11 +313,11 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", support: int = SUP
 # -- results -----------------------------------------------------------------------
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
-         disclose: float = DISCLOSE) -> DataFrame:
+         disclose: float = DISCLOSE, unit: str = "line") -> DataFrame:
     """(id_col, text_key, spans) of every row: all spans by start, then kind
     as listed.  The value of a term span is ``removed`` or ``generalised``."""
     base = stored(detect(docs, id_col, text_col), "base-spans")
-    found = disclosing_terms(docs, text_col, support, disclose)
+    found = disclosing_terms(docs, text_col, support, disclose, unit)
     if found is None:
         return base.withColumnRenamed("id", id_col)
     added = _term_spans(*found)
@@ -345,7 +379,7 @@ def _shape(term: str) -> str:
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
-             disclose: float = DISCLOSE) -> DataFrame:
+             disclose: float = DISCLOSE, unit: str = "line") -> DataFrame:
     """``docs`` (all rows and columns) with the text redacted.  A null text
     stays null.
 
@@ -353,7 +387,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", su
     word of the disclosing terms' bitmap are joined with the terms' spans; all
     others cross no shuffle.
     """
-    found = disclosing_terms(docs, text_col, support, disclose)
+    found = disclosing_terms(docs, text_col, support, disclose, unit)
     if found is None:
         return docs.mapInArrow(_redactor(docs, text_col, None, False), docs.schema)
     terms, seen = found

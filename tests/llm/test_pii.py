@@ -137,3 +137,20 @@ def test_overlapping_spans_are_all_reported(spark):
     docs = spark.createDataFrame([(1, "+4111 1111 1111 1111 and 1.2.3.4@x.org")], "doc_id long, text string")
     row = pii.find(docs).select(pii.joined(F.col("spans")).alias("s")).first()
     assert row.s == joined(brute("+4111 1111 1111 1111 and 1.2.3.4@x.org"))
+
+
+def test_entities_on_one_line_are_tested_over_documents(spark, monkeypatch):
+    """A name beside its address on one line of many documents, and on the next
+    line of a single one; the query checks both."""
+    rows = [(i, f"plain words here {i}\nCall Wumblefrix at wum@one.example.com\nplain words end") for i in range(8)]
+    rows += [(20, "Grindelmoor lives here\nwrite to gri@two.example.com\nplain words end")]
+    rows += [(30 + i, "plain words here end to call at write lives\nnothing more") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(catalog, "table", lambda *_: docs)
+    spans = {r.doc_id: r.spans for r in catalog.op3_pii(spark, "").collect()}
+    at = rows[3][1].index("Wumblefrix")
+    assert f"term:{at}:{at + 10}" in spans[3] and "term:0:11" in spans[20] and spans[30] == ""
+    terms, _ = pii.disclosing_terms(docs, support=1, unit="document")
+    assert {r.term: r.whole for r in terms.collect()}.items() >= {"wumblefrix": True, "grindelmoor": True}.items()
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs, support=1, unit="document").collect()}
+    assert "Wumblefrix" not in clean[3] and "Grindelmoor" not in clean[20] and clean[30] == rows[9][1]
