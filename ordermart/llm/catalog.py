@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ordermart.llm import bpe, chat, decontam, langid, nndescent, pii, sharding, simhash, tokenfiles, warc
+from ordermart.llm import bpe, bytebpe, chat, decontam, langid, nndescent, pii, sharding, simhash, tokenfiles, warc
 from ordermart.llm.common import stored, table
 
 
@@ -99,6 +99,16 @@ def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nndescent.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by a rank file, and the bytes decoded from them."""
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bytebpe.encode_documents(table(spark, sf_dir, "documents"), *vocabulary)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return bytebpe.decode_documents(encoded, *vocabulary).select(
+        "doc_id", "n_tokens", F.sha2(decimal, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
@@ -110,6 +120,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_sharding": op9_sharding,
     "op10_nn_descent": op10_nn_descent,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 # -- SQL ---------------------------------------------------------------------------

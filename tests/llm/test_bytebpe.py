@@ -1,0 +1,133 @@
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings, strategies as st
+
+from ordermart.llm import bytebpe
+from ordermart.llm.catalog import op13_byte_bpe
+from tests.llm import edge
+
+PATH, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+OWN = bytebpe.load(PATH, PATTERN)
+LIBRARY = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=OWN.rank, special_tokens={})
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(max_size=200))
+def test_any_text(text):
+    ids = OWN.encode(text)
+    assert ids == LIBRARY.encode_ordinary(text)
+    assert OWN.decode(ids) == text.encode()
+
+
+def test_every_code_point():
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(points), 997):
+        text = "".join("a" + chr(c) + " " + chr(c) + "1" for c in points[i:i + 997])
+        assert OWN.encode(text) == LIBRARY.encode_ordinary(text)
+
+
+def test_runs_and_very_long_pieces():
+    rng = random.Random(7)
+    parts = ["a", "aa", "aaaa", "the", "in", " ", "  ", "\n", "'s", "9", "é", "日本", "<|endoftext|>", "\x00", "!!", "ний"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))
+        assert OWN.encode(text) == LIBRARY.encode_ordinary(text)
+    for text in ("ab" * 20_000, "a" * 30_000, " " * 5000, "é" * 3000):
+        assert OWN.encode(text) == LIBRARY.encode_ordinary(text)
+
+
+def merged_by_rank(ranks, piece):
+    """Brute force: the lowest rank first, the leftmost of equals first."""
+    parts = [piece[i:i + 1] for i in range(len(piece))]
+    while len(parts) > 1:
+        best = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], 1 << 30))
+        if parts[best] + parts[best + 1] not in ranks:
+            break
+        parts[best:best + 2] = [parts[best] + parts[best + 1]]
+    return [ranks[p] for p in parts]
+
+
+def rank_file(folder, ranks):
+    import base64
+    path = f"{folder}/own.tiktoken"
+    with open(path, "wb") as f:
+        for token, r in ranks.items():
+            f.write(base64.b64encode(token) + b" " + str(r).encode() + b"\n")
+    return path
+
+
+def test_small_vocabularies_against_merging(tmp_dir):
+    """Vocabularies in which a token can be cut in many ways, with tokens that
+    merging never reaches."""
+    rng = random.Random(3)
+    held = unreached = 0
+    while held < 30:
+        ranks = {bytes([b]): b for b in range(256)}
+        while len(ranks) < 256 + rng.randint(4, 14):
+            a, b = rng.choice([t for t in ranks if set(t) <= set(b"abc")]), rng.choice([b"a", b"b", b"c", b"ab", b"ca"])
+            if a + b not in ranks and b in ranks:
+                ranks[a + b] = len(ranks)
+        for _ in range(2):           # most of these no merges give
+            ranks.setdefault(bytes(rng.choice(b"abc") for _ in range(5)), len(ranks))
+        try:
+            own = bytebpe.RankBpe(rank_file(tmp_dir, ranks), r"\S+|\s+")
+        except ValueError:
+            continue                 # ranks that no sequence of merges has
+        held += 1
+        unreached += len(ranks) - 256 - len(own.halves)
+        for _ in range(300):
+            piece = bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 30)))
+            expected = [ranks[piece]] if piece in ranks else merged_by_rank(ranks, piece)
+            assert own.encode_piece(piece) == expected
+    assert unreached > 0
+
+
+def test_files_that_cannot_be_merged_are_refused(tmp_dir):
+    ranks = {bytes([b]): b + 1 for b in range(256)} | {b"ab": 0}
+    with pytest.raises(ValueError, match="ranks before"):
+        bytebpe.RankBpe(rank_file(tmp_dir, ranks), r"\S+")
+    with pytest.raises(ValueError, match="every byte"):
+        bytebpe.RankBpe(rank_file(tmp_dir, {b"a": 0}), r"\S+")
+
+
+def test_full_tables_change_nothing(monkeypatch):
+    monkeypatch.setattr(bytebpe, "KEPT_PIECES", 3)
+    monkeypatch.setattr(bytebpe, "KEPT_PAIRS", 3)
+    own = bytebpe.RankBpe(PATH, PATTERN)
+    text = edge.long_text(2000)
+    assert own.encode(text) == LIBRARY.encode_ordinary(text)
+    assert len(own.pieces) <= 3 and len(own.pairs) <= 3
+
+
+def expected(rows):
+    out = []
+    for i, t in rows:
+        ids = LIBRARY.encode_ordinary(t or "")
+        out.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                    hashlib.sha256((t or "").encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_query_over_given_documents(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{edge.SF}/documents.parquet").collect()]
+    assert sorted((tuple(r) for r in op13_byte_bpe(spark, edge.SF).collect()), key=str) == expected(rows)
+
+
+def test_query_over_edge_documents(spark, tmp_dir):
+    for name, docs in (("edge", edge.documents(spark)), ("none", edge.documents(spark, []))):
+        docs.write.parquet(f"{tmp_dir}/{name}/documents.parquet")
+        rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+        assert sorted((tuple(r) for r in op13_byte_bpe(spark, f"{tmp_dir}/{name}").collect()), key=str) == expected(rows)
+
+
+def test_batches_are_cut_by_bytes(spark, monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(bytebpe, "BATCH_BYTES", 10)
+    batch = pa.record_batch({"text": ["four", None, "fifteen letters", "", "x", "six ch"]})
+    assert [p.num_rows for p in bytebpe._slices(batch, "text")] == [2, 2, 2]
+    null_ids = spark.createDataFrame([(1, 0, None)], "doc_id long, n_tokens long, ids array<int>")
+    assert bytes(bytebpe.decode_documents(null_ids, PATH, PATTERN).collect()[0].decoded) == b""
