@@ -28,6 +28,7 @@ from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -179,9 +180,10 @@ def load(path: str, pattern: str) -> RankBpe:
 
 
 def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of bounded bytes of one column (a row at least)."""
-    sizes = batch.column(column).cast(pa.large_binary()) if column == "text" else batch.column(column)
-    lengths = [0 if v is None else len(v) for v in sizes]
+    """The batch in parts of bounded bytes of texts or number of ids (a row at least)."""
+    values = batch.column(column)
+    length = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+    lengths = pc.fill_null(length(values), 0).to_pylist()
     start = held = 0
     for i, n in enumerate(lengths):
         if held and held + n > BATCH_BYTES:
