@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ordermart.llm import bpe, bytebpe, chat, decontam, langid, nndescent, pii, sharding, simhash, tokenfiles, warc
+from ordermart.llm import bpe, bytebpe, chat, decontam, langid, nndescent, pii, repair, sharding, simhash, tokenfiles, warc
 from ordermart.llm.common import stored, table
 
 
@@ -99,6 +99,15 @@ def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nndescent.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged, with its faults and its cheapest repair."""
+    rows = repair.damaged(table(spark, sf_dir, "conversations"))
+    reports = stored(repair.report(rows), "repair")
+    hashes = repair.digests(repair.repaired_turns(rows, reports)).withColumnRenamed("conv_id", "id")
+    return reports.join(hashes, reports.conv_id.eqNullSafe(hashes.id), "left").select(
+        *reports.columns, F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by a rank file, and the bytes decoded from them."""
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -120,6 +129,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_sharding": op9_sharding,
     "op10_nn_descent": op10_nn_descent,
+    "op11_repair": op11_repair,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
