@@ -9,7 +9,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ordermart.llm import bpe, bytebpe, chat, decontam, langid, nndescent, pii, repair, sharding, simhash, tokenfiles, warc
+from ordermart.llm import (bpe, bytebpe, chat, decontam, langid, nndescent, pii, repair, resample, sharding, simhash,
+                           tokenfiles, warc)
 from ordermart.llm.common import stored, table
 
 
@@ -108,6 +109,11 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         *reports.columns, F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the longer documents, drawn towards the benchmark's texts."""
+    return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by a rank file, and the bytes decoded from them."""
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -130,6 +136,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_nn_descent": op10_nn_descent,
     "op11_repair": op11_repair,
+    "op12_resample": op12_resample,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
@@ -191,4 +198,140 @@ SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = c
 FROM embeddings JOIN least USING (vec_id) LEFT JOIN n USING (vec_id)
 """
 
-SQL: dict[str, str] = {"op5_chat": OP5_SQL, "op6_warc": OP6_SQL, "op10_nn_descent": OP10_SQL}
+# CRC-32 byte by byte, over a table that the rule makes.
+_CRC_TABLE = """
+crc_bits(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+  FROM crc_bits WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS crc FROM crc_bits WHERE k = 8)"""
+
+
+def _crc_sql(text: str) -> str:
+    """CRC-32 of a string; ``crc`` is the table."""
+    octets = f"[('0x' || substr(hex({text}), 2 * i + 1, 2))::BIGINT FOR i IN range(strlen({text}))]"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), "
+            "lambda c, b: xor(c >> 8, crc[1 + (xor(c, b) & 255)])), 4294967295)")
+
+
+# The cheapest edits by steps over all conversations at once: for every state,
+# the least cost and audit so far, as text with the cost in front.
+OP11_SQL = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+dealt AS (SELECT keyed.*, {_crc_sql("k")} % 20 AS fault FROM keyed, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM dealt WHERE fault <> 0),
+placed AS (
+  SELECT *, sha256(length(role) || ':' || role || text) AS h,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text), copy) AS n
+  FROM damaged),
+faults AS (
+  SELECT *, substr(role, 1, 1) AS initial, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said,
+    lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS before,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS seen
+  FROM placed),
+rows_ AS (
+  SELECT *, said = '' AS blank, said <> '' AND seen AS duplicate,
+    said <> '' AND NOT seen AND right(said, 1) NOT IN ('.', '!', '?') AS truncated
+  FROM faults),
+conv AS (
+  SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+items AS (
+  SELECT c, n, initial, blank OR duplicate AS must_go, CASE WHEN truncated THEN 5 ELSE 0 END AS price
+  FROM rows_ JOIN conv ON rows_.conv_id IS NOT DISTINCT FROM conv.conv_id),
+edges(letter, initial, cost, before, after) AS (
+  VALUES ('D', NULL, 2, 0, 0), ('D', NULL, 2, 1, 1), ('D', NULL, 2, 2, 2), ('D', NULL, 2, 3, 3),
+    ('R', NULL, 1, 0, 2), ('R', NULL, 1, 1, 2), ('R', NULL, 1, 2, 3), ('R', NULL, 1, 3, 2),
+    ('K', 's', 0, 0, 1), ('K', 'u', 0, 0, 2), ('K', 'u', 0, 1, 2), ('K', 'u', 0, 3, 2), ('K', 'a', 0, 2, 3)),
+inserts(letters, cost, before, after) AS (
+  VALUES ('', 0, 0, 0), ('', 0, 1, 1), ('', 0, 2, 2), ('', 0, 3, 3),
+    ('I', 5, 0, 2), ('I', 5, 1, 2), ('I', 5, 2, 3), ('I', 5, 3, 2),
+    ('II', 10, 0, 3), ('II', 10, 1, 3), ('II', 10, 2, 2), ('II', 10, 3, 3)),
+paths(c, n, state, best) AS (
+  SELECT c, 0, 0, '0000000000' FROM conv
+  UNION ALL
+  SELECT paths.c, any_value(items.n)::INT, edges.after,
+    min(printf('%010d', left(best, 10)::BIGINT + inserts.cost + edges.cost
+          + CASE WHEN edges.letter = 'D' THEN 0 ELSE price END)
+        || substr(best, 11) || inserts.letters || edges.letter)
+  FROM paths JOIN items ON items.c = paths.c AND items.n = paths.n + 1
+  JOIN inserts ON inserts.before = paths.state
+  JOIN edges ON edges.before = inserts.after AND (edges.letter = 'D' OR NOT must_go)
+    AND (edges.letter <> 'K' OR edges.initial = items.initial)
+  GROUP BY paths.c, edges.after),
+ended AS (
+  SELECT paths.c, min(printf('%010d', left(best, 10)::BIGINT + inserts.cost) || substr(best, 11) || letters) AS best
+  FROM paths JOIN inserts ON inserts.before = paths.state
+  WHERE inserts.after IN (0, 3) AND paths.n = (SELECT coalesce(max(n), 0) FROM items WHERE items.c = paths.c)
+  GROUP BY paths.c),
+letters AS (
+  SELECT c, i, substr(best, 10 + i, 1) AS letter FROM (
+    SELECT c, best, unnest(range(1, length(best) - 9)) AS i FROM ended)),
+edits AS (SELECT *, count(*) FILTER (letter <> 'I') OVER (PARTITION BY c ORDER BY i) AS n FROM letters),
+kept AS (
+  SELECT edits.c, i, letter, items.initial, r.role, r.text,
+    count(*) FILTER (NOT (letter = 'K' AND items.initial = 's')) OVER (PARTITION BY edits.c ORDER BY i) AS spoken
+  FROM edits JOIN conv ON conv.c = edits.c
+  LEFT JOIN items ON items.c = edits.c AND items.n = edits.n AND letter <> 'I'
+  LEFT JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM conv.conv_id AND r.n = edits.n AND letter <> 'I'
+  WHERE letter <> 'D'),
+lines AS (
+  SELECT c, string_agg(CASE WHEN letter = 'K' THEN role WHEN spoken % 2 = 1 THEN 'user' ELSE 'assistant' END
+      || ':' || coalesce(text, ''), chr(10) ORDER BY i) AS whole
+  FROM kept GROUP BY c),
+counts AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count_if(blank) AS blank,
+    count_if(duplicate) AS duplicate, count_if(truncated) AS truncated,
+    count_if(before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows_ GROUP BY conv_id)
+SELECT conv.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, left(best, 10)::BIGINT AS cost, substr(best, 11) AS audit,
+  sha256(coalesce(whole, '')) AS repaired_sha256
+FROM conv JOIN ended ON ended.c = conv.c LEFT JOIN lines ON lines.c = conv.c
+LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM conv.conv_id
+"""
+
+OP12_SQL = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+texts AS (
+  SELECT 's' AS side, doc_id, row_number() OVER () AS r, text FROM documents
+  UNION ALL SELECT 't', NULL, row_number() OVER (), text FROM benchmark),
+words AS (
+  SELECT side, doc_id, r, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+features AS (
+  SELECT side, r, unnest(w || [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS f FROM words),
+feature_counts AS (SELECT f, count(*) FILTER (side = 's') AS s, count(*) FILTER (side = 't') AS t FROM features GROUP BY f),
+hashed AS (SELECT f, s, t, {_crc_sql("f")} % 10000 AS bucket FROM feature_counts, crc_table),
+buckets AS (SELECT bucket, sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t FROM hashed GROUP BY bucket),
+totals AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM buckets),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000))))::BIGINT AS gain
+  FROM buckets, totals),
+weights AS (
+  SELECT r, count(*) AS n_features, floor(sum(gain)::BIGINT / count(*))::BIGINT AS weight
+  FROM features JOIN hashed USING (f) JOIN gains USING (bucket) WHERE side = 's' GROUP BY r),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM words LEFT JOIN weights USING (r) WHERE side = 's'),
+places AS (
+  SELECT *, CASE WHEN n_words >= 20 THEN
+    row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) END AS place
+  FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN place <= (SELECT count(*) FROM scored WHERE n_words >= 20) * 25 // 100 THEN place END AS rank
+FROM places
+"""
+
+SQL: dict[str, str] = {"op5_chat": OP5_SQL, "op6_warc": OP6_SQL, "op10_nn_descent": OP10_SQL,
+                       "op11_repair": OP11_SQL, "op12_resample": OP12_SQL}

@@ -159,3 +159,15 @@ def test_one_conversation_with_most_rows(spark):
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     big = repair.report(frame).where("conv_id = 7").collect()[0]
     assert (big.cost, big.audit) == (0, "K" * 6000)
+
+
+def test_sql_says_the_same(spark, tmp_dir):
+    import duckdb
+    from ordermart.llm.catalog import SQL
+    for folder in (edge.SF, write(spark, edge_rows(), f"{tmp_dir}/sql")):
+        con = duckdb.connect()
+        glob = "/*.parquet" if folder != edge.SF else ""
+        con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet{glob}'")
+        columns = "conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256"
+        got = con.sql(f"SELECT {columns} FROM ({SQL['op11_repair']})").fetchall()
+        assert sorted(got, key=str) == result(op11_repair(spark, folder))
