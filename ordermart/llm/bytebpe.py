@@ -27,6 +27,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -34,9 +35,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ordermart.llm.common import lean
 
-KEPT_PIECES = 400_000     # bounds of a worker's tables; a full table is emptied
-KEPT_PAIRS = 400_000
-LONG_PIECE = 100          # longer pieces are encoded but not kept
+KEPT_PIECES = 300_000     # bounds of a worker's tables; a full table is emptied
+KEPT_PAIRS = 300_000
+LONG_PIECE = 60           # longer pieces are encoded but not kept
 BATCH_BYTES = 8 << 20     # text that is turned into ids at a time
 
 
@@ -45,6 +46,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
+def _keep(table: dict[str, bytes], text: str, ids: bytes) -> None:
+    if len(text) <= LONG_PIECE:
+        if len(table) >= KEPT_PIECES:
+            table.clear()
+        table[text] = ids
+
+
+class Decoder:
+    """The bytes of every token; decoding needs nothing else."""
+
+    def __init__(self, path: str):
+        rank = read_ranks(path)
+        by_id = {r: token for token, r in rank.items()}
+        self.tokens = [by_id.get(i) for i in range(1 + max(by_id))]
+
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
+
+
 class RankBpe:
     """One rank file and the pattern that splits a text before the merges."""
 
@@ -68,7 +88,6 @@ class RankBpe:
                 reached[token] = r
         if any(bytes([b]) not in reached for b in range(256)):
             raise ValueError("every byte must be a token")
-        self.first_bytes = [reached[bytes([b])] for b in range(256)]
         self.automaton = ahocorasick.Automaton()
         for token, r in reached.items():
             self.automaton.add_word(token.decode("latin-1"), r)
@@ -80,7 +99,8 @@ class RankBpe:
         self.size_of = [len(b) for b in self.bytes_of]
         self.split = regex.compile(pattern).findall
         self.pairs: dict[int, bool] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
 
     def _merged(self, token: bytes) -> list[int]:
         """The parts of a token's bytes before the last merge, or those that
@@ -128,22 +148,19 @@ class RankBpe:
         whole = self.rank.get(piece)
         if whole is not None:
             return [whole]
-        size_of, shorter, adjacent = self.size_of, self.next_shorter, self.adjacent
-        longest = [self.first_bytes[b] for b in piece]
-        for end, token in self.automaton.iter(piece.decode("latin-1")):
-            start = end + 1 - size_of[token]
-            if size_of[token] > size_of[longest[start]]:
-                longest[start] = token
-        given_up = bytearray(len(piece) + 1)
+        latin, n = piece.decode("latin-1"), len(piece)
+        size_of, shorter, known, never = self.size_of, self.next_shorter, self.pairs.get, self.never
+        given_up = bytearray(n + 1)
         ids: list[int] = []
-        at, token = 0, longest[0]
+        at, token = 0, self._longest(latin, 0)
         while True:
             end = at + size_of[token]
-            if not given_up[end] and (not ids or adjacent(ids[-1], token)):
+            if not given_up[end] and (
+                    not ids or known(ids[-1] * never + token) or self.adjacent(ids[-1], token)):
                 ids.append(token)
-                if end == len(piece):
+                if end == n:
                     return ids
-                at, token = end, longest[end]
+                at, token = end, self._longest(latin, end)
                 continue
             token = shorter[token]
             while token < 0:
@@ -152,25 +169,59 @@ class RankBpe:
                 at -= size_of[token]
                 token = shorter[token]
 
-    def encode(self, text: str) -> list[int]:
-        known, ids = self.pieces, []
-        for piece in self.split(text):
-            found = known.get(piece)
+    def _longest(self, latin: str, at: int) -> int:
+        """The longest token that begins at a place: as every byte is a token,
+        the automaton's first match from there on."""
+        return next(self.automaton.iter_long(latin, at))[1]
+
+    def packed(self, text: str) -> bytes:
+        """Ids of a text as 32-bit integers.  The text is taken in chunks, each
+        from a space to before the next; most have been met before.  No match of
+        the pattern reaches from a character to a space behind it, so where
+        a space follows other than white space the parts can be split alone."""
+        known, out, chunks = self.chunks.get, [], text.split(" ")
+        lead = ""
+        held = None
+        for chunk in chunks:
+            chunk = lead + chunk if held is None else held + lead + chunk
+            lead = " "
+            found = known(chunk)
             if found is None:
-                found = self.encode_piece(piece.encode())
-                if len(piece) <= LONG_PIECE:
-                    if len(known) >= KEPT_PIECES:
-                        known.clear()
-                    known[piece] = found
-            ids += found
-        return ids
+                held = chunk
+                if not chunk or chunk[-1].isspace():
+                    continue                     # the white space may go on
+                found = self._chunk(chunk)
+            held = None
+            out.append(found)
+        if held is not None:
+            out.append(self._chunk(held))
+        return b"".join(out)
+
+    def _chunk(self, chunk: str) -> bytes:
+        ids = []
+        for piece in self.split(chunk):
+            found = self.pieces.get(piece)
+            if found is None:
+                found = np.array(self.encode_piece(piece.encode()), dtype="<i4").tobytes()
+                _keep(self.pieces, piece, found)
+            ids.append(found)
+        packed = b"".join(ids)
+        if chunk and not chunk[-1].isspace():
+            _keep(self.chunks, chunk, packed)
+        return packed
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), dtype="<i4").tolist()
 
     def forget(self) -> None:
+        """Empty the tables of texts; what is known of tokens stays."""
         self.pieces.clear()
-        self.pairs.clear()
+        self.chunks.clear()
+
+
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 @lru_cache(maxsize=2)
@@ -209,23 +260,26 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         bpe = load(path, pattern)
-        ids = [bpe.encode(t or "") for t in part.column("text").to_pylist()]
+        ids = [bpe.packed(t or "") for t in part.column("text").to_pylist()]
+        counts = np.array([len(i) // 4 for i in ids], dtype=np.int64)
+        ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
         return pa.RecordBatch.from_arrays(
-            [part.column("id"), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32()))],
+            [part.column("id"), pa.array(counts), pa.ListArray.from_arrays(pa.array(ends), values)],
             names=[id_col, "n_tokens", "ids"])
 
     return rows.mapInArrow(lean(_by_parts(run, "text"), lambda: load(path, pattern).forget()),
                            f"`{id_col}` long, n_tokens long, ids array<int>")
 
 
-def decode_documents(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
+def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     """(id_col, n_tokens, ids, decoded): the bytes the ids stand for.  Null ids
     decode to no bytes; an id outside the vocabulary is an error."""
     rows = encoded.select(F.col(id_col).alias("id"), "n_tokens", "ids")
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
-        bpe = load(path, pattern)
-        decoded = [bpe.decode(ids or []) for ids in part.column("ids").to_pylist()]
+        decode = decoder(path).decode
+        decoded = [decode(ids.values.to_numpy().tolist() if ids.is_valid else []) for ids in part.column("ids")]
         return pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())],
                                           names=[id_col, "n_tokens", "ids", "decoded"])
 

@@ -119,7 +119,7 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = bytebpe.encode_documents(table(spark, sf_dir, "documents"), *vocabulary)
     decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return bytebpe.decode_documents(encoded, *vocabulary).select(
+    return bytebpe.decode_documents(encoded, vocabulary[0]).select(
         "doc_id", "n_tokens", F.sha2(decimal, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
