@@ -120,9 +120,15 @@ def order_headers(stg_orders: DataFrame, stg_customers: DataFrame,
     return heads
 
 
-def join_order_lines(lines: DataFrame, headers: DataFrame, stg_products: DataFrame) -> DataFrame:
+def join_order_lines(lines: DataFrame, headers: DataFrame, stg_products: DataFrame,
+                     hot_lines: DataFrame | None = None) -> DataFrame:
     """D3: lines x order headers (inner), then products (left).
 
+    ``lines`` and the headers' orders may be bucketed by order key
+    (``sources.colocate``): lines are then joined where they are stored.
+    ``hot_lines`` are the lines of very large orders, kept apart there and
+    joined on their own.
+
     Lines whose order failed validation or whose customer is missing drop
     out; lines with an unknown part stay, with NULL product columns
     (``product_key`` comes from the product side, as in the reference).
@@ -131,16 +137,20 @@ def join_order_lines(lines: DataFrame, headers: DataFrame, stg_products: DataFra
         F.col("product_key").alias("p_product_key"), "product_name", "brand", "manufacturer",
         "product_material", "product_size_segment", "product_finish", "container_size",
         "retail_price", "estimated_margin_pct")
-    return (lines.join(headers, "order_key", "inner")
+    joined = lines.join(headers, "order_key", "inner")
+    if hot_lines is not None:
+        joined = joined.unionByName(hot_lines.join(headers, "order_key", "inner"))
+    return (joined
             .join(p, F.col("product_key") == F.col("p_product_key"), "left"))
 
 
 def orders_enriched(stg_orders: DataFrame, stg_customers: DataFrame, stg_products: DataFrame,
-                    lines: DataFrame, customer_keys: DataFrame | None = None) -> DataFrame:
+                    lines: DataFrame, customer_keys: DataFrame | None = None,
+                    hot_lines: DataFrame | None = None) -> DataFrame:
     """The order-line wide record (51 columns, + customer_sk when
     ``customer_keys`` is given)."""
     headers = order_headers(stg_orders, stg_customers, customer_keys)
-    j = join_order_lines(lines, headers, stg_products)
+    j = join_order_lines(lines, headers, stg_products, hot_lines)
     j = with_shipping_days(with_unit_prices(with_revenue(j)))
     j = j.withColumns({
         "order_line_sk": fn.surrogate_key("order_key", "line_number"),

@@ -1,26 +1,25 @@
 """Sinks and load strategies: B1-B7, E2, E8.
 
-The fact table is plain parquet, partitioned by order month. Plain parquet
-has no MERGE, so the keyed upsert (B3) is: anti-join the touched target
-partitions against the update keys, union the updates, stage the result in
-the shared checkpoint folder, then dynamic-partition-overwrite it into the
-target. Staging cuts the lineage: a lost executor during the final write
-recomputes from the staged files, never from target files that the write is
-replacing. With a table format that supports it (``DataFrame.mergeInto``),
-use that instead; several partitions here are not swapped atomically.
+Tables are versions (``operators.versions``): a write puts its files beside those
+that are there and becomes visible as a whole by one pointer file. The fact is
+parquet, partitioned by order month, and has no MERGE, so the keyed upsert (B3)
+is: the months that a batch touches are written anew (their rows without the
+batch's keys, and the batch), and the next version of the table names the new
+folders of these months and the old ones of all others. However many months a
+batch touches, they change together.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import json
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
+from pyspark.sql.types import DateType, NumericType
 
-from ..session import delete_path, path_exists, rename_path, scratch_path
+from ..session import delete_path, folder_names, scratch_path
+from . import versions
 
 PARTITION_COL = "order_month"
 CLUSTER_COLS = ("order_date", "market_segment")
@@ -33,76 +32,34 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def _beside(path: str) -> tuple[str, str, str]:
-    base = path.rstrip("/")
-    return base, f"{base}.__new__", f"{base}.__old__"
-
-
-def _rename(spark: SparkSession, src: str, dst: str) -> None:
-    if not rename_path(spark, src, dst):
-        raise RuntimeError(f"cannot rename {src} to {dst}")
-
-
-def recover_table(spark: SparkSession, path: str) -> None:
-    """Finish or undo a table swap that a crash cut short.
-
-    A swap writes ``.__new__``, renames the table to ``.__old__`` and the new
-    version to the table, then removes the old one. Whatever step it stopped
-    at, one complete version exists; it becomes (or stays) the table. A new
-    version counts as complete when its ``_SUCCESS`` file is there.
-    """
-    base, new, old = _beside(path)
-    there, has_new, has_old = (path_exists(spark, p) for p in (base, new, old))
-    if not there and has_new and path_exists(spark, f"{new}/_SUCCESS"):
-        _rename(spark, new, base)
-        there, has_new = True, False
-    elif not there and has_old:
-        _rename(spark, old, base)
-        there, has_old = True, False
-    if has_new:
-        delete_path(spark, new)
-    if there and has_old:
-        delete_path(spark, old)
-
-
-def _swap_in(spark: SparkSession, path: str) -> None:
-    """Put the complete ``.__new__`` version in the table's place."""
-    base, new, old = _beside(path)
-    if path_exists(spark, base):
-        _rename(spark, base, old)
-    _rename(spark, new, base)
-    delete_path(spark, old)
-
-
 def write_table(df: DataFrame, path: str) -> None:
-    """B2: full rebuild of a table.
-
-    The new version is written next to the table and swapped in by folder
-    renames, so a failed job leaves the previous version in place (a plain
-    overwrite deletes it before writing), and the new data may be built from
-    the table it replaces. A crash between the renames is mended by
-    ``recover_table``, which every later write and ``read_target`` run first.
-    """
+    """B2: full rebuild of a table, as its next version. A failed job leaves the
+    table as it was, and the new rows may be built from those they replace."""
     spark = df.sparkSession
-    recover_table(spark, path)
-    df.write.mode("overwrite").parquet(_beside(path)[1])
-    _store_schema(spark, path, df.schema)
-    _swap_in(spark, path)
-
-
-def _store_schema(spark: SparkSession, path: str, schema: StructType) -> None:
-    """Keep the table's schema in one small file beside it, so that a read
-    needs no file footers to be merged."""
-    (spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
-     .write.mode("overwrite").text(f"{_beside(path)[0]}.schema"))
-
-
-def _stored_schema(spark: SparkSession, path: str) -> StructType | None:
-    side = f"{_beside(path)[0]}.schema"
-    if not path_exists(spark, side):
-        return None
-    kept = spark.read.text(side, wholetext=True).first()
-    return StructType.fromJson(json.loads(kept[0])) if kept else None
+    before = versions.current(spark, path)
+    name, parts = versions.write_parts(df, path, None)
+    versions.publish(spark, path, before, df.schema, None, {p: [name] for p in parts})
+
+
+def write_history(closed: DataFrame, open_: DataFrame, path: str, based_on: versions.Version | None,
+                  flag: str = "is_open", most_folders: int = 30) -> None:
+    """The next version of a history in two parts. Rows of ``closed`` are
+    added to the closed part, whose files stay as they are; ``open_`` replaces
+    the open part. So a day writes what it closed and what is open, not the
+    history. Once the closed part has ``most_folders`` folders they are written
+    together, which costs each closed row one more write in that many days."""
+    spark = closed.sparkSession
+    rows = closed.withColumn(flag, F.lit(0)).unionByName(open_.withColumn(flag, F.lit(1)))
+    parts = dict(based_on.parts) if based_on else {}
+    shut, live = versions.part_name(flag, 0), versions.part_name(flag, 1)
+    if len(parts.get(shut, [])) >= most_folders:
+        rows = rows.unionByName(versions.read(spark, path, based_on, [shut]).select(*rows.columns))
+        parts[shut] = []
+    name, written = versions.write_parts(rows, path, flag)
+    parts[live] = [name] if live in written else []
+    if shut in written:
+        parts[shut] = [*parts.get(shut, []), name]
+    versions.publish(spark, path, based_on, rows.schema, flag, parts)
 
 
 def with_order_month(df: DataFrame, date_col: str = "order_date") -> DataFrame:
@@ -124,49 +81,80 @@ def _clustered(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", PARTITION_COL).sortWithinPartitions(*keys)
 
 
-def _write_fact_files(df: DataFrame, path: str) -> StructType:
-    """Every month of ``df``, and nothing else, at ``path``: the overwrite is
-    static whatever the session's setting."""
-    fact = with_order_month(df) if PARTITION_COL not in df.columns else df
-    (_clustered(fact).write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(PARTITION_COL).parquet(path))
-    return fact.schema
-
-
 def write_fact(df: DataFrame, path: str, key: str | None = None) -> None:
-    """Full write of the fact, partitioned by month, clustered. The new
-    version replaces the whole table (months it lacks are gone) by the same
-    crash-safe swap as ``write_table``. With ``key`` the written version is
-    checked for NULL or repeated keys before it is swapped in."""
+    """Full write of the fact, partitioned by month, clustered, as the next
+    version of the table (months it lacks are gone). With ``key`` the written
+    rows are checked for NULL or repeated keys before they become the table."""
     spark = df.sparkSession
-    recover_table(spark, path)
-    new = _beside(path)[1]
-    schema = _write_fact_files(df, new)
+    fact = with_order_month(df) if PARTITION_COL not in df.columns else df
+    before = versions.current(spark, path)
+    name, parts = versions.write_parts(_clustered(fact), path, PARTITION_COL)
+    folders = {p: [name] for p in parts}
     if key is not None:
+        written = versions.Version(0, fact.schema, PARTITION_COL, folders)
         try:
-            assert_unique_keys(spark.read.schema(schema).parquet(new), key)
+            assert_unique_keys(versions.read(spark, path, written), key)
         except ValueError:
-            delete_path(spark, new)
+            versions.discard(spark, path, name, parts)
             raise
-    _store_schema(spark, path, schema)
-    _swap_in(spark, path)
+    versions.publish(spark, path, before, fact.schema, PARTITION_COL, folders)
+
+
+def read_target(spark: SparkSession, path: str, version: versions.Version | None = None) -> DataFrame | None:
+    """The table, or None if it does not exist yet. Files written before a
+    column was added read as NULL there (B5): the version's schema says
+    which columns there are. Reading changes nothing, and goes on with the
+    version it began with while others write. A plain parquet folder, which has
+    no versions, is read as it is."""
+    version = version or versions.current(spark, path)
+    if version is not None:
+        return versions.read(spark, path, version)
+    if _is_plain(spark, path):
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    return None
 
 
-def read_target(spark: SparkSession, path: str) -> DataFrame | None:
-    """The current target, or None if it does not exist yet. Files written
-    before a column was added read as NULL there (B5): the schema stored with
-    the table says which columns there are. A table without a stored schema
-    is read with merged file schemas."""
-    recover_table(spark, path)
-    if not path_exists(spark, path):
-        return None
-    schema = _stored_schema(spark, path)
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
+def _is_plain(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds parquet files that no table version names."""
+    names = folder_names(spark, path)
+    return "data" not in names and any(n.endswith(".parquet") or "=" in n for n in names)
+
+
+@contextmanager
+def _footer_reader(spark: SparkSession):
+    """Parquet read so that minima, maxima and counts are taken from footers."""
+    keys = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    saved = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException:
+        yield
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+
+
+def footer_max(spark: SparkSession, paths: list[str], col: str) -> DataFrame:
+    """E2 over parquet files: one row with the max ``m`` of a column. For dates
+    and numbers it comes from the files' footers and no column is read. The plan
+    is fixed here, so that the caller's session keeps its settings."""
+    with _footer_reader(spark):
+        df = spark.read.parquet(*paths)
+        plain = isinstance(df.schema[col].dataType, (DateType, NumericType))
+        top = df.select(F.max(col if plain else F.col(col).cast("date")).alias("m"))
+        top._jdf.queryExecution().executedPlan()
+    return top
+
+
+def target_max(spark: SparkSession, path: str, col: str = "order_date"):
+    """The newest date of a fact that is partitioned by its month: the last
+    month alone is asked, and only its footers."""
+    version = versions.current(spark, path)
+    if version is None or not version.parts:
         return None
+    dated = [p for p in version.parts if not p.endswith(versions.NULL_PART) and version.parts[p]]
+    newest = max(dated, key=lambda p: int(p.split("=")[1]), default=None)
+    return footer_max(spark, version.folders(path, [newest]), col).collect()[0]["m"] if newest else None
 
 
 def max_value(df: DataFrame, col: str):
@@ -190,7 +178,15 @@ def lookback_filter(src: DataFrame, target: DataFrame | None, days: int = 3,
 
 def lookback_start(target: DataFrame | None, days: int = 3, date_col: str = "order_date") -> _dt.date | None:
     """First date of the look-back window, None for a first load."""
-    mx = None if target is None else max_value(target, date_col)
+    return window_start(None if target is None else max_value(target, date_col), days)
+
+
+def stored_lookback_start(spark: SparkSession, path: str, days: int = 3) -> _dt.date | None:
+    """The same for a written fact, from the footers of its last month."""
+    return window_start(target_max(spark, path), days)
+
+
+def window_start(mx, days: int) -> _dt.date | None:
     if isinstance(mx, _dt.datetime):
         mx = mx.date()
     return None if mx is None else mx - _dt.timedelta(days=days)
@@ -204,14 +200,6 @@ def assert_unique_keys(df: DataFrame, key: str) -> None:
         raise ValueError(f"updates have a NULL or repeated {key}: {bad[0][key]!r}")
 
 
-def _delete_partitions(spark: SparkSession, path: str, col: str, values) -> None:
-    """Remove partition folders through the Hadoop file system of ``path``."""
-    for v in values:
-        if not delete_path(spark, f"{path.rstrip('/')}/{col}={v}"):
-            # Leaving the folder would keep rows that moved elsewhere.
-            raise RuntimeError(f"cannot remove emptied partition {col}={v} of {path}")
-
-
 def _months_of_orders(target: DataFrame, updates: DataFrame, locator: str, partition_col: str) -> DataFrame:
     """Partitions of the target that hold rows of the updates' ``locator``
     values: the narrow locator column only, and only row groups within the
@@ -225,15 +213,14 @@ def _months_of_orders(target: DataFrame, updates: DataFrame, locator: str, parti
 def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
            key: str = "order_line_sk", partition_col: str = PARTITION_COL,
            locator: str = "order_key") -> dict:
-    """B3 + B5: keyed upsert of ``updates`` into the parquet table at
-    ``target_path``; matches are replaced, new keys inserted, nothing deleted.
+    """B3 + B5: keyed upsert of ``updates`` into the table at ``target_path``;
+    matches are replaced, new keys inserted, nothing deleted.
 
     Touched partitions are the partitions of the updates plus the current
     partitions of updated keys: a corrected date can move a row to another
-    month, and its old copy must go. A touched partition that ends up empty
-    is removed explicitly, because a dynamic overwrite leaves partitions
-    that receive no rows untouched. New columns are added (NULL in old
-    rows); columns missing from the updates are kept (NULL in new rows).
+    month, and its old copy must go. All of them change in one version; a
+    partition that ends up empty is in it no more. New columns are added (NULL
+    in old rows); columns missing from the updates are kept (NULL in new rows).
     Returns a small summary (partitions touched/removed).
 
     ``locator`` is a column the key is made from (equal keys have equal
@@ -244,8 +231,10 @@ def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
     """
     if partition_col not in updates.columns:
         updates = with_order_month(updates)
-    target = read_target(spark, target_path)
-    if target is None or target.isEmpty():
+    version = versions.current(spark, target_path)
+    if version is None and _is_plain(spark, target_path):
+        raise ValueError(f"{target_path} is a plain folder: write its rows as a table (write_fact) elsewhere first")
+    if version is None or not any(version.parts.values()):
         write_fact(updates, target_path, key=key)
         return {"first_load": True, "touched": None, "removed": []}
     # Compute the batch once: it usually comes from the order-line pipeline,
@@ -257,30 +246,25 @@ def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
     updates.write.mode("overwrite").parquet(batch_path)
     updates = spark.read.schema(schema).parquet(batch_path)
     assert_unique_keys(updates, key)
+    target = versions.read(spark, target_path, version)
     if locator not in updates.columns or locator not in target.columns:
         locator = key
     # One value per partition: bounded by the number of months, not rows.
-    touched = sorted(r[0] for r in updates.select(partition_col)
-                     .union(_months_of_orders(target, updates, locator, partition_col))
-                     .distinct().collect())
-    kept = (target.where(F.col(partition_col).isin(touched))
+    touched = sorted((r[0] for r in updates.select(partition_col)
+                      .union(_months_of_orders(target, updates, locator, partition_col))
+                      .distinct().collect()), key=lambda v: (v is None, v or 0))
+    names = [versions.part_name(partition_col, v) for v in touched]
+    # Only the touched months' folders are read.
+    kept = (versions.read(spark, target_path, version, names)
             .join(updates.select(key), key, "left_anti"))
     merged = kept.unionByName(updates, allowMissingColumns=True)
-    staged = scratch_path(spark, "upsert-stage")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staged)
-    staged_df = spark.read.schema(merged.schema).parquet(staged)
-    present = {r[0] for r in staged_df.select(partition_col).distinct().collect()}
-    # The wider schema first: it also reads the files of before.
-    _store_schema(spark, target_path, merged.schema)
-    (_clustered(staged_df).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(target_path))
-    removed = [v for v in touched if v not in present]
-    _delete_partitions(spark, target_path, partition_col, removed)
-    # The staged copies are read by nothing after the final write.
-    delete_path(spark, staged)
+    name, written = versions.write_parts(_clustered(merged), target_path, partition_col)
+    parts = {p: f for p, f in version.parts.items() if p not in names} | {p: [name] for p in written}
+    versions.publish(spark, target_path, version, merged.schema, partition_col, parts)
+    # The staged copy is read by nothing after the write.
     delete_path(spark, batch_path)
-    return {"first_load": False, "touched": touched, "removed": removed}
+    return {"first_load": False, "touched": touched,
+            "removed": [v for v, p in zip(touched, names) if p not in written and p in version.parts]}
 
 
 def store_failures(failures: DataFrame, root: str, check_name: str) -> str:

@@ -130,11 +130,21 @@ def scd2_capture(snapshot: DataFrame, incoming: DataFrame, key: str = "c_custkey
     deletes do not close versions). All steps are joins on the key, so every
     key's work is a handful of rows.
     """
-    attrs = [c for c in SNAPSHOT_ATTRS if c in snapshot.columns]
+    cols = snapshot.columns
+    closed_now, open_now = scd2_changes(snapshot.where(F.col("valid_to").isNull()), incoming, key, updated_at,
+                                        require_change)
+    return (snapshot.where(F.col("valid_to").isNotNull())
+            .unionByName(closed_now.select(*cols)).unionByName(open_now.select(*cols)))
+
+
+def scd2_changes(open_: DataFrame, incoming: DataFrame, key: str = "c_custkey", updated_at: str = "updated_at",
+                 require_change: bool = True) -> tuple[DataFrame, DataFrame]:
+    """D6 by parts: from the open versions alone, the versions that the incoming
+    rows close and the versions open afterwards (see ``scd2_capture``)."""
+    cols = open_.columns
+    attrs = [c for c in SNAPSHOT_ATTRS if c in cols]
     inc = incoming.select(key, *attrs, updated_at).withColumn(
         "scd_id", fn.row_hash(key, "c_name", "c_mktsegment", "n_name", "c_acctbal"))
-    open_ = snapshot.where(F.col("valid_to").isNull())
-    closed = snapshot.where(F.col("valid_to").isNotNull())
     cur = open_.select(key, F.col(updated_at).alias("_open_upd"), F.struct(*attrs).alias("_open"))
     j = inc.join(cur, key, "left")
     newer = F.col(updated_at) > F.col("_open_upd")
@@ -148,8 +158,4 @@ def scd2_capture(snapshot: DataFrame, incoming: DataFrame, key: str = "c_custkey
     closed_now = (open_.join(closing, key, "inner")
                   .withColumn("valid_to", F.col("_close_at")).drop("_close_at"))
     still_open = open_.join(closing.select(key), key, "left_anti")
-    cols = snapshot.columns
-    return (closed.select(*cols)
-            .unionByName(still_open.select(*cols))
-            .unionByName(closed_now.select(*cols))
-            .unionByName(new_versions.select(*cols)))
+    return closed_now.select(*cols), still_open.select(*cols).unionByName(new_versions.select(*cols))

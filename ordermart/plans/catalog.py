@@ -43,8 +43,9 @@ def query(name: str):
 
 def _m(spark: SparkSession, sf_dir: str) -> Models:
     """Models over the driver data, whose line numbers repeat within an order:
-    they are numbered anew, in the form that no large order can slow."""
-    return Models(spark, sf_dir, renumber_lines="skew_safe")
+    they are numbered anew, once for all queries of a session, in a layout that
+    the line-level join reads in place."""
+    return Models(spark, sf_dir, renumber_lines="stored")
 
 
 def _drop_audit(df: DataFrame) -> DataFrame:
@@ -175,10 +176,10 @@ def q_fact_customer_as_of(spark, d):
     m = _m(spark, d)
     keys = facts.as_of_customer_keys(m.dim_customer.withColumnRenamed("account_tier", "tier_at_order"),
                                      "tier_at_order")
-    e = enrich.orders_enriched(m.stg_orders, m.stg_customers, m.stg_products, m.lines, keys)
-    return e.select("order_line_sk", "order_key", "order_date", "customer_key",
-                    F.coalesce("customer_sk", F.lit(fn.UNKNOWN_MEMBER_KEY)).alias("customer_sk"),
-                    "tier_at_order", "account_tier")
+    return m.order_lines(keys).select(
+        "order_line_sk", "order_key", "order_date", "customer_key",
+        F.coalesce("customer_sk", F.lit(fn.UNKNOWN_MEMBER_KEY)).alias("customer_sk"),
+        "tier_at_order", "account_tier")
 
 
 @query("fact_lookback")
@@ -198,8 +199,7 @@ def q_fact_upsert(spark, d):
     cutoff = newest - _dt.timedelta(days=UPSERT_FIRST_LOAD_DAYS_BEFORE_END)
     target_path = scratch_path(spark, "fact_upsert")
     load.upsert(spark, m.fact.where(F.col("order_date") <= F.lit(cutoff)), target_path)
-    target = load.read_target(spark, target_path)
-    load.upsert(spark, m.fact_since(load.lookback_start(target, LOOKBACK_DAYS)), target_path)
+    load.upsert(spark, m.fact_since(load.stored_lookback_start(spark, target_path, LOOKBACK_DAYS)), target_path)
     return _read_fact(spark, target_path)
 
 
@@ -215,7 +215,7 @@ def q_fact_full_refresh(spark, d):
     m.stored_order_lines()
     path = scratch_path(spark, "fact_refresh")
     load.write_fact(m.fact, path, key="order_line_sk")
-    newest = load.max_value(load.read_target(spark, path), "order_date")
+    newest = load.target_max(spark, path)
     kept = m.fact.where(F.col("order_date") <= F.lit(newest - _dt.timedelta(days=REFRESH_DAYS_BEFORE_END)))
     load.write_fact(kept, path, key="order_line_sk")
     return _read_fact(spark, path)
@@ -229,7 +229,7 @@ def q_fact_schema_drift(spark, d):
     m.stored_order_lines()
     path = scratch_path(spark, "fact_drift")
     load.upsert(spark, m.fact.drop("clerk_name"), path)
-    start = load.lookback_start(load.read_target(spark, path), LOOKBACK_DAYS)
+    start = load.stored_lookback_start(spark, path, LOOKBACK_DAYS)
     load.upsert(spark, m.fact.where(F.col("order_date") >= F.lit(start)), path)
     return _read_fact(spark, path)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dimensions, enrich, facts, scd2, staging
 from ..session import scratch_path
-from ..sources import tables as src
+from ..sources import colocate, tables as src
 
 # Run date used wherever the reference uses the current date (driver data
 # ends on 2001-08-01), and the audit timestamp of a build.
@@ -36,9 +36,17 @@ class Models:
         self._window: tuple | None = None
 
     # sources -----------------------------------------------------------
+    @cached_property
+    def layout(self) -> colocate.OrderLines | None:
+        """Orders and numbered lines stored by order key, with
+        ``renumber_lines="stored"``."""
+        if self.renumber_lines != "stored":
+            return None
+        return colocate.order_lines(self.spark, self.sf_dir, renumber=True)
+
     @cached_property
     def orders_src(self) -> DataFrame:
-        return src.orders(self.spark, self.sf_dir)
+        return self.layout.orders if self.layout else src.orders(self.spark, self.sf_dir)
 
     @cached_property
     def customer_src(self) -> DataFrame:
@@ -58,6 +66,8 @@ class Models:
 
     @cached_property
     def partsupp_src(self) -> DataFrame:
+        if self.layout and self.layout.partsupp is not None:
+            return self.layout.partsupp
         return src.partsupp(self.spark, self.sf_dir)
 
     @cached_property
@@ -66,6 +76,8 @@ class Models:
 
     @cached_property
     def lineitem_src(self) -> DataFrame:
+        if self.layout:
+            return self.layout.all_lines
         return src.lineitem(self.spark, self.sf_dir, renumber_lines=self.renumber_lines)
 
     @cached_property
@@ -93,18 +105,31 @@ class Models:
     def lines(self) -> DataFrame:
         return enrich.line_items(self.lineitem_src)
 
+    @cached_property
+    def line_parts(self) -> tuple[DataFrame, DataFrame | None]:
+        """Lines to join with orders: those stored like them, and those of very
+        large orders (None: there are none)."""
+        if self.layout is None:
+            return self.lines, None
+        hot = self.layout.hot_lines
+        return enrich.line_items(self.layout.lines), None if hot is None else enrich.line_items(hot)
+
+    def order_lines(self, customer_keys: DataFrame | None = None) -> DataFrame:
+        """The order-line model with a customer key looked up at order grain."""
+        lines, hot = self.line_parts
+        return enrich.orders_enriched(self.stg_orders, self.stg_customers, self.stg_products, lines,
+                                      customer_keys, hot_lines=hot)
+
     # order lines -------------------------------------------------------
     @cached_property
     def enriched(self) -> DataFrame:
         """int_orders_enriched exactly (51 columns)."""
-        return enrich.orders_enriched(self.stg_orders, self.stg_customers, self.stg_products,
-                                      self.lines)
+        return self.order_lines()
 
     @cached_property
     def enriched_with_sk(self) -> DataFrame:
         """The order-line model with the current customer_sk resolved at order grain."""
-        return enrich.orders_enriched(self.stg_orders, self.stg_customers, self.stg_products,
-                                      self.lines, facts.current_customer_keys(self.dim_customer))
+        return self.order_lines(facts.current_customer_keys(self.dim_customer))
 
     # dimensions --------------------------------------------------------
     @cached_property
@@ -142,16 +167,19 @@ class Models:
         from written dimensions."""
         keys = customer_keys if customer_keys is not None else facts.current_customer_keys(self.dim_customer)
         products = products if products is not None else self.stg_products
-        orders, lines = self.stg_orders, self.lines
+        orders, (lines, hot) = self.stg_orders, self.line_parts
         if start is not None:
             path = scratch_path(self.spark, "window-orders")
             window = self.stg_orders.where(F.col("order_date") >= F.lit(start))
             window.write.parquet(path)
             orders = self.spark.read.schema(window.schema).parquet(path)
-            lines = enrich.line_items(src.lineitem(
-                self.spark, self.sf_dir, renumber_lines=self.renumber_lines,
-                orders=orders.select(F.col("order_key").alias("l_orderkey"))))
-        rows = enrich.orders_enriched(orders, self.stg_customers, products, lines, keys)
+            wanted = orders.select(F.col("order_key").alias("l_orderkey"))
+            if self.layout:
+                lines, hot = enrich.line_items(self.lineitem_src.join(wanted, "l_orderkey", "left_semi")), None
+            else:
+                lines, hot = enrich.line_items(src.lineitem(
+                    self.spark, self.sf_dir, renumber_lines=self.renumber_lines, orders=wanted)), None
+        rows = enrich.orders_enriched(orders, self.stg_customers, products, lines, keys, hot_lines=hot)
         self._window = (start, rows.drop("customer_sk"))
         return facts.fact_orders(rows, self.loaded_at)
 

@@ -119,6 +119,56 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, p = _classic_file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    fs, p = _classic_file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small new file."""
+    fs, p = _classic_file_system(spark, path)
+    stream = fs.create(p, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def modified_at(spark: SparkSession, path: str) -> float:
+    """Time of the last change of a file or folder, in seconds."""
+    fs, p = _classic_file_system(spark, path)
+    return fs.getFileStatus(p).getModificationTime() / 1000
+
+
+def _classic_file_system(spark: SparkSession, path: str):
+    found = _file_system(spark, path)
+    if found is None:
+        raise RuntimeError("tables with versions need a session with a Spark context")
+    return found
+
+
+def source_state(spark: SparkSession, paths: list[str]) -> tuple[list, int]:
+    """What tells one state of some files from another (files, bytes and time
+    of change of each path), and all their bytes."""
+    seen = []
+    for path in paths:
+        fs, p = _classic_file_system(spark, path)
+        held = fs.getContentSummary(p)
+        seen.append([held.getFileCount(), held.getLength(), fs.getFileStatus(p).getModificationTime()])
+    return seen, sum(s[1] for s in seen)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove a folder the library itself wrote. Returns False when the
     session gives no file-system access (a remote session)."""

@@ -69,7 +69,11 @@ def _null_str() -> F.Column:
 # ---------------------------------------------------------------------------
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = read_source(spark, sf_dir, "orders")
+    return with_order_columns(read_source(spark, sf_dir, "orders"))
+
+
+def with_order_columns(df: DataFrame) -> DataFrame:
+    """Order columns that the source lacks."""
     if "o_clerk" not in df.columns:
         df = df.withColumn("o_clerk", F.concat(
             F.lit("Clerk#"), F.lpad((F.col("o_orderkey") % 1000).cast("string"), 9, "0")))
@@ -128,9 +132,10 @@ def lineitem(spark: SparkSession, sf_dir: str, renumber_lines: bool | str = Fals
     Line numbers are the source's own. The driver data repeats
     (l_orderkey, l_linenumber), which the order-line surrogate key needs
     unique, so its readers opt in to ``renumber_lines``: lines are numbered
-    1..n per order in a total order. ``"skew_safe"`` does it by a distributed
-    sort (``operators.ranking``), however many lines one order has; True by a
-    window per order key, for sources with a bound on them.
+    1..n per order in a total order. ``"skew_safe"`` numbers very large orders
+    by a distributed sort (``operators.ranking``); True uses a window per order
+    key alone, for sources with a bound on them. To number the lines once for
+    many queries see ``sources.colocate``.
 
     ``orders`` (l_orderkey) keeps only the lines of these orders, before
     anything is shuffled or computed.
@@ -140,12 +145,17 @@ def lineitem(spark: SparkSession, sf_dir: str, renumber_lines: bool | str = Fals
         # Whole orders: their lines get the same numbers as in the full table.
         df = df.join(orders, "l_orderkey", "left_semi")
     if renumber_lines == "skew_safe":
-        from ..operators.ranking import row_number_by_sort
-        df = (row_number_by_sort(df, "l_orderkey", LINE_ORDER, out="_line")
+        from ..operators.ranking import row_number_within
+        df = (row_number_within(df, "l_orderkey", LINE_ORDER, out="_line")
               .withColumn("l_linenumber", F.col("_line")).drop("_line"))
     elif renumber_lines:
         w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
         df = df.withColumn("l_linenumber", F.row_number().over(w).cast("int"))
+    return with_line_columns(df)
+
+
+def with_line_columns(df: DataFrame) -> DataFrame:
+    """Line-item columns that the source lacks."""
     line = F.col("l_linenumber").cast("long")
     okey = F.col("l_orderkey")
     ship = F.to_date("l_shipdate")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ordermart.operators import load, versions
 from ordermart.plans import build
 from ordermart.plans.models import Models
 from ordermart.sources import tables as src
@@ -13,7 +14,7 @@ def test_build_twice(spark, tmp_dir):
     seed = src.customer_history(spark, SF_SMALL)
     first = build.run(spark, SF_SMALL, out, history_seed=seed, renumber_lines=True)
     assert first["fact_load"]["first_load"]
-    fact = spark.read.parquet(f"{out}/fact_orders")
+    fact = load.read_target(spark, f"{out}/fact_orders")
     n = fact.count()
     expected = Models(spark, SF_SMALL, renumber_lines=True).fact
     assert n == expected.count()
@@ -26,7 +27,7 @@ def test_build_twice(spark, tmp_dir):
     second = build.run(spark, SF_SMALL, out, loaded_at="2001-08-02 04:00:00", renumber_lines="skew_safe")
     assert not second["fact_load"]["first_load"]
     assert second["fact_load"]["touched"]           # the look-back window was re-processed
-    fact2 = spark.read.parquet(f"{out}/fact_orders")
+    fact2 = load.read_target(spark, f"{out}/fact_orders")
     assert fact2.count() == n                        # idempotent: updates replaced, nothing duplicated
     reloaded = fact2.where("_loaded_at > timestamp'2001-08-01 12:00:00'").count()
     assert 0 < reloaded < n                          # only the look-back window was rewritten

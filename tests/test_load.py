@@ -8,7 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from ordermart.operators import load
+from ordermart.operators import load, versions
 from tests.conftest import rows
 
 d = dt.date
@@ -19,8 +19,8 @@ def fact(spark, data, schema=SCHEMA):
     return spark.createDataFrame(data, schema)
 
 
-def months_on_disk(path):
-    return sorted(x for x in os.listdir(path) if x.startswith("order_month="))
+def months_of(spark, path):
+    return sorted(versions.current(spark, path).parts)
 
 
 def test_first_load_and_update_insert(spark, tmp_dir):
@@ -28,7 +28,7 @@ def test_first_load_and_update_insert(spark, tmp_dir):
     base = fact(spark, [("a", d(2000, 1, 5), "BUILDING", 1.0), ("b", d(2000, 2, 5), "BUILDING", 2.0)])
     info = load.upsert(spark, base, path)
     assert info["first_load"]
-    assert months_on_disk(path) == ["order_month=200001", "order_month=200002"]
+    assert months_of(spark, path) == ["order_month=200001", "order_month=200002"]
     upd = fact(spark, [("a", d(2000, 1, 5), "BUILDING", 10.0), ("c", d(2000, 3, 1), "MACHINERY", 3.0)])
     info = load.upsert(spark, upd, path)
     assert info["touched"] == [200001, 200003]
@@ -42,7 +42,7 @@ def test_moved_key_empties_partition(spark, tmp_dir):
     # 'a' moves to February: January becomes empty and must disappear
     info = load.upsert(spark, fact(spark, [("a", d(2000, 2, 9), "B", 1.5)]), path)
     assert info["touched"] == [200001, 200002] and info["removed"] == [200001]
-    assert months_on_disk(path) == ["order_month=200002"]
+    assert months_of(spark, path) == ["order_month=200002"]
     got = rows(load.read_target(spark, path), "order_line_sk", "order_date", "net_revenue")
     assert got == [("a", d(2000, 2, 9), 1.5), ("b", d(2000, 2, 5), 2.0)]
 
@@ -124,44 +124,125 @@ def test_sample_failures_is_display_only(spark):
     assert failing.count() == 2000
 
 
-def test_write_table_swaps_versions(spark, tmp_dir):
+def test_write_table_replaces_all_rows(spark, tmp_dir):
     path = f"{tmp_dir}/dim"
+    assert load.read_target(spark, path) is None
     load.write_table(spark.range(3), path)
-    assert spark.read.parquet(path).count() == 3
     # the new version may be computed from the table it replaces
-    load.write_table(spark.read.parquet(path).union(spark.range(10, 12)), path)
-    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 10, 11]
-    assert not os.path.exists(f"{path}.__new__") and not os.path.exists(f"{path}.__old__")
+    load.write_table(load.read_target(spark, path).union(spark.range(10, 12)), path)
+    assert sorted(r.id for r in load.read_target(spark, path).collect()) == [0, 1, 2, 10, 11]
+    load.write_table(spark.range(0), path)
+    assert load.read_target(spark, path).count() == 0 and load.read_target(spark, path).columns == ["id"]
 
 
-def crash_states(spark, path):
-    """The folders as a crash leaves them after each step of a swap."""
-    return {
-        "new is half written": lambda: spark.range(9).write.parquet(f"{path}.__new__"),
-        "old moved away": lambda: (spark.range(2).write.parquet(f"{path}.__new__"), os.rename(path, f"{path}.__old__")),
-        "new moved in": lambda: (os.rename(path, f"{path}.__old__"), spark.range(2).write.parquet(path)),
-    }
+def test_a_reader_disturbs_no_write_and_a_write_no_reader(spark, tmp_dir):
+    path = f"{tmp_dir}/dim"
+    load.write_table(spark.range(3), path)
+    before = versions.current(spark, path)
+    opened = load.read_target(spark, path)
+    name, parts = versions.write_parts(spark.range(9), path, None)         # a write goes on
+    assert load.read_target(spark, path).count() == 3
+    versions.publish(spark, path, before, opened.schema, None, {p: [name] for p in parts})
+    assert load.read_target(spark, path).count() == 9
+    assert opened.count() == 3                                             # opened before, still whole
 
 
-@pytest.mark.parametrize("state", ["new is half written", "old moved away", "new moved in"])
-def test_crash_during_swap_keeps_a_version(spark, tmp_dir, state):
-    path = f"{tmp_dir}/dim"
-    load.write_table(spark.range(5), path)
-    crash_states(spark, path)[state]()
-    if state == "new is half written":
-        os.remove(f"{path}.__new__/_SUCCESS")
-    n = load.read_target(spark, path).count()
-    assert n == (5 if state == "new is half written" else 2)
-    assert not os.path.exists(f"{path}.__new__") and not os.path.exists(f"{path}.__old__")
-    load.write_table(load.read_target(spark, path).union(spark.range(100, 101)), path)
-    assert load.read_target(spark, path).count() == n + 1
-
-
-def test_crash_before_new_is_complete_restores_the_old(spark, tmp_dir):
+def three_months(spark):
+    return fact(spark, [(1, "a", d(2000, 1, 5), "B", 1.0), (2, "b", d(2000, 2, 5), "B", 2.0),
+                        (3, "c", d(2000, 3, 5), "B", 3.0)], "order_key long, " + SCHEMA)
+
+
+@pytest.mark.parametrize("step", ["assert_unique_keys", "write_parts", "publish", "rename_path"])
+def test_crash_at_each_step_leaves_the_old_table(spark, tmp_dir, monkeypatch, step):
+    """A batch that touches three months, and moves a row between two: the
+    table has all of it or nothing."""
+    path = f"{tmp_dir}/fact"
+    load.upsert(spark, three_months(spark), path)
+    old = rows(load.read_target(spark, path))
+    batch = fact(spark, [(1, "a", d(2000, 2, 9), "B", 9.0), (3, "c", d(2000, 3, 5), "B", 9.0)], "order_key long, " + SCHEMA)
+    module = load if step == "assert_unique_keys" else versions
+    real = getattr(module, step)
+
+    def crash(*args, **kwargs):
+        if step == "write_parts":
+            real(*args, **kwargs)               # the files are there, nothing more
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(module, step, crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            load.upsert(spark, batch, path)
+    assert rows(load.read_target(spark, path)) == old
+    info = load.upsert(spark, batch, path)
+    assert info["touched"] == [200001, 200002, 200003] and info["removed"] == [200001]
+    assert rows(load.read_target(spark, path), "order_line_sk", "net_revenue") == [("a", 9.0), ("b", 2.0), ("c", 9.0)]
+
+
+def test_plain_folders_are_read_but_not_merged_into(spark, tmp_dir):
+    plain = f"{tmp_dir}/plain"
+    load.with_order_month(three_months(spark)).write.partitionBy("order_month").parquet(plain)
+    assert load.read_target(spark, plain).count() == 3
+    with pytest.raises(ValueError, match="plain folder"):
+        load.upsert(spark, three_months(spark), plain)
+
+
+def test_second_of_two_writers_is_told(spark, tmp_dir):
     path = f"{tmp_dir}/dim"
-    load.write_table(spark.range(5), path)
-    os.rename(path, f"{path}.__old__")
-    assert load.read_target(spark, path).count() == 5
+    load.write_table(spark.range(3), path)
+    before = versions.current(spark, path)
+    load.write_table(spark.range(4), path)
+    with pytest.raises(versions.WriteConflict):
+        versions.publish(spark, path, before, before.schema, None, before.parts)
+    assert load.read_target(spark, path).count() == 4
+
+
+def test_vacuum_keeps_what_kept_versions_name(spark, tmp_dir):
+    path = f"{tmp_dir}/fact"
+    load.upsert(spark, three_months(spark), path)
+    for revenue in (5.0, 6.0, 7.0):
+        load.upsert(spark, fact(spark, [(2, "b", d(2000, 2, 5), "B", revenue)], "order_key long, " + SCHEMA), path)
+    versions.write_parts(load.with_order_month(three_months(spark)), path, "order_month")        # never published
+    now = rows(load.read_target(spark, path))
+    assert versions.vacuum(spark, path, keep=2) == []                       # too young
+    removed = versions.vacuum(spark, path, keep=2, older_than_seconds=-60)
+    assert len(removed) == 2 + 3                # two old Februaries, three months without a version
+    assert rows(load.read_target(spark, path)) == now
+    assert len(os.listdir(f"{path}/data/order_month=200002")) == 2
+
+
+def test_rows_without_a_date_have_a_month_of_their_own(spark, tmp_dir):
+    path = f"{tmp_dir}/fact"
+    load.upsert(spark, fact(spark, [("a", None, "B", 1.0), ("b", d(2000, 2, 5), "B", 2.0)]), path)
+    load.upsert(spark, fact(spark, [("a", None, "B", 5.0), ("c", None, None, 7.0)]), path)
+    assert rows(load.read_target(spark, path), "order_line_sk", "net_revenue") == [("a", 5.0), ("b", 2.0), ("c", 7.0)]
+    assert load.target_max(spark, path) == d(2000, 2, 5)
+    info = load.upsert(spark, fact(spark, [("a", d(2000, 2, 1), "B", 6.0), ("c", d(2000, 2, 2), "B", 6.0)]), path)
+    assert info["touched"] == [200002, None] and info["removed"] == [None]
+    assert load.read_target(spark, path).count() == 3
+
+
+def test_newest_date_comes_from_footers(spark, tmp_dir):
+    path = f"{tmp_dir}/fact"
+    assert load.target_max(spark, path) is None
+    load.upsert(spark, three_months(spark), path)
+    version = versions.current(spark, path)
+    plan = load.footer_max(spark, version.folders(path), "order_date")
+    assert "PushedAggregation: [MAX(order_date)]" in plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.collect()[0].m == d(2000, 3, 5) == load.target_max(spark, path)
+    assert load.stored_lookback_start(spark, path, 3) == d(2000, 3, 2)
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"        # the session is as it was
+
+
+def test_closed_history_is_not_written_again(spark, tmp_dir):
+    path = f"{tmp_dir}/history"
+    for day in range(4):
+        load.write_history(spark.range(day * 10, day * 10 + 2), spark.range(100, 103 + day), path,
+                           versions.current(spark, path), most_folders=3)
+        got = load.read_target(spark, path)
+        assert sorted(r.id for r in got.where("is_open = 0").collect()) == [x for i in range(day + 1) for x in (i * 10, i * 10 + 1)]
+        assert got.where("is_open = 1").count() == 3 + day
+        # the third folder is the last: on the fourth day all are written together
+        assert len(versions.current(spark, path).parts["is_open=0"]) == (day + 1 if day < 3 else 1)
 
 
 @pytest.mark.parametrize("mode", ["static", "dynamic"])
@@ -175,7 +256,7 @@ def test_full_write_leaves_no_stale_month(spark, tmp_dir, mode):
         load.write_fact(fact(spark, both[:1]), path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", saved)
-    assert load.read_target(spark, path).count() == 1 and months_on_disk(path) == ["order_month=200001"]
+    assert load.read_target(spark, path).count() == 1 and months_of(spark, path) == ["order_month=200001"]
 
 
 def test_first_load_with_repeated_keys_leaves_nothing(spark, tmp_dir):

@@ -33,7 +33,7 @@ def test_kpi_scan_is_pruned(spark):
         text = plan_text(entry.queries()["kpi_overview"](spark, SF_SMALL))
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
-    orders = [ln for ln in text.splitlines() if "orders.parquet" in ln]
+    orders = [ln for ln in text.splitlines() if "ordermart_orders_" in ln and "ReadSchema" in ln]
     assert orders
     for ln in orders:
         schema = ln[ln.index("ReadSchema"):]
