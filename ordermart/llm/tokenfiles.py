@@ -21,6 +21,7 @@ Arrow's file systems open by URI.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -46,6 +47,9 @@ CHECKSUM_FLAG = 0x80
 FRAME_BYTES = 1 << 18     # ids of one frame, before compression
 KEPT_CHUNKS = 1_500_000     # bound of a worker's table of encoded chunks
 LONG_CHUNK = 200          # longer chunks are encoded but not kept
+# Letters, then marks that begin no contraction and no special token: the
+# tokenizer's own pre-tokenizer parts these.
+WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:;=>?@\[-`{}~]*)")
 MANIFEST = "file string, part int, n_docs long, n_ids long, n_frames long, bytes long"
 
 
@@ -70,6 +74,7 @@ class ChunkEncoder:
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends_word[i] = bool(suffix) and token.endswith(suffix)
         self.kept: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}      # words and marks of chunks
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
@@ -86,10 +91,30 @@ class ChunkEncoder:
         return [b"".join(map(kept.__getitem__, cs)) for cs in chunks]
 
     def _encode_chunks(self, chunks: set[str]) -> Iterator[tuple[str, bytes]]:
-        """Plain words go to the library many at a time, joined by blanks: each
-        is one word to it, and the marks of word ends tell them apart again."""
-        words = [c for c in chunks if c.isascii() and c.isalpha()]
-        rest = [c for c in chunks if not (c.isascii() and c.isalpha())]
+        """A word with marks behind it is two words to the library, and a
+        capital is a small letter; so few of the chunks not met before hold a
+        word not met before."""
+        parted, rest = {}, []
+        for c in chunks:
+            m = WORD_AND_MARKS.fullmatch(c)
+            if m and m[1].isalpha():
+                parted[c] = (c[:m.end(1)].lower() if c.isascii() else m[1]), m[2]
+            else:
+                rest.append(c)
+        if len(self.words) > KEPT_CHUNKS // 4:
+            self.words.clear()
+        words = self.words
+        words.update(self._encode_words({w for w, _ in parted.values()}.difference(words)))
+        marks = {m for _, m in parted.values() if m}
+        words.update(self._encode_each(list(marks.difference(words))))
+        words[""] = b""
+        yield from ((c, words[w] + words[m]) for c, (w, m) in parted.items())
+        yield from self._encode_each(rest)
+
+    def _encode_words(self, words: set[str]) -> Iterator[tuple[str, bytes]]:
+        """Words of letters go to the library many at a time, joined by blanks:
+        each is one word to it, and the marks of word ends tell them apart again."""
+        words = list(words)
         for i in range(0, len(words), 500):
             some = words[i:i + 500]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
@@ -98,8 +123,10 @@ class ChunkEncoder:
                 packed = ids.tobytes()
                 yield from zip(some, (packed[4 * a:4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())))
             else:
-                rest += some
-        for c, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
+                yield from self._encode_each(some)
+
+    def _encode_each(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
+        for c, e in zip(chunks, self.tokenizer.encode_batch(chunks, add_special_tokens=False)):
             yield c, np.array(e.ids, dtype="<u4").tobytes()
 
 
