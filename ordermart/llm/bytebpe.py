@@ -29,7 +29,6 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -38,7 +37,6 @@ from ordermart.llm.common import lean
 KEPT_PIECES = 300_000     # bounds of a worker's tables; a full table is emptied
 KEPT_PAIRS = 300_000
 LONG_PIECE = 60           # longer pieces are encoded but not kept
-BATCH_BYTES = 8 << 20     # text that is turned into ids at a time
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -230,27 +228,8 @@ def load(path: str, pattern: str) -> RankBpe:
     return RankBpe(path, pattern)
 
 
-def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of bounded bytes of texts or number of ids (a row at least)."""
-    values = batch.column(column)
-    length = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
-    lengths = pc.fill_null(length(values), 0).to_pylist()
-    start = held = 0
-    for i, n in enumerate(lengths):
-        if held and held + n > BATCH_BYTES:
-            yield batch.slice(start, i - start)
-            start, held = i, 0
-        held += n
-    if start < len(lengths):
-        yield batch.slice(start)
-
-
-def _by_parts(run: Callable[[pa.RecordBatch], pa.RecordBatch], column: str) -> Callable:
-    def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _slices(batch, column):
-                yield run(part)
-    return batches_of
+def _each(run: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable:
+    return lambda batches: map(run, batches)
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
@@ -268,7 +247,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
             [part.column("id"), pa.array(counts), pa.ListArray.from_arrays(pa.array(ends), values)],
             names=[id_col, "n_tokens", "ids"])
 
-    return rows.mapInArrow(lean(_by_parts(run, "text"), lambda: load(path, pattern).forget()),
+    return rows.mapInArrow(lean(_each(run), lambda: load(path, pattern).forget()),
                            f"`{id_col}` long, n_tokens long, ids array<int>")
 
 
@@ -283,5 +262,5 @@ def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id") -> D
         return pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())],
                                           names=[id_col, "n_tokens", "ids", "decoded"])
 
-    return rows.mapInArrow(lean(_by_parts(run, "ids"), None),
+    return rows.mapInArrow(lean(_each(run)),
                            f"`{id_col}` long, n_tokens long, ids array<int>, decoded binary")

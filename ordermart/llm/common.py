@@ -41,12 +41,31 @@ def open_folder(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(folder)
 
 
+SLICE_BYTES = 4 << 20
+
+
+def sliced(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``most`` bytes (a row at least): Spark
+    bounds a batch by its rows, whatever the length of their texts.  Slices share
+    the batch's memory; what is made of them does not pile up."""
+    for batch in batches:
+        todo = [batch]
+        while todo:
+            part = todo.pop()
+            if part.nbytes > most and part.num_rows > 1:
+                half = part.num_rows // 2
+                todo += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part
+
+
 def lean(run: Callable, forget: Callable[[], None] | None = None) -> Callable:
-    """A mapInArrow function that gives its memory back when its task ends:
-    Spark keeps Python workers, so what one stage leaves adds up with the next."""
+    """A mapInArrow function that works on slices of bounded bytes and gives its
+    memory back when its task ends: Spark keeps Python workers, so what one
+    stage leaves adds up with the next."""
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
-            yield from run(batches)
+            yield from run(sliced(batches))
         finally:
             if forget is not None:
                 forget()

@@ -198,7 +198,7 @@ def link_edges(fps: DataFrame, distance: int = 3) -> DataFrame:
                 [pa.array(signed[tied]), pa.array(signed[root[tied]])], names=["a", "b"])
 
     return (dealt.repartition(*group).sortWithinPartitions(*group)
-            .mapInArrow(run, "a long, b long"))
+            .mapInArrow(lean(run), "a long, b long"))
 
 
 def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int) -> DataFrame:

@@ -124,10 +124,15 @@ def test_query_over_edge_documents(spark, tmp_dir):
         assert sorted((tuple(r) for r in op13_byte_bpe(spark, f"{tmp_dir}/{name}").collect()), key=str) == expected(rows)
 
 
-def test_batches_are_cut_by_bytes(spark, monkeypatch):
+def test_batches_are_cut_by_bytes():
     import pyarrow as pa
-    monkeypatch.setattr(bytebpe, "BATCH_BYTES", 10)
-    batch = pa.record_batch({"text": ["four", None, "fifteen letters", "", "x", "six ch"]})
-    assert [p.num_rows for p in bytebpe._slices(batch, "text")] == [2, 1, 3]
+    from ordermart.llm.common import sliced
+    batch = pa.record_batch({"text": ["x" * 10, None, "x" * 5000, "", "x" * 600] * 4, "n": range(20)})
+    parts = list(sliced(iter([batch, batch.slice(0, 0)]), 2000))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert all(p.num_rows <= 1 or p.nbytes <= 2000 for p in parts) and len(parts) > 8
+
+
+def test_null_ids_decode_to_nothing(spark):
     null_ids = spark.createDataFrame([(1, 0, None)], "doc_id long, n_tokens long, ids array<int>")
     assert bytes(bytebpe.decode_documents(null_ids, PATH).collect()[0].decoded) == b""
