@@ -45,15 +45,22 @@ def lookup_customer(df: DataFrame, keys: DataFrame,
 
     Without effective dates this is an equi left join on customer_key (the
     current-row lookup). With ``effective_from``/``effective_to`` it is the
-    point-in-time lookup: still an equi join on the key (hash/sort-merge,
-    skew-split by AQE), with the date range as a residual condition. A miss
+    point-in-time lookup: each customer's versions are folded into one row with
+    a list, so the join on the key neither multiplies rows nor filters them
+    afterwards, and the list is searched by the date (of ranges that overlap the
+    last one counts). A customer has a version a capture run at most. A miss
     leaves NULL; the fact turns it into the unknown member.
     """
     ck = keys.withColumnRenamed("customer_key", "_ck_key")
-    cond = F.col("customer_key") == F.col("_ck_key")
-    if "effective_from" in ck.columns:
-        cond = cond & F.col(date_col).between(F.col("effective_from"), F.col("effective_to"))
-    return df.join(ck, cond, "left").drop("_ck_key", "effective_from", "effective_to")
+    if "effective_from" not in ck.columns:
+        return df.join(ck, F.col("customer_key") == F.col("_ck_key"), "left").drop("_ck_key")
+    found = [c for c in ck.columns if c not in ("_ck_key", "effective_from", "effective_to")]
+    lists = ck.groupBy("_ck_key").agg(F.array_sort(F.collect_list(
+        F.struct("effective_from", "effective_to", *found))).alias("_versions"))
+    valid = F.filter("_versions", lambda v: F.col(date_col).between(v["effective_from"], v["effective_to"]))
+    at = F.try_element_at(valid, F.lit(-1))
+    joined = df.join(lists, F.col("customer_key") == F.col("_ck_key"), "left").withColumn("_at", at)
+    return joined.select(*df.columns, *[F.col("_at")[c].alias(c) for c in found])
 
 
 def with_fact_flags(df: DataFrame) -> DataFrame:

@@ -4,6 +4,9 @@ Money is summed as decimal(12,2) (exact, so independent of summation order
 and of how rows are spread over tasks) and turned into double at the end.
 Rates are ratios of exact sums. Windows only ever run on small aggregates
 (per day, month or group), never on fact rows.
+
+Measures that add up take an aggregate kept by ``operators.aggregates`` in place
+of the fact, too: its columns hold what they would sum.
 """
 
 from __future__ import annotations
@@ -19,6 +22,55 @@ def money_sum(c: str) -> Column:
     return F.sum(fn.money(c))
 
 
+def _late_days() -> Column:
+    return F.when(F.col("days_late") > 0, F.col("days_late")).cast("long")
+
+
+#: What adds up over fact rows: column of an aggregate -> its value over lines.
+_ADDITIVE = {
+    "_lines": lambda: F.count(F.lit(1)),
+    "_revenue": lambda: money_sum("net_revenue"),
+    "_on_time": lambda: F.count_if(~F.col("is_late_delivery")),
+    "_late": lambda: F.count_if(F.col("is_late_delivery")),
+    "_returned": lambda: F.count_if(F.col("is_returned")),
+    "_sum_to_ship": lambda: F.sum(F.col("days_to_ship").cast("long")),
+    "_n_to_ship": lambda: F.count("days_to_ship"),
+    "_sum_in_transit": lambda: F.sum(F.col("days_in_transit").cast("long")),
+    "_n_in_transit": lambda: F.count("days_in_transit"),
+    "_sum_late_days": lambda: F.sum(_late_days()),
+    "_n_late_days": lambda: F.count(_late_days()),
+}
+ORDERS = "_orders"
+
+
+def is_aggregate(df: DataFrame) -> bool:
+    return "_lines" in df.columns
+
+
+def added(df: DataFrame, name: str) -> Column:
+    """One of the additive values over rows of the fact or of an aggregate."""
+    if not is_aggregate(df):
+        return _ADDITIVE[name]()
+    if name == "_revenue":
+        return F.sum(name).cast("decimal(22,2)")
+    # A sum of no value is NULL, a count of nothing 0.
+    return F.sum(name) if name.startswith("_sum") else F.coalesce(F.sum(name), F.lit(0).cast("long"))
+
+
+def additive_columns(fact: DataFrame) -> list[Column]:
+    return [added(fact, n).alias(n) for n in _ADDITIVE]
+
+
+def order_number(df: DataFrame) -> Column:
+    """Number of orders: distinct keys over lines, a sum over an aggregate whose
+    groups share no order."""
+    if not is_aggregate(df):
+        return F.countDistinct("order_key")
+    if ORDERS not in df.columns:
+        raise ValueError("orders do not add up over this aggregate")
+    return F.coalesce(F.sum(ORDERS), F.lit(0).cast("long"))
+
+
 def ratio(num: Column, den: Column) -> Column:
     """num / den as double; NULL when den is 0 or NULL."""
     return fn.safe_divide(num.cast("double"), den.cast("double"))
@@ -47,10 +99,8 @@ def overview(fact: DataFrame, **slicers) -> DataFrame:
     (mean of per-order sums = total / orders) and on-time rate (lines not
     late over all lines; a NULL flag counts in the denominator)."""
     f = slice_fact(fact, **slicers)
-    agg = f.agg(money_sum("net_revenue").alias("rev"),
-                F.countDistinct("order_key").alias("order_count"),
-                F.count_if(~F.col("is_late_delivery")).alias("on_time"),
-                F.count(F.lit(1)).alias("lines"))
+    agg = f.agg(added(f, "_revenue").alias("rev"), order_number(f).alias("order_count"),
+                added(f, "_on_time").alias("on_time"), added(f, "_lines").alias("lines"))
     return agg.select(
         F.col("rev").cast("double").alias("total_revenue"),
         "order_count",
@@ -88,7 +138,7 @@ def revenue_by_month(fact: DataFrame, **slicers) -> DataFrame:
     show 0) and month-over-month change. The grid and the lag run on the
     monthly aggregate: one row per month."""
     fact = slice_fact(fact, **slicers)
-    monthly = fact.groupBy(_month_start().alias("month_start")).agg(money_sum("net_revenue").alias("rev"))
+    monthly = fact.groupBy(_month_start().alias("month_start")).agg(added(fact, "_revenue").alias("rev"))
     grid = monthly.agg(F.min("month_start").alias("lo"), F.max("month_start").alias("hi")).select(
         F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("month_start"))
     dense = grid.join(monthly, "month_start", "left").withColumn(
@@ -114,7 +164,7 @@ def revenue_yoy(fact: DataFrame, grain: str = "month", **slicers) -> DataFrame:
         period = F.trunc(F.col("order_date"), "year")
     else:
         raise ValueError("grain must be day, month or year")
-    per = slice_fact(fact, **slicers).groupBy(period.alias("period_start")).agg(money_sum("net_revenue").alias("rev"))
+    per = slice_fact(fact, **slicers).groupBy(period.alias("period_start")).agg(added(fact, "_revenue").alias("rev"))
     ly = per.select(F.add_months("period_start", 12).alias("period_start"),
                     F.col("rev").alias("ly_rev"))
     if grain == "day":
@@ -131,7 +181,7 @@ def revenue_to_date(fact: DataFrame, period: str = "month", **slicers) -> DataFr
     or quarter. The window runs on daily sums (at most 92 rows per group)."""
     if period not in ("month", "quarter"):
         raise ValueError("period must be month or quarter")
-    daily = slice_fact(fact, **slicers).groupBy("order_date").agg(money_sum("net_revenue").alias("rev"))
+    daily = slice_fact(fact, **slicers).groupBy("order_date").agg(added(fact, "_revenue").alias("rev"))
     start = F.trunc("order_date", "month" if period == "month" else "quarter")
     w = (Window.partitionBy(start).orderBy("order_date")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -146,7 +196,7 @@ def revenue_share(fact: DataFrame, by: str, **slicers) -> DataFrame:
     The total is a one-row aggregate broadcast to the grouped rows (its size
     is exactly one row), so the share needs no single-partition window even
     when ``by`` has many values."""
-    g = slice_fact(fact, **slicers).groupBy(by).agg(money_sum("net_revenue").alias("rev"))
+    g = slice_fact(fact, **slicers).groupBy(by).agg(added(fact, "_revenue").alias("rev"))
     total = g.agg(F.sum("rev").alias("total")).withColumn("_one", F.lit(1))
     j = g.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
     return j.select(by, F.col("rev").cast("double").alias("revenue"),
@@ -157,16 +207,10 @@ def shipping_kpis(fact: DataFrame, **slicers) -> DataFrame:
     """Average days to ship / in transit, late share, return rate,
     and average days late over late lines (days_late > 0)."""
     f = slice_fact(fact, **slicers)
-    late_days = F.when(F.col("days_late") > 0, F.col("days_late"))
-    a = f.agg(F.sum(F.col("days_to_ship").cast("long")).alias("s_ship"),
-              F.count("days_to_ship").alias("n_ship"),
-              F.sum(F.col("days_in_transit").cast("long")).alias("s_transit"),
-              F.count("days_in_transit").alias("n_transit"),
-              F.count_if(F.col("is_late_delivery")).alias("late"),
-              F.count_if(F.col("is_returned")).alias("returned"),
-              F.sum(late_days.cast("long")).alias("s_late_days"),
-              F.count(late_days).alias("n_late_days"),
-              F.count(F.lit(1)).alias("lines"))
+    a = f.agg(*[added(f, n).alias(name) for name, n in (
+        ("s_ship", "_sum_to_ship"), ("n_ship", "_n_to_ship"), ("s_transit", "_sum_in_transit"),
+        ("n_transit", "_n_in_transit"), ("late", "_late"), ("returned", "_returned"),
+        ("s_late_days", "_sum_late_days"), ("n_late_days", "_n_late_days"), ("lines", "_lines"))])
     return a.select(
         ratio(F.col("s_ship"), F.col("n_ship")).alias("avg_days_to_ship"),
         ratio(F.col("s_transit"), F.col("n_transit")).alias("avg_transit_days"),
@@ -178,9 +222,9 @@ def shipping_kpis(fact: DataFrame, **slicers) -> DataFrame:
 
 def on_time_by(fact: DataFrame, by: str = "ship_mode", **slicers) -> DataFrame:
     """On-time and late lines per group."""
-    g = slice_fact(fact, **slicers).groupBy(by).agg(F.count(F.lit(1)).alias("lines"),
-                             F.count_if(~F.col("is_late_delivery")).alias("on_time_lines"),
-                             F.count_if(F.col("is_late_delivery")).alias("late_lines"))
+    g = slice_fact(fact, **slicers).groupBy(by).agg(
+        added(fact, "_lines").alias("lines"), added(fact, "_on_time").alias("on_time_lines"),
+        added(fact, "_late").alias("late_lines"))
     return g.withColumn("on_time_rate", ratio(F.col("on_time_lines"), F.col("lines")))
 
 
@@ -197,10 +241,9 @@ def fulfillment_histogram(fact: DataFrame, cap: int = 14, **slicers) -> DataFram
 def late_by(fact: DataFrame, by: str = "product_material", **slicers) -> DataFrame:
     """Total lines, late lines, late share and average days late (late
     lines with days_late > 0) per group."""
-    late_days = F.when(F.col("days_late") > 0, F.col("days_late"))
-    g = slice_fact(fact, **slicers).groupBy(by).agg(F.count(F.lit(1)).alias("total_lines"),
-                             F.count_if(F.col("is_late_delivery")).alias("late_lines"),
-                             F.sum(late_days.cast("long")).alias("s"), F.count(late_days).alias("n"))
+    g = slice_fact(fact, **slicers).groupBy(by).agg(
+        added(fact, "_lines").alias("total_lines"), added(fact, "_late").alias("late_lines"),
+        added(fact, "_sum_late_days").alias("s"), added(fact, "_n_late_days").alias("n"))
     return g.select(by, "total_lines", "late_lines",
                     ratio(F.col("late_lines"), F.col("total_lines")).alias("late_rate"),
                     ratio(F.col("s"), F.col("n")).alias("avg_days_late"))
@@ -214,7 +257,7 @@ def tier_revenue_by_quarter(fact: DataFrame, dim_customer: DataFrame, **slicers)
     the join sees one row per customer and quarter instead of every line.
     """
     q = F.trunc("order_date", "quarter")
-    pre = slice_fact(fact, **slicers).groupBy("customer_sk", q.alias("quarter_start")).agg(money_sum("net_revenue").alias("rev"))
+    pre = slice_fact(fact, **slicers).groupBy("customer_sk", q.alias("quarter_start")).agg(added(fact, "_revenue").alias("rev"))
     dc = dim_customer.select("customer_sk", "account_tier")
     j = pre.join(dc, "customer_sk", "left").withColumn(
         "account_tier", F.coalesce(F.col("account_tier"), F.lit("Unknown")))
@@ -226,8 +269,8 @@ def tier_revenue_by_quarter(fact: DataFrame, dim_customer: DataFrame, **slicers)
 
 def customer_revenue(fact: DataFrame) -> DataFrame:
     """Net revenue and orders per customer key of the fact (partial aggregate)."""
-    return fact.groupBy("customer_sk").agg(money_sum("net_revenue").alias("rev"),
-                                           F.countDistinct("order_key").alias("order_count"))
+    return fact.groupBy("customer_sk").agg(added(fact, "_revenue").alias("rev"),
+                                           order_number(fact).alias("order_count"))
 
 
 def segment_box_plot(fact: DataFrame, dim_customer: DataFrame, **slicers) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql.types import DateType, NumericType
 
 from ..session import delete_path, folder_names, scratch_path
 from . import versions
+from .quality import Check, observed
 
 PARTITION_COL = "order_month"
 CLUSTER_COLS = ("order_date", "market_segment")
@@ -32,13 +33,16 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def write_table(df: DataFrame, path: str) -> None:
+def write_table(df: DataFrame, path: str, checks: list[Check] | None = None) -> dict[str, int]:
     """B2: full rebuild of a table, as its next version. A failed job leaves the
-    table as it was, and the new rows may be built from those they replace."""
+    table as it was, and the new rows may be built from those they replace.
+    The failures of row-local ``checks`` are counted by the write and returned."""
     spark = df.sparkSession
     before = versions.current(spark, path)
-    name, parts = versions.write_parts(df, path, None)
+    rows, counted = observed(df, checks or [])
+    name, parts = versions.write_parts(rows, path, None)
     versions.publish(spark, path, before, df.schema, None, {p: [name] for p in parts})
+    return counted()
 
 
 def write_history(closed: DataFrame, open_: DataFrame, path: str, based_on: versions.Version | None,
@@ -212,7 +216,7 @@ def _months_of_orders(target: DataFrame, updates: DataFrame, locator: str, parti
 
 def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
            key: str = "order_line_sk", partition_col: str = PARTITION_COL,
-           locator: str = "order_key") -> dict:
+           locator: str = "order_key", staged: bool = False) -> dict:
     """B3 + B5: keyed upsert of ``updates`` into the table at ``target_path``;
     matches are replaced, new keys inserted, nothing deleted.
 
@@ -227,7 +231,8 @@ def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
     locators). Moved rows are found by it: 8 bytes a row, skipped by row-group
     ranges, instead of the key hashes of the whole target. It loses nothing: it
     can only touch partitions too many. Without such a column on both sides the
-    key itself is used.
+    key itself is used. ``staged`` says that the updates are read from files,
+    so that they need no copy.
     """
     if partition_col not in updates.columns:
         updates = with_order_month(updates)
@@ -241,10 +246,11 @@ def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
     # and it is read several times below (key check, touched partitions,
     # merge). The staged copy also fixes its content if a task has to be
     # recomputed.
-    batch_path = scratch_path(spark, "upsert-batch")
-    schema = updates.schema
-    updates.write.mode("overwrite").parquet(batch_path)
-    updates = spark.read.schema(schema).parquet(batch_path)
+    batch_path = None if staged else scratch_path(spark, "upsert-batch")
+    if batch_path:
+        schema = updates.schema
+        updates.write.mode("overwrite").parquet(batch_path)
+        updates = spark.read.schema(schema).parquet(batch_path)
     assert_unique_keys(updates, key)
     target = versions.read(spark, target_path, version)
     if locator not in updates.columns or locator not in target.columns:
@@ -260,9 +266,9 @@ def upsert(spark: SparkSession, updates: DataFrame, target_path: str,
     merged = kept.unionByName(updates, allowMissingColumns=True)
     name, written = versions.write_parts(_clustered(merged), target_path, partition_col)
     parts = {p: f for p, f in version.parts.items() if p not in names} | {p: [name] for p in written}
-    versions.publish(spark, target_path, version, merged.schema, partition_col, parts)
-    # The staged copy is read by nothing after the write.
-    delete_path(spark, batch_path)
+    versions.publish(spark, target_path, version, merged.schema, partition_col, parts, version.notes)
+    if batch_path:                  # read by nothing after the write
+        delete_path(spark, batch_path)
     return {"first_load": False, "touched": touched,
             "removed": [v for v, p in zip(touched, names) if p not in written and p in version.parts]}
 

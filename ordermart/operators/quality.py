@@ -10,9 +10,11 @@ own aggregate or anti join.
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import core as fn
@@ -195,7 +197,8 @@ def union_failures(*dfs: DataFrame) -> DataFrame:
 
 
 def orphan_fks(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-               dim_date: DataFrame, check_ship_date: bool = False, written: bool = False) -> DataFrame:
+               dim_date: DataFrame, check_ship_date: bool = False, written: bool = False,
+               carry: list[str] | None = None) -> DataFrame:
     """Q10 (D10): orphan customer, product and order-date keys (unknown member
     allowed). Keys are compared as text (the string keys' unknown member is
     '-1', the date key's -1).
@@ -204,7 +207,8 @@ def orphan_fks(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
     into (key column, value) pairs, made distinct (a partial aggregate), and
     anti-joined with the dimensions' keys tagged the same way. Only orphan
     pairs are joined back to the fact rows; when there are none, AQE drops
-    that join. ``written`` says that the fact is read from files; otherwise its
+    that join. ``carry`` names further columns of the fact to return.
+    ``written`` says that the fact is read from files; otherwise its
     key columns are stored first, so that the fact is computed once.
     """
     specs = [("customer_sk", dim_customer, "customer_sk", "dim_customer"),
@@ -212,15 +216,16 @@ def orphan_fks(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
              ("order_date_sk", dim_date, "date_sk", "dim_date")]
     if check_ship_date:
         specs.append(("ship_date_sk", dim_date, "date_sk", "dim_date"))
+    carry = carry or []
     if not written:
         # The keys are read twice: compute the fact once and keep its keys.
         path = scratch_path(fact.sparkSession, "fact-keys")
-        keys_only = fact.select("order_line_sk", *[fk for fk, *_ in specs])
+        keys_only = fact.select("order_line_sk", *[fk for fk, *_ in specs], *carry)
         keys_only.write.parquet(path)
         fact = fact.sparkSession.read.schema(keys_only.schema).parquet(path)
     stack = F.expr("stack({}, {}) as (fk, fk_value)".format(
         len(specs), ", ".join(f"'{fk}', cast({fk} as string)" for fk, *_ in specs)))
-    pairs = fact.select("order_line_sk", stack)
+    pairs = fact.select("order_line_sk", *carry, stack)
     # '-1' is the unknown member of every key (string keys '-1', date keys -1).
     known = F.col("fk_value") != F.lit(fn.UNKNOWN_MEMBER_KEY)
     keys = pairs.where(known).select("fk", "fk_value").distinct()
@@ -234,7 +239,7 @@ def orphan_fks(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
     return rows.select(
         "order_line_sk", "fk_value", dim_name.alias("failed_dimension"),
         F.concat(F.col("fk"), F.lit(" "), F.col("fk_value"), F.lit(" not found in "), dim_name)
-        .alias("reason"))
+        .alias("reason"), *carry)
 
 
 # ---------------------------------------------------------------------------
@@ -286,7 +291,7 @@ class Check:
 ROW_LOCAL = ("not_null", "accepted_values", "expression_is_true", "row_condition")
 
 
-def _row_failure(check: Check) -> Column:
+def row_failure(check: Check) -> Column:
     c = F.col(check.column)
     if check.kind == "not_null":
         return c.isNull()
@@ -299,6 +304,22 @@ def _row_failure(check: Check) -> Column:
     raise ValueError(check.kind)
 
 
+def observed(df: DataFrame, checks: list[Check]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``df`` that counts the failing rows of row-local checks while it is
+    written, and the counts by check name, there once the write is done.
+
+    To be applied right below the write: there a row passes once, and what a
+    failed or repeated task has counted does not count. Below a shuffle a stage
+    that runs again would count again.
+    """
+    checks = [c for c in checks if c.kind in ROW_LOCAL]
+    if not checks:
+        return df, dict
+    seen = Observation(f"checks-{uuid.uuid4().hex[:12]}")
+    named = df.observe(seen, *[F.count_if(row_failure(c)).alias(f"c{i}") for i, c in enumerate(checks)])
+    return named, lambda: {c.name: seen.get[f"c{i}"] for i, c in enumerate(checks)}
+
+
 def check_failures(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
     """The failing rows of one declared check."""
     df = tables[check.table]
@@ -355,6 +376,12 @@ INVALID_STATUS_FAIL = ("order_status IS NULL OR order_status NOT IN ("
                        + ", ".join(f"'{v}'" for v in fn.VALID_ORDER_STATUSES) + ")")
 
 
+FACT_ROW_CHECKS = [
+    Check("fact_orders", "", "row_condition", POSITIVE_AMOUNTS_FAIL, label="positive_order_amounts"),
+    Check("fact_orders", "", "row_condition", INVALID_STATUS_FAIL, label="valid_order_status"),
+]
+
+
 def mart_checks(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
                 dim_date: DataFrame, written: bool = False) -> tuple[list[Check], dict[str, DataFrame], dict[str, DataFrame]]:
     """The hand-written checks on the marts (Q7-Q10) for the suite report.
@@ -365,10 +392,7 @@ def mart_checks(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame
     failing-row sets counted on their own. ``failing rows`` maps every check
     to the operator's own output (with its reason column) for storing.
     """
-    row_checks = [
-        Check("fact_orders", "", "row_condition", POSITIVE_AMOUNTS_FAIL, label="positive_order_amounts"),
-        Check("fact_orders", "", "row_condition", INVALID_STATUS_FAIL, label="valid_order_status"),
-    ]
+    row_checks = FACT_ROW_CHECKS
     singular = {
         "scd2_no_gaps": scd2_gaps(dim_customer, "inclusive"),
         "fact_dimension_keys": orphan_fks(fact, dim_customer, dim_product, dim_date, written=written),
@@ -380,7 +404,8 @@ def mart_checks(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame
 
 def run_checks(tables: dict[str, DataFrame], checks: list[Check],
                singular: dict[str, DataFrame] | None = None,
-               singular_severity: str = "warn") -> DataFrame:
+               singular_severity: str = "warn", known: dict[str, int] | None = None,
+               same_key: dict[str, str] | None = None) -> DataFrame:
     """Q12: one row per check: failures (failing rows; for unique, repeated
     values) and status pass / warn / error.
 
@@ -390,12 +415,21 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check],
     relationship checks run as their own anti join. ``singular`` adds hand-written checks given as
     failing-row DataFrames (kind 'singular', table 'marts'). All parts are
     unioned into one small DataFrame.
+
+    ``known`` holds the failures of checks that were counted while their table
+    was written (``observed``) or are kept with it (``check_state``): no table is
+    read for them. ``same_key`` maps the name of a unique check to that of
+    another one whose column holds the same values, so that they are counted once.
     """
     spark = next(iter(tables.values())).sparkSession
-    singular = singular or {}
+    all_checks, known, same_key = checks, known or {}, same_key or {}
+    singular = {n: d for n, d in (singular or {}).items()}
+    checks = [c for c in checks if c.name not in known and c.name not in same_key]
     counts: list[DataFrame] = [
         failing.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check_name"), "failures")
-        for name, failing in singular.items()]
+        for name, failing in singular.items() if name not in known]
+    if known:
+        counts.append(spark.createDataFrame(list(known.items()), "check_name string, failures long"))
     by_table: dict[str, list[Check]] = {}
     uniques = [c for c in checks if c.kind == "unique"]
     if uniques:
@@ -407,13 +441,21 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check],
             counts.append(check_failures(c, tables).agg(F.count(F.lit(1)).alias("failures"))
                           .select(F.lit(c.name).alias("check_name"), "failures"))
     for table, group in by_table.items():
-        aggs = [F.count_if(_row_failure(c)).alias(f"c{i}") for i, c in enumerate(group)]
+        aggs = [F.count_if(row_failure(c)).alias(f"c{i}") for i, c in enumerate(group)]
         wide = tables[table].agg(*aggs)
         stack = F.expr("stack({}, {}) as (check_name, failures)".format(
             len(group), ", ".join(f"'{c.name}', c{i}" for i, c in enumerate(group))))
         counts.append(wide.select(stack))
+    if not counts:
+        counts = [spark.createDataFrame([], "check_name string, failures long")]
     all_counts = union_failures(*counts)
-    rows = _report_rows(spark, checks, all_counts, singular, singular_severity)
+    if same_key:
+        # Every name that a count stands for, as one short array.
+        names = {of: [of, *[n for n, o in same_key.items() if o == of]] for of in same_key.values()}
+        stands_for = F.create_map(*[x for of, all_ in names.items() for x in (F.lit(of), F.array(*map(F.lit, all_)))])
+        all_counts = all_counts.select(
+            F.explode(F.coalesce(stands_for[F.col("check_name")], F.array("check_name"))).alias("check_name"), "failures")
+    rows = _report_rows(spark, all_checks, all_counts, singular, singular_severity)
     status = F.when(F.col("failures") == 0, "pass").otherwise(F.col("severity"))
     return rows.select("check_name", "table_name", "column_name", "kind", "detail",
                        "severity", F.col("failures").cast("long").alias("failures"),

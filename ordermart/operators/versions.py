@@ -73,6 +73,11 @@ def current(spark: SparkSession, path: str) -> Version | None:
     return _load(spark, path, numbers[-1]) if numbers else None
 
 
+def numbered(spark: SparkSession, path: str, number: int | None) -> Version | None:
+    """An older version, if it is still kept."""
+    return _load(spark, path, number) if number in _numbers(spark, path) else None
+
+
 def publish(spark: SparkSession, path: str, based_on: Version | None, schema: StructType, partition: str | None,
             parts: dict[str, list[str]], notes: dict | None = None) -> Version:
     """Make a state of the table its next version."""

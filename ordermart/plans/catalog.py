@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import core as fn
-from ..operators import (dimensions, enrich, facts, kpi, load, monitor, quality, scd2,
+from ..operators import (aggregates, dimensions, enrich, facts, kpi, load, monitor, quality, scd2,
                          staging)
 from ..session import scratch_path
 from . import build
@@ -32,6 +32,8 @@ DEFECT_STEPS = (97, 89, 101, 103, 107, 109, 113)   # order keys divisible by the
 REFRESH_DAYS_BEFORE_END = 400           # the full refresh keeps orders up to this many days before the newest
 UPSERT_FIRST_LOAD_DAYS_BEFORE_END = 30  # the first load stops this many days before the newest order
 LOOKBACK_DAYS = 3
+MOVED_EVERY, MOVED_DAYS = 7, 40         # orders whose first date is wrong, and by how much
+FAILURES_SHOWN = 500
 
 
 def query(name: str):
@@ -265,6 +267,14 @@ def q_stored_failures(spark, d):
     return spark.read.parquet(path)
 
 
+@query("sampled_failures")
+def q_sampled_failures(spark, d):
+    """The capped display of a check's failing rows (E8), by line key."""
+    path = load.store_failures(quality.positive_amounts(planted_defects(_m(spark, d).fact)),
+                               scratch_path(spark, "failures"), "positive_order_amounts")
+    return load.sample_failures(spark.read.parquet(path).orderBy("order_key", "line_number"), FAILURES_SHOWN)
+
+
 # --- scalar functions over table data ------------------------------------
 
 @query("surrogate_keys")
@@ -303,12 +313,18 @@ def q_fiscal_calendar(spark, d):
 def _suite(spark, d, kind: str | None) -> DataFrame:
     m = _m(spark, d)
     checks = quality.DECLARED_CHECKS if kind is None else quality.checks_of(kind)
+    known: dict[str, int] = {}
     if kind is None:                # every model is checked in several ways: compute each once
-        for name in ("stg_customers", "stg_products", "dim_customer"):
-            m.store(name)
-    if len({c.table for c in checks} & {"int_orders_enriched", "fact_orders"}) > 0:
-        m.stored_order_lines()      # checked as lines and as fact
-    return quality.run_checks(m.check_tables(), checks)
+        for name in ("stg_orders", "stg_customers", "stg_products", "dim_customer"):
+            known |= m.store(name, [c for c in checks if c.table == name])
+    tables = {c.table for c in checks}
+    same_key = {}
+    if tables & {"int_orders_enriched", "fact_orders"}:      # checked as lines and as fact
+        known |= m.stored_order_lines([c for c in checks if c.table == "int_orders_enriched"])
+        # The fact is a projection of these rows, so its line keys are theirs.
+        same_key = {c.name: c.name.replace("fact_orders", "int_orders_enriched") for c in checks
+                    if c.kind == "unique" and c.table == "fact_orders" and c.column == "order_line_sk"}
+    return quality.run_checks(m.check_tables(), checks, known=known, same_key=same_key)
 
 
 @query("dq_not_null")
@@ -522,6 +538,41 @@ def q_tier_migration(spark, d):
     return kpi.tier_migration(_m(spark, d).dim_customer)
 
 
+def _maintained(spark, d, shape: str) -> DataFrame:
+    """An aggregate kept over a first load in which every seventh order has a wrong
+    date, and over the upsert that corrects it: rows move between months."""
+    m = _m(spark, d)
+    m.stored_order_lines()
+    path, out = scratch_path(spark, "fact_moved"), scratch_path(spark, "aggregates")
+    wrong = F.col("order_key") % MOVED_EVERY == 0
+    load.write_fact(m.fact.withColumn("order_date", F.when(wrong, F.date_add("order_date", MOVED_DAYS))
+                                      .otherwise(F.col("order_date"))), path, key="order_line_sk")
+    aggregates.refresh(spark, path, out, [shape])
+    load.upsert(spark, m.fact.where(wrong), path, staged=True)
+    aggregates.refresh(spark, path, out, [shape])
+    return aggregates.read(spark, out, shape)
+
+
+@query("maintained_kpi_overview")
+def q_maintained_kpi_overview(spark, d):
+    return kpi.overview(_maintained(spark, d, "daily"))
+
+
+@query("maintained_revenue_by_month")
+def q_maintained_revenue_by_month(spark, d):
+    return kpi.revenue_by_month(_maintained(spark, d, "daily"))
+
+
+@query("maintained_late_by_material")
+def q_maintained_late_by_material(spark, d):
+    return kpi.late_by(_maintained(spark, d, "by_mode_and_material"), "product_material")
+
+
+@query("maintained_top_customers")
+def q_maintained_top_customers(spark, d):
+    return kpi.top_customers(_maintained(spark, d, "customer"), _m(spark, d).dim_customer, 20)
+
+
 @query("weighted_rates")
 def q_weighted_rates(spark, d):
     return kpi.weighted_rates(_m(spark, d).fact, "market_segment")

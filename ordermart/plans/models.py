@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dimensions, enrich, facts, scd2, staging
+from ..operators import dimensions, enrich, facts, quality, scd2, staging
 from ..session import scratch_path
 from ..sources import colocate, tables as src
 
@@ -33,7 +33,6 @@ class Models:
         self.loaded_at = loaded_at
         self.renumber_lines = renumber_lines
         self.use_history = use_history
-        self._window: tuple | None = None
 
     # sources -----------------------------------------------------------
     @cached_property
@@ -158,13 +157,13 @@ class Models:
     def fact(self) -> DataFrame:
         return facts.fact_orders(self.enriched_with_sk, self.loaded_at)
 
-    def fact_since(self, start, customer_keys: DataFrame | None = None,
-                   products: DataFrame | None = None) -> DataFrame:
-        """The fact rows of orders from ``start`` on (None: all), at the cost
-        of that window: its orders are stored first, so the planner knows how
-        few they are, and the line items are cut to them by a semi join before
-        any shuffle or computation. ``customer_keys`` and ``products`` may come
-        from written dimensions."""
+    def window_lines(self, start, customer_keys: DataFrame | None = None,
+                     products: DataFrame | None = None) -> DataFrame:
+        """The order lines (with customer_sk) of orders from ``start`` on (None:
+        all), at the cost of that window: its orders are stored first, so the
+        planner knows how few they are, and the line items are cut to them by a
+        semi join before any shuffle or computation. ``customer_keys`` and
+        ``products`` may come from written dimensions."""
         keys = customer_keys if customer_keys is not None else facts.current_customer_keys(self.dim_customer)
         products = products if products is not None else self.stg_products
         orders, (lines, hot) = self.stg_orders, self.line_parts
@@ -179,29 +178,29 @@ class Models:
             else:
                 lines, hot = enrich.line_items(src.lineitem(
                     self.spark, self.sf_dir, renumber_lines=self.renumber_lines, orders=wanted)), None
-        rows = enrich.orders_enriched(orders, self.stg_customers, products, lines, keys, hot_lines=hot)
-        self._window = (start, rows.drop("customer_sk"))
-        return facts.fact_orders(rows, self.loaded_at)
+        return enrich.orders_enriched(orders, self.stg_customers, products, lines, keys, hot_lines=hot)
 
-    def window_enriched(self, start) -> DataFrame:
-        """The order lines of the window that ``fact_since`` was asked for."""
-        if self._window is None or self._window[0] != start:
-            self.fact_since(start)
-        return self._window[1]
+    def fact_since(self, start, customer_keys: DataFrame | None = None,
+                   products: DataFrame | None = None) -> DataFrame:
+        """The fact rows of ``window_lines``."""
+        return facts.fact_orders(self.window_lines(start, customer_keys, products), self.loaded_at)
 
-    def store(self, name: str) -> None:
+    def store(self, name: str, checks: list[quality.Check] | None = None) -> dict[str, int]:
         """Compute one model once, in the shared scratch folder; models built on
-        it from now on read it there."""
+        it from now on read it there. Row-local ``checks`` are counted by the way."""
         path = scratch_path(self.spark, name)
         rows = getattr(self, name)
-        rows.write.parquet(path)
+        counting, counted = quality.observed(rows, checks or [])
+        counting.write.parquet(path)
         setattr(self, name, self.spark.read.schema(rows.schema).parquet(path))
+        return counted()
 
-    def stored_order_lines(self) -> None:
+    def stored_order_lines(self, checks: list[quality.Check] | None = None) -> dict[str, int]:
         """Compute the order lines once; the fact and the checks of this object
         then read them."""
-        self.store("enriched_with_sk")
+        known = self.store("enriched_with_sk", checks)
         self.enriched = self.enriched_with_sk.drop("customer_sk")
+        return known
 
     def check_tables(self) -> dict[str, DataFrame]:
         """Every table the declared checks name."""

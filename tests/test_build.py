@@ -31,6 +31,10 @@ def test_build_twice(spark, tmp_dir):
     assert fact2.count() == n                        # idempotent: updates replaced, nothing duplicated
     reloaded = fact2.where("_loaded_at > timestamp'2001-08-01 12:00:00'").count()
     assert 0 < reloaded < n                          # only the look-back window was rewritten
+    # all months were checked by the first run, then those that were written
+    assert first["checked_months"] == sorted(versions.current(spark, f"{out}/fact_orders").parts)
+    assert second["checked_months"] == sorted(f"order_month={m}" for m in second["fact_load"]["touched"])
+    assert second["checks"] == first["checks"]
     report = spark.read.parquet(f"{out}/check_report")
     assert report.count() == 131 + 4 + 8             # declared, hand-written, two-decimal guards
 
