@@ -21,7 +21,12 @@ def plan_text(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in ("fact_upsert", "daily_build_fact")))
+# Queries that load tables before they plan: their parts are planned by others.
+LOADS = ("fact_upsert", "daily_build_fact", "maintained_revenue_by_month", "maintained_late_by_material",
+         "maintained_top_customers", "fact_schema_drift")
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in LOADS))
 def test_no_python_in_plan(spark, name):
     text = plan_text(entry.queries()[name](spark, SF_SMALL))
     assert not any(node in text for node in PYTHON_NODES), name
