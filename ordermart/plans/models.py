@@ -34,6 +34,14 @@ class Models:
         self.renumber_lines = renumber_lines
         self.use_history = use_history
 
+    def over_same_sources(self) -> "Models":
+        """Models of their own over the source tables of this object."""
+        new = Models(self.spark, self.sf_dir, self.as_of, self.loaded_at, self.renumber_lines, self.use_history)
+        for name in ("layout", "orders_src", "customer_src", "nation_src", "region_src", "part_src", "partsupp_src",
+                     "supplier_src", "lineitem_src", "history_snapshot"):
+            setattr(new, name, getattr(self, name))
+        return new
+
     # sources -----------------------------------------------------------
     @cached_property
     def layout(self) -> colocate.OrderLines | None:
