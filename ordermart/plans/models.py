@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dimensions, enrich, facts, quality, scd2, staging
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
 from ..sources import colocate, tables as src
 
 # Run date used wherever the reference uses the current date (driver data
@@ -33,6 +33,7 @@ class Models:
         self.loaded_at = loaded_at
         self.renumber_lines = renumber_lines
         self.use_history = use_history
+        self._scratch: list[str] = []
 
     def over_same_sources(self) -> "Models":
         """Models of their own over the source tables of this object."""
@@ -176,7 +177,7 @@ class Models:
         products = products if products is not None else self.stg_products
         orders, (lines, hot) = self.stg_orders, self.line_parts
         if start is not None:
-            path = scratch_path(self.spark, "window-orders")
+            path = self._scratch_path("window-orders")
             window = self.stg_orders.where(F.col("order_date") >= F.lit(start))
             window.write.parquet(path)
             orders = self.spark.read.schema(window.schema).parquet(path)
@@ -193,10 +194,19 @@ class Models:
         """The fact rows of ``window_lines``."""
         return facts.fact_orders(self.window_lines(start, customer_keys, products), self.loaded_at)
 
+    def _scratch_path(self, name: str) -> str:
+        self._scratch.append(scratch_path(self.spark, name))
+        return self._scratch[-1]
+
+    def release(self) -> None:
+        """Delete what this object has stored; its models cannot be read after."""
+        while self._scratch:
+            delete_path(self.spark, self._scratch.pop())
+
     def store(self, name: str, checks: list[quality.Check] | None = None) -> dict[str, int]:
         """Compute one model once, in the shared scratch folder; models built on
         it from now on read it there. Row-local ``checks`` are counted by the way."""
-        path = scratch_path(self.spark, name)
+        path = self._scratch_path(name)
         rows = getattr(self, name)
         counting, counted = quality.observed(rows, checks or [])
         counting.write.parquet(path)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from ordermart.operators import load, versions
 from ordermart.plans import build
 from ordermart.plans.models import Models
+from ordermart.session import checkpoint_root
 from ordermart.sources import tables as src
 from tests.conftest import SF_SMALL, rows
 
@@ -24,7 +27,11 @@ def test_build_twice(spark, tmp_dir):
     assert "expression_is_true__fact_orders__days_to_ship__ge_0" in first["checks"]["failed"]
     assert spark.read.parquet(f"{out}/check_failures/expression_is_true__fact_orders__days_to_ship__ge_0").count() > 0
 
+    scratch = lambda: {n for n in os.listdir(checkpoint_root(spark).removeprefix("file:"))
+                       if n.startswith(("enriched", "window-orders"))}
+    before = scratch()
     second = build.run(spark, SF_SMALL, out, loaded_at="2001-08-02 04:00:00", renumber_lines="skew_safe")
+    assert scratch() == before                      # a build leaves no lines behind
     assert not second["fact_load"]["first_load"]
     assert second["fact_load"]["touched"]           # the look-back window was re-processed
     fact2 = load.read_target(spark, f"{out}/fact_orders")
