@@ -7,15 +7,18 @@ refined by joining neighbours of neighbours: the lists that meet in a vector
 are compared with each other, and better neighbours replace worse ones, until
 hardly any list changes.  A list whose entries all are links is saturated and
 grows to twice its links; a vector with more links than the longest list is
-finished exactly, by comparing the members of its component block by block and
-counting.  So no list cuts a link off.
-
-The result is audited: a sample of vectors (of bounded size, spread by hash) is
-compared with all vectors, and while its recall is below the target the search
-goes on with longer lists and other planes.  Recall is the mean of the shares of
-each audited vector's linked vectors that were found, so that a vector with one
-link weighs as much as one with thousands; vectors counted block by block and
-all others are audited apart, and the worse of the two decides.
+finished exactly, by comparing it with the members of its component block by
+block and counting.  So no list cuts a link off.
+
+The result is audited: vectors drawn by hash are compared with all vectors, and
+while recall is below the target the search goes on with longer lists and other
+planes.  Recall is the mean of the shares of each audited vector's linked vectors
+that were found, so that a vector with one link weighs as much as one with
+thousands; vectors counted block by block and all others are audited apart, and
+the worse of the two decides.  Vectors without a link say nothing, so each part
+is drawn from until LINKED vectors with links are audited, or all of its vectors.
+The search ends when the mean reaches the target and its lower confidence bound
+LEAST; it fails when the bound is lower after the last round.
 
 Equal vectors are one vertex with a count.  A vector in many lists has its
 reverse neighbours dealt into chunks, each compared with its whole own list.
@@ -32,6 +35,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +45,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ordermart.llm.common import group_starts, stored, whole_groups
 from ordermart.llm.components import connected_components
 
+log = logging.getLogger(__name__)
+
 NEIGHBOURS = 10       # list length of a vector that is not saturated
 LONGEST = 64          # list length up to which saturated lists grow
 TABLES = 6            # sets of hyperplanes of one start
@@ -50,9 +56,13 @@ REVERSE_CHUNK = 64    # reverse neighbours compared at once
 BLOCK = 2048          # rows of a block in the exact count
 TURNS = 12            # refinement turns of one round, at most
 SETTLED = 0.005       # share of changed entries at which a round ends
-AUDIT = 400           # vectors audited, about
+AUDIT = 400           # vectors drawn at first from each part, about
+LINKED = 100          # audited vectors with links that a recall rests on
+ASKED_BYTES = 16 << 20   # audited vectors sent to the tasks at once
+CELLS = 1 << 22       # cosines a task holds at once in the audit
 TARGET = 0.98         # audited recall at which the search ends
-LEAST = 0.9           # audited recall below which the job fails after all rounds
+LEAST = 0.9           # lower bound of recall below which the job fails after all rounds
+BOUND_Z = 1.645       # of the bound: one-sided, 95 %
 ROUNDS = 5
 
 
@@ -215,7 +225,7 @@ def _refine(lists: DataFrame, vertices: DataFrame, threshold: float, neighbours:
 def _degrees(lists: DataFrame, vertices: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(rid, links, peers, exact) and (node, root): the links found of every
     vertex that has one, equal vectors apart, the vertices they lead to, and
-    whether they were counted in blocks; and the components."""
+    whether its component was counted in blocks; and the components."""
     ends = lists.where(F.col("s") >= threshold)
     both = (ends.select("u", "v").unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v")))
             .distinct())
@@ -224,17 +234,24 @@ def _degrees(lists: DataFrame, vertices: DataFrame, threshold: float) -> tuple[D
     weights = vertices.select(F.col("rid").alias("v"), "n")
     counted = (both.join(weights, "v").groupBy(F.col("u").alias("rid"))
                .agg(F.sum("n").alias("links"), F.count("*").alias("peers"), F.lit(False).alias("exact")))
-    # Lists that are full of links may have cut some: their components are counted out.
-    full = (ends.groupBy("u").agg(F.count("*").alias("k"), F.max("room").alias("room")).where("k >= room")
-            .select(F.col("u").alias("node")))
-    crowded = stored(roots.join(full, "node").select("root").distinct(), "crowded")
-    if crowded.isEmpty():
+    # Lists that are full of links may have cut some: what these vectors link with is
+    # counted out, among themselves and with the rest of their components.
+    full = stored(ends.groupBy("u").agg(F.count("*").alias("k"), F.max("room").alias("room")).where("k >= room")
+                  .select(F.col("u").alias("node")), "full")
+    if full.isEmpty():
         return counted, roots
-    members = stored(roots.join(crowded, "root").join(vertices.withColumnRenamed("rid", "node"), "node")
-                     .select("root", "node", "n", "vec"), "crowded-members")
-    exact = _count_in_blocks(members, threshold)
-    rest = counted.join(members.select(F.col("node").alias("rid")), "rid", "left_anti")
-    return rest.unionByName(exact.withColumn("exact", F.lit(True))), roots
+    placed = roots.join(vertices.withColumnRenamed("rid", "node"), "node").select("root", "node", "n", "vec")
+    crowded = stored(placed.join(full, "node", "left_semi"), "crowded")
+    beside = stored(placed.join(crowded.select("root").distinct(), "root", "left_semi")
+                    .join(full, "node", "left_anti"), "beside")
+    listed = (both.join(full.withColumnRenamed("node", "u"), "u", "left_anti")
+              .join(full.withColumnRenamed("node", "v"), "v", "left_anti").join(weights, "v")
+              .groupBy(F.col("u").alias("rid")).agg(F.sum("n").alias("links"), F.count("*").alias("peers")))
+    parts = (listed.withColumn("exact", F.lit(False))
+             .unionByName(_count_in_blocks(crowded, threshold).withColumn("exact", F.lit(True)))
+             .unionByName(_count_between(crowded, beside, threshold).withColumn("exact", F.lit(True))))
+    return (parts.groupBy("rid").agg(F.sum("links").alias("links"), F.sum("peers").alias("peers"),
+                                     F.max("exact").alias("exact")), roots)
 
 
 def _count_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
@@ -274,14 +291,51 @@ def _count_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
             .groupBy("rid").agg(F.sum("links").alias("links"), F.sum("peers").alias("peers")))
 
 
+def _count_between(crowded: DataFrame, beside: DataFrame, threshold: float) -> DataFrame:
+    """(rid, links, peers) of the links between the vectors ``crowded`` and the
+    vectors ``beside`` them in their components (both root, node, n, vec), by
+    pairs of blocks."""
+    blocks = F.ceil(F.count("*") / BLOCK).cast("int")
+    sizes = (crowded.groupBy("root").agg(blocks.alias("left"))
+             .join(beside.groupBy("root").agg(blocks.alias("right")), "root"))
+
+    def dealt(rows: DataFrame, asks: bool) -> DataFrame:
+        own, other = ("left", "right") if asks else ("right", "left")
+        named = rows.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("node"), own).cast("int"))
+        named = named.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        at = {"a": "own", "b": "other"} if asks else {"a": "other", "b": "own"}
+        return named.select("root", *[F.col(c).alias(k) for k, c in at.items()], F.lit(asks).alias("asks"),
+                            "node", "n", "vec")
+
+    group = ["root", "a", "b"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, group):
+            starts = group_starts(t, group)
+            node, n = t.column("node").to_numpy(), t.column("n").to_numpy()
+            asks = t.column("asks").to_numpy()
+            for a, b in zip(starts, [*starts[1:], t.num_rows]):
+                ask = asks[a:b]
+                if ask.all() or not ask.any():
+                    continue
+                x = _matrix(t.column("vec").slice(a, b - a))
+                linked = (x[ask] @ x[~ask].T) >= threshold
+                ids = np.concatenate([node[a:b][ask], node[a:b][~ask]])
+                sums = np.concatenate([linked @ n[a:b][~ask], n[a:b][ask] @ linked])
+                peers = np.concatenate([linked.sum(axis=1), linked.sum(axis=0)])
+                yield pa.record_batch({"rid": pa.array(ids), "links": pa.array(sums.astype(np.int64)),
+                                       "peers": pa.array(peers.astype(np.int64))})
+
+    return (dealt(crowded, True).unionByName(dealt(beside, False))
+            .repartition(*group).sortWithinPartitions(*group)
+            .mapInArrow(run, "rid long, links long, peers long"))
+
+
 # -- audit -------------------------------------------------------------------------
 
-def _true_peers(vertices: DataFrame, threshold: float, n: int) -> DataFrame:
-    """(rid, true_peers) of the audited vectors: how many of all vertices they
-    link with.  About AUDIT vectors are read to the driver and sent to the
-    tasks."""
-    pick = F.pmod(F.xxhash64("rid", F.lit("audit")), F.lit(max(1, n // AUDIT))) == 0
-    asked = vertices.where(pick).select("rid", "label", "dim", "vec").toArrow()
+def _true_peers(vertices: DataFrame, asked: pa.Table, threshold: float) -> DataFrame:
+    """(rid, true_peers) of the vectors ``asked``, which are sent to the tasks:
+    how many of all vertices they link with."""
     sent = vertices.sparkSession.sparkContext.broadcast(asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,19 +346,73 @@ def _true_peers(vertices: DataFrame, threshold: float, n: int) -> DataFrame:
         queries = {int(d): (np.flatnonzero(a_dims == d),
                             _matrix(asked.column("vec").take(pa.array(np.flatnonzero(a_dims == d)))))
                    for d in np.unique(a_dims)}
+        step = max(1, CELLS // max(1, len(a_rids)))
         for whole in batches:
             dims = whole.column("dim").to_numpy()
             for d, (rows, q) in queries.items():
-                batch = whole.filter(pa.array(dims == d))
-                if batch.num_rows:
+                mine = whole.filter(pa.array(dims == d))
+                for at in range(0, mine.num_rows, step):
+                    batch = mine.slice(at, step)
                     same = a_labels[rows][:, None] == batch.column("label").to_numpy()[None, :]
                     same &= a_rids[rows][:, None] != batch.column("rid").to_numpy()[None, :]
                     linked = same & (q @ _matrix(batch.column("vec")).T >= threshold)
                     sums[rows] += linked.sum(axis=1)
         yield pa.record_batch({"rid": pa.array(a_rids), "peers": pa.array(sums)})
 
-    return (vertices.select("rid", "label", "dim", "vec").mapInArrow(run, "rid long, peers long")
-            .groupBy("rid").agg(F.sum("peers").alias("true_peers")))
+    counted = stored(vertices.select("rid", "label", "dim", "vec").mapInArrow(run, "rid long, peers long")
+                     .groupBy("rid").agg(F.sum("peers").alias("true_peers")), "audit")
+    sent.destroy()
+    return counted
+
+
+def _asked(chosen: DataFrame, vertices: DataFrame, truth: DataFrame | None, threshold: float) -> DataFrame:
+    """``truth`` (rid, true_peers) with the ``chosen`` vectors it lacks.  They are
+    read to the driver and compared in blocks of bounded size."""
+    todo = chosen if truth is None else chosen.join(truth, "rid", "left_anti")
+    todo = stored(vertices.join(todo, "rid", "left_semi").select("rid", "label", "dim", "vec"), "asked")
+    n, dim = todo.agg(F.count("*"), F.coalesce(F.max("dim"), F.lit(1))).first()
+    blocks = -(-n * dim * 8 // ASKED_BYTES)
+    for b in range(blocks):
+        mine = F.pmod(F.xxhash64("rid", F.lit("block")), F.lit(blocks)) == b
+        found = _true_peers(vertices, todo.where(mine).toArrow(), threshold)
+        truth = found if truth is None else truth.unionByName(found)
+    return todo.selectExpr("rid", "0L true_peers") if truth is None else truth
+
+
+def _lower_bound(mean: float, number: int) -> float:
+    """Wilson's lower bound of a mean of ``number`` shares; shares between 0 and
+    1 vary no more than hits and misses of the same mean."""
+    z2 = BOUND_Z ** 2 / number
+    half = BOUND_Z * (mean * (1 - mean) / number + z2 / (4 * number)) ** 0.5
+    return (mean + z2 / 2 - half) / (1 + z2)
+
+
+def _audit(vertices: DataFrame, degrees: DataFrame, truth: DataFrame | None,
+           threshold: float) -> tuple[DataFrame, float, float]:
+    """(truth, recall, bound): recall of the worse part and the lower of the
+    parts' bounds.  A vector's place in the draw is a hash, so what was audited in
+    an earlier round is not compared again."""
+    lot = F.pmod(F.xxhash64("rid", F.lit("audit")), F.lit(1 << 30)) / (1 << 30)
+    counted = degrees.where("exact").select("rid")
+    recall = bound = 1.0
+    for name, part in (("counted", counted), ("listed", vertices.select("rid").join(counted, "rid", "left_anti"))):
+        part = stored(part, f"audit-{name}")
+        n = part.count()
+        share = min(1.0, AUDIT / max(1, n))
+        while n:
+            chosen = part.where(lot < share)
+            truth = _asked(chosen, vertices, truth, threshold)
+            linked = truth.where("true_peers > 0").join(chosen, "rid", "left_semi")
+            k = linked.count()
+            if k >= LINKED or share == 1.0:
+                break
+            share = min(1.0, share * min(16, max(2, 2 * LINKED / max(1, k))))
+        if n and k:
+            mean = _recall(linked, degrees)
+            least = mean if share == 1.0 else _lower_bound(mean, k)
+            log.info("recall of %s vectors: %.4f, at least %.4f, over %d of %d with links", name, mean, least, k, n)
+            recall, bound = min(recall, mean), min(bound, least)
+    return truth, recall, bound
 
 
 def _recall(truth: DataFrame, degrees: DataFrame) -> float:
@@ -325,8 +433,7 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "em
                   .withColumn("usable", F.col("label").isNotNull() & _usable("vec")), "vectors")
     vertices = _vertices(rows)
     n = vertices.count()
-    truth = stored(_true_peers(vertices, threshold, n), "audit")
-    lists = None
+    truth = lists = None
     for r in range(ROUNDS):
         started = _start(vertices, r, neighbours).withColumn("fresh", F.lit(True))
         if lists is not None:
@@ -335,12 +442,12 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "em
         lists = _refine(lists, vertices, threshold, neighbours, n)
         degrees, roots = _degrees(lists, vertices, threshold)
         degrees = stored(degrees, "degrees")
-        recall = _recall(truth, degrees)
-        if recall >= target:
+        truth, recall, bound = _audit(vertices, degrees, truth, threshold)
+        if recall >= target and bound >= LEAST:
             break
         neighbours *= 2
-    if recall < LEAST:
-        raise RuntimeError(f"audited recall {recall:.3f} is below {LEAST} after {ROUNDS} rounds")
+    if bound < LEAST:
+        raise RuntimeError(f"audited recall {recall:.3f}, at least {bound:.3f}, is below {LEAST} after {ROUNDS} rounds")
     return _result(rows, vertices, degrees, roots, id_col)
 
 

@@ -113,3 +113,45 @@ def test_lists_longer_than_the_longest_saturated(spark):
     want = brute(rows)
     assert max(w[1] for w in want) > 80
     assert found(spark, rows, neighbours=80) == want
+
+
+def test_few_links_in_a_large_table_are_audited(spark, monkeypatch):
+    """A start that misses 50 linked pairs among 20,000 vectors fails: vectors are
+    drawn until those with links are enough, not until 400 are drawn."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(20_000, 32)).astype(np.float32)
+    x[50:100] = x[:50] + rng.normal(size=(50, 32)).astype(np.float32) * 0.02
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    got = nn.near_duplicates(df).where("n_links > 0").select("vec_id", "n_links", "component_id").collect()
+    assert sorted(map(tuple, got)) == sorted((i, 1, i % 50) for i in range(100))
+    monkeypatch.setattr(nn, "_start", lambda vertices, seed, keep: spark.createDataFrame([], "u long, v long, s double"))
+    monkeypatch.setattr(nn, "ROUNDS", 1)
+    with pytest.raises(RuntimeError, match="recall"):
+        nn.near_duplicates(df)
+
+
+def test_lower_bound():
+    assert 0.97 < nn._lower_bound(1.0, 100) < 0.98 and nn._lower_bound(0.95, 100) < nn._lower_bound(0.95, 1000) < 0.95
+    assert nn._lower_bound(1.0, 1) < 0.5
+
+
+def test_audit_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nn, "ASKED_BYTES", 24 * 8 * 50)
+    monkeypatch.setattr(nn, "CELLS", 500)
+    monkeypatch.setattr(nn, "AUDIT", 20)
+    rows = clustered(13, [30, 12, 3, 2, 2] + [1] * 150)
+    assert found(spark, rows) == brute(rows)
+
+
+def test_saturated_vectors_beside_others_of_their_component(spark, monkeypatch):
+    """A chain from a group larger than any list out to vectors with one link."""
+    monkeypatch.setattr(nn, "BLOCK", 32)
+    rows = [(i, v, 1) for i, v, _ in clustered(17, [120], noise=0.03)]
+    step = np.float32(rows[0][1])
+    turn = np.random.default_rng(3).normal(size=24)
+    for i in range(5):
+        step = step + 0.06 * (i + 1) * turn / np.linalg.norm(turn) * np.linalg.norm(step)
+        rows.append((1000 + i, step.astype(np.float32).tolist(), 1))
+    want = brute(rows)
+    assert max(w[1] for w in want) > nn.LONGEST and len({w[2] for w in want}) < len(rows) - 110
+    assert found(spark, rows) == want
