@@ -181,3 +181,37 @@ def test_box_plot_counts_customers_without_a_segment(spark):
     dim = spark.createDataFrame([(f"c{i}", "BUILDING") for i in range(6)], "customer_sk string, market_segment string")
     got = {r.market_segment: r.n_customers for r in kpi.segment_box_plot(fact, dim).collect()}
     assert got == {"BUILDING": 6, "Unknown": 3}
+
+
+@pytest.mark.parametrize("sort_rows", [1, 50])
+def test_exact_quantiles_by_selection(spark, monkeypatch, sort_rows):
+    """Ranges narrow over several passes: outliers far apart, ties, one value,
+    infinities, a group without a name."""
+    from ordermart.operators import quantiles
+    monkeypatch.setattr(quantiles, "SORT_ROWS", sort_rows)
+    monkeypatch.setattr(quantiles, "BINS", 16)
+    rng = np.random.default_rng(4)
+    inf = float("inf")
+    groups = {"wide": [*rng.normal(size=300), 1e300, -1e300, 1e-300], "ties": [1.0] * 200 + [2.0] * 3, "one": [7.5],
+              None: rng.integers(0, 9, 150).astype(float).tolist(), "ends": [-inf, *rng.normal(size=40), inf, inf]}
+    rows = [(g, float(v)) for g, some in groups.items() for v in some] + [("one", None)]
+    probs = [0.1, 0.25, 0.5, 0.9]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r for r in quantiles.exact_quantiles(df, "g", "v", probs).collect()}
+    assert set(got) == set(groups)
+    for g, some in groups.items():
+        assert got[g].n == len(some)
+        for i, p in enumerate(probs):
+            assert got[g][f"q{i}"] == pytest.approx(np.quantile(some, p), rel=1e-12)
+
+
+def test_exact_quantiles_sort_no_whole_group(spark):
+    """With more rows than are sorted, the plan has no range exchange, and the
+    sort gets the rows of the last ranges only."""
+    from ordermart.operators import quantiles
+    df = spark.range(60_000).selectExpr("id % 2 g", "cast((id * 7919) % 60000 as double) v")
+    out = quantiles.exact_quantiles(df, "g", "v", [0.5])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    want = df.groupBy("g").agg(F.expr("percentile(v, 0.5)").alias("q0"))
+    assert sorted(map(tuple, out.select("g", "q0").collect())) == sorted(map(tuple, want.collect()))
