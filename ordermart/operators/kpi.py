@@ -278,9 +278,8 @@ def segment_box_plot(fact: DataFrame, dim_customer: DataFrame, **slicers) -> Dat
     1.5 x IQR fences and the number of customers outside them.
 
     Quartiles are exact (linear interpolation) and computed by
-    ``exact_quantiles``, which ranks values with a distributed sort, so a
-    segment holding most customers is spread over many tasks. Values are
-    rounded to 4 decimals (decimal(18,4)) and output as double.
+    ``exact_quantiles``, which narrows value ranges by counts, so a segment
+    holding most customers is neither gathered nor sorted. Values are rounded to 4 decimals (decimal(18,4)) and output as double.
     """
     from ..session import checkpoint_root
     from .quantiles import exact_quantiles
