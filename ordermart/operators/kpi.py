@@ -279,7 +279,8 @@ def segment_box_plot(fact: DataFrame, dim_customer: DataFrame, **slicers) -> Dat
 
     Quartiles are exact (linear interpolation) and computed by
     ``exact_quantiles``, which narrows value ranges by counts, so a segment
-    holding most customers is neither gathered nor sorted. Values are rounded to 4 decimals (decimal(18,4)) and output as double.
+    holding most customers is neither gathered nor sorted. Values are
+    rounded to 4 decimals (decimal(18,4)) and output as double.
     """
     from ..session import checkpoint_root
     from .quantiles import exact_quantiles
