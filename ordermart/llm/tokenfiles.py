@@ -21,21 +21,20 @@ Arrow's file systems open by URI.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ordermart.llm.common import open_folder, stored
+from ordermart.llm.common import lean, open_folder, stored
 from ordermart.session import scratch_path
 
 # Magic numbers of the zstandard formats.
@@ -47,9 +46,9 @@ CHECKSUM_FLAG = 0x80
 FRAME_BYTES = 1 << 18     # ids of one frame, before compression
 KEPT_CHUNKS = 1_500_000     # bound of a worker's table of encoded chunks
 LONG_CHUNK = 200          # longer chunks are encoded but not kept
-# Letters, then marks that begin no contraction and no special token: the
+# Marks behind letters that begin no contraction and no special token: the
 # tokenizer's own pre-tokenizer parts these.
-WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:;=>?@\[-`{}~]*)")
+MARKS = r"""!"#$%&()*+,-./:;=>?@[\]^_`{}~"""
 MANIFEST = "file string, part int, n_docs long, n_ids long, n_frames long, bytes long"
 
 
@@ -77,38 +76,52 @@ class ChunkEncoder:
         self.words: dict[str, bytes] = {}      # words and marks of chunks
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text."""
-        chunks = [t.replace("\n", " ").split(" ") for t in texts]
+        """Packed ids of each text. A chunk that texts repeat is looked up once:
+        Arrow numbers the chunks and numpy gathers their ids."""
+        parts = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        numbered = parts.flatten().dictionary_encode()
+        packed = self._packed(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        known = np.frombuffer(b"".join(packed), dtype="<u4")
+        chunk = numbered.indices.to_numpy()
+        n = sizes[chunk]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        at = np.repeat((np.cumsum(sizes) - sizes)[chunk] - ends[:-1], n)
+        at += np.arange(len(at))
+        ids = known[at]
+        cuts = ends[parts.offsets.to_numpy()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+    def _packed(self, chunks: list[str]) -> list[bytes]:
+        """Packed ids of different chunks, kept or new."""
         if len(self.kept) > KEPT_CHUNKS:
             self.kept.clear()
-        kept = self.kept
-        fresh = set(chain.from_iterable(chunks)).difference(kept)
-        long = {}
-        for c, ids in self._encode_chunks(fresh):
+        kept, long = self.kept, {}
+        for c, ids in self._encode_chunks({c for c in chunks if c not in kept}):
             (kept if len(c) <= LONG_CHUNK else long)[c] = ids
         if long:
-            return [b"".join([long[c] if c in long else kept[c] for c in cs]) for cs in chunks]
-        return [b"".join(map(kept.__getitem__, cs)) for cs in chunks]
+            return [long[c] if c in long else kept[c] for c in chunks]
+        return [*map(kept.__getitem__, chunks)]
 
     def _encode_chunks(self, chunks: set[str]) -> Iterator[tuple[str, bytes]]:
         """A word with marks behind it is two words to the library, and a
         capital is a small letter; so few of the chunks not met before hold a
         word not met before."""
-        parted, rest = {}, []
+        parted, rest = [], []
         for c in chunks:
-            m = WORD_AND_MARKS.fullmatch(c)
-            if m and m[1].isalpha():
-                parted[c] = (c[:m.end(1)].lower() if c.isascii() else m[1]), m[2]
+            w = c.rstrip(MARKS)
+            if w.isalpha():
+                parted.append((c, w.lower() if w.isascii() else w, c[len(w):]))
             else:
                 rest.append(c)
         if len(self.words) > KEPT_CHUNKS // 4:
             self.words.clear()
         words = self.words
-        words.update(self._encode_words({w for w, _ in parted.values()}.difference(words)))
-        marks = {m for _, m in parted.values() if m}
+        words.update(self._encode_words({w for _, w, _ in parted}.difference(words)))
+        marks = {m for _, _, m in parted if m}
         words.update(self._encode_each(list(marks.difference(words))))
         words[""] = b""
-        yield from ((c, words[w] + words[m]) for c, (w, m) in parted.items())
+        yield from ((c, words[w] + words[m]) for c, w, m in parted)
         yield from self._encode_each(rest)
 
     def _encode_words(self, words: set[str]) -> Iterator[tuple[str, bytes]]:
@@ -265,16 +278,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         name = f"part-{part:06d}-{attempt}.tok"
         hidden = f"{base}/_writing-{name}"
         writer = sink = None
-        for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                some = batch.slice(i, 1000)
-                if writer is None:
-                    fs.create_dir(base, recursive=True)
-                    sink = fs.open_output_stream(hidden, compression=None)
-                    writer = Writer(sink)
-                texts = [t or "" for t in some.column("text").to_pylist()]
-                for doc_id, ids in zip(some.column("id").to_pylist(), encoder(tokenizer_path).encode(texts)):
-                    writer.add(doc_id, ids + end)
+        for some in batches:
+            if writer is None:
+                fs.create_dir(base, recursive=True)
+                sink = fs.open_output_stream(hidden, compression=None)
+                writer = Writer(sink)
+            texts = [t or "" for t in some.column("text").to_pylist()]
+            for doc_id, ids in zip(some.column("id").to_pylist(), encoder(tokenizer_path).encode(texts)):
+                writer.add(doc_id, ids + end)
         if writer is not None:
             writer.close()
             sink.close()
@@ -283,7 +294,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
                                    "n_docs": [len(writer.counts)], "n_ids": [sum(writer.counts)],
                                    "n_frames": [len(writer.frames)], "bytes": [writer.written]})
 
-    return stored(rows.mapInArrow(run, MANIFEST), "token-manifest")
+    return stored(rows.mapInArrow(lean(run), MANIFEST), "token-manifest")
 
 
 def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:

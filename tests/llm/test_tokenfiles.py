@@ -36,6 +36,25 @@ def test_chunks_give_the_library_ids(library):
     assert own.encode(texts) == [ids_of(library, t).tobytes() for t in texts]
 
 
+def test_a_chunk_that_texts_repeat_is_looked_up_once(library):
+    """op2: a look-up for each of a text's chunks took most of the time."""
+    class Counting(dict):
+        looked_up = 0
+
+        def __getitem__(self, key):
+            self.looked_up += 1
+            return super().__getitem__(key)
+
+    own = tf.ChunkEncoder(PATH)
+    own.kept = Counting()
+    long = "z" * (tf.LONG_CHUNK + 1)
+    texts = ["ab cd, ab\nab", "", long, "cd, " + long] * 300 + [" "]
+    for _ in range(2):
+        assert own.encode(texts) == [ids_of(library, t).tobytes() for t in texts]
+    assert own.kept.looked_up <= 10 and long not in own.kept
+    assert own.encode([]) == []
+
+
 def write(docs, frame_bytes):
     sink = io.BytesIO()
     w = tf.Writer(sink, frame_bytes=frame_bytes)
