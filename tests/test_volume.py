@@ -147,10 +147,10 @@ def test_values_are_told_apart_where_hashes_meet(spark, monkeypatch):
     checks = [quality.Check("u", "s", "unique"), quality.Check("t", "k", "unique"), quality.Check("t", "s", "unique")]
     asked, stacked = [], quality._stacked_values
     monkeypatch.setattr(quality, "_stacked_values", lambda c, t, only=None: asked.append(only) or stacked(c, t, only))
-    got = quality._repeated_counts(checks, {"t": t, "u": u})
-    assert rows(got) == [("unique__t__k", 1), ("unique__t__s", 1)] and asked == [None, {1, 2}]
+    got = quality.repeated_values(checks, {"t": t, "u": u})
+    assert got == {"unique__u__s": 0, "unique__t__k": 1, "unique__t__s": 1} and asked == [None, {1, 2}]
     asked.clear()
-    assert quality._repeated_counts(checks[:1], {"u": u}).count() == 0 and asked == [None]
+    assert quality.repeated_values(checks[:1], {"u": u}) == {"unique__u__s": 0} and asked == [None]
 
 
 @pytest.mark.parametrize("kind", ["accepted_values", "expression_is_true"])
